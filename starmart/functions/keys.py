@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 # --- fixed values: our surrogate-key definition -----------------------------
 NULL_TOKEN = "_null_"
 SEPARATOR = "-"
-# Doubles are rendered through decimal(12,6) so the text is engine-independent
+# Doubles are rendered through decimal(18,10) so the text is engine-independent
 # (Spark prints 1.0E10 where other engines print 10000000000.0).
-DOUBLE_AS_TEXT = T.DecimalType(12, 6)
+DOUBLE_AS_TEXT = T.DecimalType(18, 10)
 
 
 def _as_text(c: Column, dtype: T.DataType) -> Column:

@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starmart.operators import marts, measures
+from starmart.operators import features, marts, measures
 from starmart.operators.staging import stage_orders
+from starmart.schemas import CATEGORICAL_FEATURES
 from starmart.sources.fixtures import orders_feed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +89,88 @@ def dim_shipping_location(spark, sf_dir):
 @query("fact_order_items")
 def fact_order_items(spark, sf_dir):
     return Star(spark, sf_dir).fact
+
+
+# The fixture's order_status is F/O/P in near-equal parts; 'P' plays the
+# role of the positive (fraud) status value.
+FIXTURE_LABEL = "P"
+NUMERIC_PROFILE_COLUMNS = [
+    "order_item_quantity", "sales", "sales_per_customer", "benefit_per_order",
+    "order_profit_per_order", "order_item_total", "order_item_discount",
+    "order_item_discount_rate", "order_item_profit_ratio", "order_month", "order_day",
+    "order_hour", "order_day_of_week", "product_price", "latitude", "longitude",
+]
+
+
+def feature_table(spark, sf_dir, audit=False):
+    s = Star(spark, sf_dir)
+    return features.fraud_features_from_silver(s.stg, s.dim_customers, s.dim_products,
+                                               label_value=FIXTURE_LABEL, audit=audit)
+
+
+@query("fraud_features")
+def fraud_features(spark, sf_dir):
+    return feature_table(spark, sf_dir)
+
+
+@query("event_time_parts")
+def event_time_parts(spark, sf_dir):
+    return features.event_time_parts(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+@query("dim_customers_latest")
+def dim_customers_latest(spark, sf_dir):
+    stg = Star(spark, sf_dir).stg
+    # Give customers several attribute versions (street changes per order priority).
+    stg = stg.withColumn("customer_street", F.concat_ws(" ", "customer_street", "payment_type"))
+    return marts.dim_customers(stg, dedupe="latest")
+
+
+def _existing_fact(s: Star) -> DataFrame:
+    return s.fact.where(F.col("order_date") < F.lit("1998-01-01").cast("timestamp_ntz"))
+
+
+def _batch(s: Star) -> DataFrame:
+    return s.stg.where(F.col("order_date") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+
+
+@query("fact_incremental_new_only")
+def fact_incremental_new_only(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    return marts.fact_incremental(_batch(s), _existing_fact(s), mode="new_only")
+
+
+@query("fact_incremental_null_target")
+def fact_incremental_null_target(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    dirty = (F.col("delivery_status") == "F") & (F.col("order_date") < F.lit("1995-02-01").cast("timestamp_ntz"))
+    existing = _existing_fact(s).withColumn("order_item_id", F.when(~dirty, F.col("order_item_id")))
+    return marts.fact_incremental(_batch(s), existing, mode="new_only")
+
+
+@query("fact_merge")
+def fact_merge(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    existing = _existing_fact(s).withColumn("sales", F.col("sales") + 1)
+    return marts.fact_incremental(_batch(s), existing, mode="merge")
+
+
+@query("profile_numeric")
+def profile_numeric(spark, sf_dir):
+    p = features.profile_numeric(feature_table(spark, sf_dir), NUMERIC_PROFILE_COLUMNS)
+    return p.select("column_name", "min", "max", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+@query("profile_categorical_top5")
+def profile_categorical_top5(spark, sf_dir):
+    return features.profile_categorical(feature_table(spark, sf_dir), CATEGORICAL_FEATURES, top=5)
+
+
+@query("profile_boolean")
+def profile_boolean(spark, sf_dir):
+    return features.profile_boolean(feature_table(spark, sf_dir), ["is_weekend"])
+
+
+@query("class_balance")
+def class_balance(spark, sf_dir):
+    return features.class_balance(feature_table(spark, sf_dir))

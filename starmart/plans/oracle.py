@@ -108,8 +108,8 @@ dim_shipping_location AS (
            coalesce(CAST(order_state AS VARCHAR), '_null_'),
            coalesce(CAST(order_country AS VARCHAR), '_null_'),
            coalesce(CAST(order_zipcode AS VARCHAR), '_null_'),
-           coalesce(CAST(CAST(latitude AS DECIMAL(12,6)) AS VARCHAR), '_null_'),
-           coalesce(CAST(CAST(longitude AS DECIMAL(12,6)) AS VARCHAR), '_null_'),
+           coalesce(CAST(CAST(latitude AS DECIMAL(18,10)) AS VARCHAR), '_null_'),
+           coalesce(CAST(CAST(longitude AS DECIMAL(18,10)) AS VARCHAR), '_null_'),
            coalesce(CAST(order_region AS VARCHAR), '_null_'))) AS shipping_location_id,
          order_city, order_state, order_country, order_zipcode, latitude, longitude, order_region
   FROM loc
@@ -188,3 +188,147 @@ def _():
 @oracle("fact_order_items")
 def _():
     return with_star("SELECT * FROM fact")
+
+
+FEATURES = """,
+features AS (
+  SELECT f.order_item_id, f.order_id, f.customer_id,
+         f.payment_type, f.order_item_quantity, f.sales, f.sales_per_customer,
+         f.benefit_per_order, f.order_profit_per_order, f.order_item_total,
+         f.order_item_discount, f.order_item_discount_rate, f.order_item_profit_ratio,
+         f.shipping_mode,
+         CAST(month(f.order_date) AS INTEGER) AS order_month,
+         CAST(day(f.order_date) AS INTEGER) AS order_day,
+         CAST(hour(f.order_date) AS INTEGER) AS order_hour,
+         CAST(dayofweek(f.order_date) AS INTEGER) AS order_day_of_week,
+         c.customer_segment, p.product_price, p.category_name, p.department_name,
+         d.is_weekend, s.latitude, s.longitude, s.order_region, s.order_country,
+         f.order_status,
+         CASE WHEN f.order_status = 'P' THEN 1 ELSE 0 END AS target
+  FROM fact f
+  LEFT JOIN dim_customers c ON f.customer_id = c.customer_id
+  LEFT JOIN dim_products p ON f.product_card_id = p.product_card_id
+  LEFT JOIN dim_date d ON f.date_key = d.date_key
+  LEFT JOIN dim_shipping_location s ON f.shipping_location_id = s.shipping_location_id
+)"""
+
+
+def with_features(body: str) -> str:
+    return "WITH " + STG + DIMS + FEATURES + "\n" + body
+
+
+NUMERIC_PROFILE_COLUMNS = [
+    "order_item_quantity", "sales", "sales_per_customer", "benefit_per_order",
+    "order_profit_per_order", "order_item_total", "order_item_discount",
+    "order_item_discount_rate", "order_item_profit_ratio", "order_month", "order_day",
+    "order_hour", "order_day_of_week", "product_price", "latitude", "longitude",
+]
+CATEGORICAL_PROFILE_COLUMNS = [
+    "payment_type", "shipping_mode", "customer_segment", "category_name",
+    "department_name", "order_region", "order_country",
+]
+
+
+@oracle("fraud_features")
+def _():
+    return with_features("SELECT * FROM features")
+
+
+@oracle("event_time_parts")
+def _():
+    return """
+SELECT *, CAST(month(ts) AS INTEGER) AS order_month, CAST(day(ts) AS INTEGER) AS order_day,
+       CAST(hour(ts) AS INTEGER) AS order_hour, CAST(dayofweek(ts) AS INTEGER) AS order_day_of_week
+FROM events"""
+
+
+@oracle("dim_customers_latest")
+def _():
+    return with_stg("""
+, versions AS (
+  SELECT customer_id, customer_first_name, customer_last_name, customer_segment, customer_city,
+         customer_state, customer_country, customer_street || ' ' || payment_type AS customer_street,
+         customer_zipcode, order_date, order_item_id
+  FROM stg
+)
+SELECT customer_id, customer_first_name, customer_last_name, customer_segment, customer_city,
+       customer_state, customer_country, customer_street, customer_zipcode
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+        ORDER BY order_date DESC NULLS LAST, order_item_id DESC NULLS LAST) AS rn FROM versions)
+WHERE rn = 1""")
+
+
+@oracle("fact_incremental_new_only")
+def _():
+    return with_star("""
+, existing AS (SELECT * FROM fact WHERE order_date < TIMESTAMP '1998-01-01')
+SELECT * FROM fact
+WHERE order_date >= TIMESTAMP '1997-01-01'
+  AND order_item_id NOT IN (SELECT order_item_id FROM existing)""")
+
+
+@oracle("fact_incremental_null_target")
+def _():
+    return with_star("""
+, existing AS (
+  SELECT CASE WHEN delivery_status = 'F' AND order_date < TIMESTAMP '1995-02-01'
+              THEN NULL ELSE order_item_id END AS order_item_id
+  FROM fact WHERE order_date < TIMESTAMP '1998-01-01'
+)
+SELECT * FROM fact
+WHERE order_date >= TIMESTAMP '1997-01-01'
+  AND order_item_id NOT IN (SELECT order_item_id FROM existing)""")
+
+
+@oracle("fact_merge")
+def _():
+    return with_star("""
+, existing AS (
+  SELECT * REPLACE (sales + 1 AS sales) FROM fact WHERE order_date < TIMESTAMP '1998-01-01'
+),
+batch AS (SELECT * FROM fact WHERE order_date >= TIMESTAMP '1997-01-01')
+SELECT * FROM existing WHERE order_item_id NOT IN (SELECT order_item_id FROM batch)
+UNION ALL
+SELECT * FROM batch""")
+
+
+@oracle("profile_numeric")
+def _():
+    parts = [f"""SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+       round(avg(CAST({c} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std
+FROM features""" for c in NUMERIC_PROFILE_COLUMNS]
+    return with_features("\nUNION ALL\n".join(parts))
+
+
+@oracle("profile_categorical_top5")
+def _():
+    parts = [f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM features"
+             for c in CATEGORICAL_PROFILE_COLUMNS]
+    return with_features(f"""
+, long AS ({' UNION ALL '.join(parts)}),
+vc AS (SELECT column_name, value, count(*) AS value_count FROM long WHERE value IS NOT NULL GROUP BY 1, 2),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY column_name
+             ORDER BY value_count DESC, value ASC) AS INTEGER) AS rank FROM vc),
+uniq AS (SELECT column_name, count(*) AS n_unique FROM vc GROUP BY 1)
+SELECT r.column_name, r.value, r.value_count, r.rank, u.n_unique
+FROM ranked r JOIN uniq u ON r.column_name = u.column_name
+WHERE r.rank <= 5""")
+
+
+@oracle("profile_boolean")
+def _():
+    return with_features("""
+SELECT 'is_weekend' AS column_name, CAST(count_if(is_weekend) AS BIGINT) AS n_true,
+       CAST(count(*) - count_if(is_weekend) AS BIGINT) AS n_false
+FROM features""")
+
+
+@oracle("class_balance")
+def _():
+    return with_features("""
+SELECT count(*) AS n_rows, CAST(count_if(target = 1) AS BIGINT) AS n_fraud,
+       CAST(count_if(target = 0) AS BIGINT) AS n_clean,
+       round(CAST(count_if(target = 1) AS DOUBLE) * 100 / count(*), 4) AS pct_fraud,
+       round(CAST(count_if(target = 0) AS DOUBLE) * 100 / count(*), 4) AS pct_clean,
+       round(CAST(count_if(target = 0) AS DOUBLE) / greatest(count_if(target = 1), 1), 4) AS imbalance_ratio
+FROM features""")
