@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators import features, marts, measures
+from starmart.operators import features, marts, measures, quality
 from starmart.operators.staging import stage_orders
 from starmart.schemas import CATEGORICAL_FEATURES
 from starmart.sources.fixtures import orders_feed
@@ -174,3 +174,86 @@ def profile_boolean(spark, sf_dir):
 @query("class_balance")
 def class_balance(spark, sf_dir):
     return features.class_balance(feature_table(spark, sf_dir))
+
+
+# --- quality -----------------------------------------------------------------
+
+def dirty_silver(stg: DataFrame) -> DataFrame:
+    """Silver with injected defects for every landing rule (value-based)."""
+    q = F.col("order_item_quantity")
+    nan = F.lit(float("nan"))
+    dirty = {
+        "order_item_id": F.when(q == 13, F.lit(None)).when(q == 20, F.lit(1)).otherwise(F.col("order_item_id")),
+        "order_item_quantity": F.when((F.col("shipping_mode") == "R") & (q < 5), q - 5).otherwise(q),
+        "order_status": F.when(F.col("order_status") == "F", F.lit("CANCELED"))
+                         .when((F.col("payment_type") == "5-LOW") & (q > 45), F.lit(None))
+                         .otherwise(F.col("order_status")),
+        "sales": F.when((F.col("delivery_status") == "O") & (q < 10), -F.col("sales")).otherwise(F.col("sales")),
+        "order_item_discount_rate": F.when(q == 33, nan)
+            .when(F.col("payment_type") == "1-URGENT", F.col("order_item_discount_rate") * 11)
+            .otherwise(F.col("order_item_discount_rate")),
+        "late_delivery_risk": F.when(q == 49, F.lit(2)).when(q == 48, F.lit(None))
+            .otherwise(F.col("late_delivery_risk")),
+    }
+    return stg.select(*[dirty[c].cast(stg.schema[c].dataType).alias(c) if c in dirty else F.col(c)
+                        for c in stg.columns])
+
+
+@query("quality_landing")
+def quality_landing(spark, sf_dir):
+    return quality.landing_checks(dirty_silver(Star(spark, sf_dir).stg), names=quality.SILVER_NAMES)
+
+
+def star_tables(s: Star, audit: bool = True) -> dict[str, DataFrame]:
+    return {
+        "stg_orders": s.stg, "dim_customers": s.dim_customers, "dim_products": s.dim_products,
+        "dim_date": s.dim_date, "dim_shipping_location": s.dim_location, "fact_order_items": s.fact,
+        "fraud_features": features.fraud_features_from_silver(
+            s.stg, s.dim_customers, s.dim_products, label_value=FIXTURE_LABEL, audit=audit),
+    }
+
+
+@query("quality_suite")
+def quality_suite(spark, sf_dir):
+    return quality.run_model_tests(star_tables(Star(spark, sf_dir)))
+
+
+@query("quality_dirty")
+def quality_dirty(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    two_versions = s.stg.withColumn("customer_street", F.concat_ws(" ", "customer_street", "payment_type"))
+    feats = features.fraud_features_from_silver(s.stg, s.dim_customers, s.dim_products,
+                                                label_value=FIXTURE_LABEL, audit=False)
+    feats = feats.withColumn("latitude", F.when(F.col("shipping_mode") != "A", F.col("latitude")))
+    tables = {
+        "dim_customers": marts.dim_customers(two_versions),
+        "dim_products": s.dim_products.where(F.col("product_status") == 0),
+        "fact_order_items": s.fact,
+        "fraud_features": feats,
+    }
+    tests = [t for t in quality.MART_TESTS
+             if t.model in ("dim_customers", "fraud_features")
+             or (t.model == "fact_order_items" and t.to_model in ("dim_products", "dim_customers"))]
+    return quality.run_model_tests(tables, tests)
+
+
+@query("quality_tolerance")
+def quality_tolerance(spark, sf_dir):
+    stg = Star(spark, sf_dir).stg
+    q = F.col("order_item_quantity")
+    stg = (stg.withColumn("sales", F.when(q != 50, F.col("sales")))
+              .withColumn("product_price", F.when((q != 1) | (F.col("shipping_mode") != "N"), F.col("product_price"))))
+    return quality.tolerance_checks(
+        stg, ["sales", "product_price", "customer_id"], max_null_frac=0.015,
+        date_column="order_date", date_min="1995-01-01 00:00:00", date_max="2000-12-31 23:59:59",
+        status_column="order_status", allowed=["F", "O"])
+
+
+def _runs_silver(s: Star) -> DataFrame:
+    """Each order year plays one landing run."""
+    return dirty_silver(s.stg).withColumn("etl_run_id", F.year("order_date").cast("long"))
+
+
+@query("quality_by_run")
+def quality_by_run(spark, sf_dir):
+    return quality.landing_checks(_runs_silver(Star(spark, sf_dir)), names=quality.SILVER_NAMES, by=["etl_run_id"])

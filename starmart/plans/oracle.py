@@ -332,3 +332,150 @@ SELECT count(*) AS n_rows, CAST(count_if(target = 1) AS BIGINT) AS n_fraud,
        round(CAST(count_if(target = 0) AS DOUBLE) * 100 / count(*), 4) AS pct_clean,
        round(CAST(count_if(target = 0) AS DOUBLE) / greatest(count_if(target = 1), 1), 4) AS imbalance_ratio
 FROM features""")
+
+
+DIRTY = """,
+dirty AS (
+  SELECT * REPLACE (
+    CASE WHEN order_item_quantity = 13 THEN NULL WHEN order_item_quantity = 20 THEN 1
+         ELSE order_item_id END AS order_item_id,
+    CASE WHEN shipping_mode = 'R' AND order_item_quantity < 5 THEN order_item_quantity - 5
+         ELSE order_item_quantity END AS order_item_quantity,
+    CASE WHEN order_status = 'F' THEN 'CANCELED'
+         WHEN payment_type = '5-LOW' AND order_item_quantity > 45 THEN NULL
+         ELSE order_status END AS order_status,
+    CASE WHEN delivery_status = 'O' AND order_item_quantity < 10 THEN -sales ELSE sales END AS sales,
+    CASE WHEN order_item_quantity = 33 THEN CAST('NaN' AS DOUBLE)
+         WHEN payment_type = '1-URGENT' THEN order_item_discount_rate * 11
+         ELSE order_item_discount_rate END AS order_item_discount_rate,
+    CASE WHEN order_item_quantity = 49 THEN 2 WHEN order_item_quantity = 48 THEN NULL
+         ELSE late_delivery_risk END AS late_delivery_risk)
+  FROM stg
+)"""
+
+
+def _landing_sql(source: str, by: str | None) -> str:
+    key = f"{by}, " if by else ""
+    group = f"GROUP BY {by}" if by else ""
+    rate = "order_item_discount_rate"
+    checks = [
+        ("not_null", "order_id", "order_id IS NULL"),
+        ("not_null", "order_item_id", "order_item_id IS NULL"),
+        ("not_null", "product_card_id", "product_card_id IS NULL"),
+        ("not_null", "order_date", "order_date IS NULL"),
+        ("min_value", "order_item_quantity", "order_item_quantity < 1"),
+        ("non_negative_unless_exempt", "sales",
+         "(order_status IS NULL OR order_status NOT IN ('CANCELED', 'SUSPECTED_FRAUD')) AND sales < 0"),
+        ("range_0_1", rate, f"NOT isnan({rate}) AND ({rate} < 0 OR {rate} > 1)"),
+        ("accepted_values_0_1", "late_delivery_risk",
+         "late_delivery_risk IS NULL OR late_delivery_risk NOT IN (0, 1)"),
+    ]
+    parts = [f"SELECT {key}'{chk}' AS \"check\", '{col}' AS column_name, "
+             f"CAST(count_if(coalesce({cond}, false)) AS BIGINT) AS failing_rows FROM {source} {group}"
+             for chk, col, cond in checks]
+    parts.append(f"SELECT {key}'duplicates' AS \"check\", 'order_item_id' AS column_name, "
+                 f"CAST(count(*) - count(DISTINCT order_item_id) - max(CASE WHEN order_item_id IS NULL "
+                 f"THEN 1 ELSE 0 END) AS BIGINT) AS failing_rows FROM {source} {group}")
+    return "SELECT *, failing_rows = 0 AS passed FROM (\n" + "\nUNION ALL\n".join(parts) + "\n)"
+
+
+@oracle("quality_landing")
+def _():
+    return with_stg(DIRTY + "\n" + _landing_sql("dirty", None))
+
+
+@oracle("quality_by_run")
+def _():
+    return with_stg(DIRTY + ",\nruns AS (SELECT *, CAST(year(order_date) AS BIGINT) AS etl_run_id FROM dirty)\n"
+                    + _landing_sql("runs", "etl_run_id"))
+
+
+FEATURE_NOT_NULL = (["order_item_id", "order_id", "customer_id", "payment_type", "order_item_quantity",
+                     "sales", "sales_per_customer", "benefit_per_order", "order_profit_per_order",
+                     "order_item_total", "order_item_discount", "order_item_discount_rate",
+                     "order_item_profit_ratio", "shipping_mode", "order_month", "order_day", "order_hour",
+                     "order_day_of_week", "customer_segment", "product_price", "category_name",
+                     "department_name", "is_weekend", "latitude", "longitude", "order_region",
+                     "order_country", "order_status", "target"])
+
+
+def _nn(model: str, table: str, col: str) -> str:
+    return (f"SELECT '{model}' AS model, 'not_null' AS \"check\", '{col}' AS column_name, "
+            f"CAST(count_if({col} IS NULL) AS BIGINT) AS failing_rows FROM {table}")
+
+
+def _uq(model: str, table: str, col: str) -> str:
+    return (f"SELECT '{model}' AS model, 'unique' AS \"check\", '{col}' AS column_name, "
+            f"count(*) AS failing_rows FROM (SELECT {col} FROM {table} WHERE {col} IS NOT NULL "
+            f"GROUP BY {col} HAVING count(*) > 1)")
+
+
+def _rel(model: str, table: str, col: str, parent: str, field: str) -> str:
+    return (f"SELECT '{model}' AS model, 'relationships' AS \"check\", '{col}' AS column_name, "
+            f"count(*) AS failing_rows FROM {table} c WHERE c.{col} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{field} = c.{col})")
+
+
+def _suite(parts: list[str]) -> str:
+    return "SELECT *, failing_rows = 0 AS passed FROM (\n" + "\nUNION ALL\n".join(parts) + "\n)"
+
+
+@oracle("quality_suite")
+def _():
+    parts = [_uq("stg_orders", "stg", "order_item_id")]
+    parts += [_nn("stg_orders", "stg", c)
+              for c in ("order_item_id", "order_id", "customer_id", "product_card_id", "date_key")]
+    for model, key in (("dim_customers", "customer_id"), ("dim_products", "product_card_id"),
+                       ("dim_date", "date_key"), ("dim_shipping_location", "shipping_location_id"),
+                       ("fact_order_items", "order_item_id")):
+        table = "fact" if model == "fact_order_items" else model
+        parts += [_uq(model, table, key), _nn(model, table, key)]
+    parts += [_rel("fact_order_items", "fact", "customer_id", "dim_customers", "customer_id"),
+              _rel("fact_order_items", "fact", "product_card_id", "dim_products", "product_card_id"),
+              _rel("fact_order_items", "fact", "date_key", "dim_date", "date_key"),
+              _rel("fact_order_items", "fact", "shipping_location_id", "dim_shipping_location",
+                   "shipping_location_id")]
+    parts.append(_uq("fraud_features", "features", "order_item_id"))
+    parts += [_nn("fraud_features", "features", c) for c in FEATURE_NOT_NULL]
+    # created_at is now(): never null.
+    parts.append("SELECT 'fraud_features' AS model, 'not_null' AS \"check\", 'created_at' AS column_name, "
+                 "CAST(0 AS BIGINT) AS failing_rows")
+    return with_features(_suite(parts))
+
+
+@oracle("quality_dirty")
+def _():
+    body = """,
+dc2 AS (SELECT DISTINCT customer_id, customer_first_name, customer_last_name, customer_segment,
+          customer_city, customer_state, customer_country, customer_street || ' ' || payment_type AS customer_street,
+          customer_zipcode FROM stg),
+dp2 AS (SELECT * FROM dim_products WHERE product_status = 0),
+f2 AS (SELECT * REPLACE (CASE WHEN shipping_mode <> 'A' THEN latitude END AS latitude) FROM features)
+"""
+    parts = [_uq("dim_customers", "dc2", "customer_id"), _nn("dim_customers", "dc2", "customer_id"),
+             _rel("fact_order_items", "fact", "customer_id", "dc2", "customer_id"),
+             _rel("fact_order_items", "fact", "product_card_id", "dp2", "product_card_id"),
+             _uq("fraud_features", "f2", "order_item_id")]
+    parts += [_nn("fraud_features", "f2", c) for c in FEATURE_NOT_NULL]
+    return with_features(body + _suite(parts))
+
+
+@oracle("quality_tolerance")
+def _():
+    return with_stg("""
+, t AS (SELECT * REPLACE (CASE WHEN order_item_quantity <> 50 THEN sales END AS sales,
+        CASE WHEN order_item_quantity <> 1 OR shipping_mode <> 'N' THEN product_price END AS product_price)
+        FROM stg),
+r AS (
+  SELECT 'null_fraction' AS "check", 'sales' AS column_name, CAST(count_if(sales IS NULL) AS BIGINT) AS failing_rows, count(*) AS total_rows FROM t
+  UNION ALL SELECT 'null_fraction', 'product_price', CAST(count_if(product_price IS NULL) AS BIGINT), count(*) FROM t
+  UNION ALL SELECT 'null_fraction', 'customer_id', CAST(count_if(customer_id IS NULL) AS BIGINT), count(*) FROM t
+  UNION ALL SELECT 'date_range', 'order_date', CAST(count_if(order_date < TIMESTAMP '1995-01-01 00:00:00'
+        OR order_date > TIMESTAMP '2000-12-31 23:59:59') AS BIGINT), count(*) FROM t
+  UNION ALL SELECT 'accepted_values', 'order_status', CAST(count_if(order_status IS NULL
+        OR order_status NOT IN ('F', 'O')) AS BIGINT), count(*) FROM t
+)
+SELECT *, round(CAST(failing_rows AS DOUBLE) / total_rows, 6) AS fraction,
+       CASE WHEN "check" = 'null_fraction' THEN round(CAST(failing_rows AS DOUBLE) / total_rows, 6) < 0.015
+            ELSE failing_rows = 0 END AS passed
+FROM r""")
