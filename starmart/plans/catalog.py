@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators import features, marts, measures, quality
+from starmart.operators import evaluation, features, marts, measures, quality
 from starmart.operators.staging import stage_orders
 from starmart.schemas import CATEGORICAL_FEATURES
 from starmart.sources.fixtures import orders_feed
@@ -257,3 +257,83 @@ def _runs_silver(s: Star) -> DataFrame:
 @query("quality_by_run")
 def quality_by_run(spark, sf_dir):
     return quality.landing_checks(_runs_silver(Star(spark, sf_dir)), names=quality.SILVER_NAMES, by=["etl_run_id"])
+
+
+# --- measures ------------------------------------------------------------------
+
+def _fact_products(s: Star) -> DataFrame:
+    return s.fact.join(s.dim_products.select("product_card_id", "category_name", "department_name"),
+                       "product_card_id")
+
+
+@query("rollup_sales")
+def rollup_sales(spark, sf_dir):
+    return measures.rollup_sales(_fact_products(Star(spark, sf_dir)), ["department_name", "category_name"],
+                                 mode="rollup")
+
+
+@query("sales_per_customer")
+def sales_per_customer(spark, sf_dir):
+    return measures.sales_per_customer(Star(spark, sf_dir).fact, ["payment_type"])
+
+
+@query("order_level_once")
+def order_level_once(spark, sf_dir):
+    return measures.order_level_once(Star(spark, sf_dir).fact, ["order_status"])
+
+
+@query("weighted_ratio")
+def weighted_ratio(spark, sf_dir):
+    return measures.weighted_ratio(Star(spark, sf_dir).fact, ["shipping_mode"])
+
+
+@query("ship_days_avg_median")
+def ship_days_avg_median(spark, sf_dir):
+    return measures.ship_days_avg_median(Star(spark, sf_dir).fact, ["shipping_mode", "delivery_status"])
+
+
+# --- evaluation ----------------------------------------------------------------
+
+def scored_lines(spark, sf_dir) -> DataFrame:
+    """(order_item_id, label, score) with a deterministic score from the lines.
+
+    The score sits on an exact grid (0.5 for open lines plus 5 x discount),
+    so both engines compare identical doubles against the thresholds.
+    """
+    stg = Star(spark, sf_dir).stg
+    return stg.select(
+        "order_item_id", "order_id",
+        (F.col("order_status") == FIXTURE_LABEL).cast("int").alias("label"),
+        (F.when(F.col("delivery_status") == "O", F.lit(0.5)).otherwise(F.lit(0.0))
+         + F.col("order_item_discount_rate") * 5).alias("score"))
+
+
+@query("confusion_matrix")
+def confusion_matrix(spark, sf_dir):
+    return evaluation.confusion_matrix(scored_lines(spark, sf_dir), 0.5)
+
+
+@query("threshold_sweep")
+def threshold_sweep(spark, sf_dir):
+    return evaluation.threshold_sweep(scored_lines(spark, sf_dir))
+
+
+@query("best_threshold")
+def best_threshold(spark, sf_dir):
+    return evaluation.best_threshold(evaluation.threshold_sweep(scored_lines(spark, sf_dir)))
+
+
+@query("roc_auc")
+def roc_auc(spark, sf_dir):
+    return evaluation.roc_auc(scored_lines(spark, sf_dir))
+
+
+@query("roc_curve")
+def roc_curve(spark, sf_dir):
+    c = evaluation.roc_curve(scored_lines(spark, sf_dir))
+    return c.select("threshold", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
+
+
+@query("class_report")
+def class_report(spark, sf_dir):
+    return evaluation.class_report(scored_lines(spark, sf_dir), 0.5)

@@ -479,3 +479,148 @@ SELECT *, round(CAST(failing_rows AS DOUBLE) / total_rows, 6) AS fraction,
        CASE WHEN "check" = 'null_fraction' THEN round(CAST(failing_rows AS DOUBLE) / total_rows, 6) < 0.015
             ELSE failing_rows = 0 END AS passed
 FROM r""")
+
+
+@oracle("rollup_sales")
+def _():
+    return with_star("""
+SELECT p.department_name, p.category_name,
+       round(sum(f.sales), 2) AS sum_sales, round(sum(f.order_item_total), 2) AS sum_order_item_total,
+       round(sum(f.order_item_discount), 2) AS sum_order_item_discount,
+       CAST(sum(f.order_item_quantity) AS BIGINT) AS sum_order_item_quantity, count(*) AS n_lines
+FROM fact f JOIN dim_products p ON f.product_card_id = p.product_card_id
+GROUP BY ROLLUP (p.department_name, p.category_name)""")
+
+
+@oracle("sales_per_customer")
+def _():
+    return with_star("""
+SELECT payment_type, round(sum(sales) / count(DISTINCT customer_id), 4) AS sales_per_customer,
+       count(DISTINCT customer_id) AS n_customers
+FROM fact GROUP BY payment_type""")
+
+
+@oracle("order_level_once")
+def _():
+    return with_star("""
+SELECT order_status, round(sum(v), 2) AS sum_benefit_per_order, count(*) AS n_orders
+FROM (SELECT order_status, order_id, max(benefit_per_order) AS v FROM fact GROUP BY order_status, order_id)
+GROUP BY order_status""")
+
+
+@oracle("weighted_ratio")
+def _():
+    return with_star("""
+SELECT shipping_mode,
+       round(sum(order_item_discount_rate * sales) / sum(sales), 6) AS weighted_order_item_discount_rate
+FROM fact GROUP BY shipping_mode""")
+
+
+@oracle("ship_days_avg_median")
+def _():
+    return with_star("""
+SELECT shipping_mode, delivery_status,
+       round(avg(days_for_shipping_real), 4) AS avg_days_for_shipping_real,
+       quantile_cont(days_for_shipping_real, 0.5) AS median_days_for_shipping_real
+FROM fact GROUP BY shipping_mode, delivery_status""")
+
+
+SCORED = """,
+scored AS (
+  SELECT order_item_id, order_id, CAST(order_status = 'P' AS INTEGER) AS label,
+         CASE WHEN delivery_status = 'O' THEN CAST(0.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+           + order_item_discount_rate * 5 AS score
+  FROM stg
+)"""
+
+GRID = [0.05 + i * 0.05 for i in range(19)]
+
+
+def _grid_sql() -> str:
+    vals = ", ".join(f"(CAST('{t!r}' AS DOUBLE))" for t in GRID)
+    return f"grid AS (SELECT * FROM (VALUES {vals}) g(threshold))"
+
+
+def _sweep_sql() -> str:
+    return f""",
+{_grid_sql()},
+counts AS (
+  SELECT threshold,
+         CAST(count_if(label = 1 AND score >= threshold) AS BIGINT) AS tp,
+         CAST(count_if(label = 0 AND score >= threshold) AS BIGINT) AS fp,
+         CAST(count_if(label = 1 AND score < threshold) AS BIGINT) AS fn,
+         CAST(count_if(label = 0 AND score < threshold) AS BIGINT) AS tn
+  FROM grid, scored GROUP BY threshold
+),
+sweep AS (
+  SELECT round_even(threshold, 2) AS threshold, tp, fp, fn, tn,
+         round_even(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 4) AS precision,
+         round_even(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 4) AS recall,
+         round_even(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 4) AS f1,
+         round_even(CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0 END, 4) AS specificity
+  FROM counts
+)"""
+
+
+@oracle("confusion_matrix")
+def _():
+    return with_stg(SCORED + """
+SELECT CAST(count_if(label = 0 AND score < 0.5) AS BIGINT) AS tn,
+       CAST(count_if(label = 0 AND score >= 0.5) AS BIGINT) AS fp,
+       CAST(count_if(label = 1 AND score < 0.5) AS BIGINT) AS fn,
+       CAST(count_if(label = 1 AND score >= 0.5) AS BIGINT) AS tp
+FROM scored""")
+
+
+@oracle("threshold_sweep")
+def _():
+    return with_stg(SCORED + _sweep_sql() + "\nSELECT * FROM sweep")
+
+
+@oracle("best_threshold")
+def _():
+    return with_stg(SCORED + _sweep_sql() + "\nSELECT threshold, f1 FROM sweep ORDER BY f1 DESC, threshold ASC LIMIT 1")
+
+
+ROC_HIST = """,
+h AS (SELECT score, CAST(count_if(label = 1) AS BIGINT) AS pos, CAST(count_if(label = 0) AS BIGINT) AS neg
+      FROM scored GROUP BY score),
+p AS (SELECT *,
+        coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before,
+        coalesce(sum(pos) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_before
+      FROM h)"""
+
+
+@oracle("roc_auc")
+def _():
+    return with_stg(SCORED + ROC_HIST + """
+SELECT round(sum(pos * (neg_before + neg / 2)) / (sum(pos) * sum(neg)), 6) AS roc_auc FROM p""")
+
+
+@oracle("roc_curve")
+def _():
+    return with_stg(SCORED + ROC_HIST + """,
+t AS (SELECT sum(pos) AS np, sum(neg) AS nn FROM h)
+SELECT score AS threshold, round((nn - neg_before) / nn, 6) AS fpr, round((np - pos_before) / np, 6) AS tpr
+FROM p, t
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""")
+
+
+@oracle("class_report")
+def _():
+    return with_stg(SCORED + """,
+c AS (SELECT CAST(count_if(label = 0 AND score < 0.5) AS DOUBLE) AS tn,
+             CAST(count_if(label = 0 AND score >= 0.5) AS DOUBLE) AS fp,
+             CAST(count_if(label = 1 AND score < 0.5) AS DOUBLE) AS fn,
+             CAST(count_if(label = 1 AND score >= 0.5) AS DOUBLE) AS tp FROM scored),
+m AS (SELECT *, tn / (tn + fn) AS p0, tn / (tn + fp) AS r0, 2 * tn / (2 * tn + fn + fp) AS f0,
+             tp / (tp + fp) AS p1, tp / (tp + fn) AS r1, 2 * tp / (2 * tp + fp + fn) AS f1,
+             tn + fp AS s0, tp + fn AS s1, tn + fp + tp + fn AS n FROM c)
+SELECT 'clean' AS class, round_even(p0, 4) AS precision, round_even(r0, 4) AS recall, round_even(f0, 4) AS f1,
+       CAST(s0 AS BIGINT) AS support FROM m
+UNION ALL SELECT 'fraud', round_even(p1, 4), round_even(r1, 4), round_even(f1, 4), CAST(s1 AS BIGINT) FROM m
+UNION ALL SELECT 'accuracy', NULL, NULL, round_even((tp + tn) / n, 4), CAST(n AS BIGINT) FROM m
+UNION ALL SELECT 'macro avg', round_even((p0 + p1) / 2, 4), round_even((r0 + r1) / 2, 4),
+                 round_even((f0 + f1) / 2, 4), CAST(n AS BIGINT) FROM m
+UNION ALL SELECT 'weighted avg', round_even((p0 * s0 + p1 * s1) / n, 4), round_even((r0 * s0 + r1 * s1) / n, 4),
+                 round_even((f0 * s0 + f1 * s1) / n, 4), CAST(n AS BIGINT) FROM m""")
