@@ -12,9 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators import evaluation, features, marts, measures, quality
+from starmart.operators import evaluation, features, marts, measures, modeling, quality
+from starmart.operators.ordering import global_row_number
 from starmart.operators.staging import stage_orders
-from starmart.schemas import CATEGORICAL_FEATURES
+from starmart.schemas import CATEGORICAL_FEATURES, FEATURE_COLUMNS
 from starmart.sources.fixtures import orders_feed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -302,7 +303,7 @@ def scored_lines(spark, sf_dir) -> DataFrame:
     """
     stg = Star(spark, sf_dir).stg
     return stg.select(
-        "order_item_id", "order_id",
+        "order_item_id", "order_id", "order_date",
         (F.col("order_status") == FIXTURE_LABEL).cast("int").alias("label"),
         (F.when(F.col("delivery_status") == "O", F.lit(0.5)).otherwise(F.lit(0.0))
          + F.col("order_item_discount_rate") * 5).alias("score"))
@@ -337,3 +338,104 @@ def roc_curve(spark, sf_dir):
 @query("class_report")
 def class_report(spark, sf_dir):
     return evaluation.class_report(scored_lines(spark, sf_dir), 0.5)
+
+
+# --- modeling ------------------------------------------------------------------
+
+def split_features(spark, sf_dir) -> DataFrame:
+    return modeling.stratified_split(feature_table(spark, sf_dir))
+
+
+@query("stratified_split")
+def stratified_split(spark, sf_dir):
+    return split_features(spark, sf_dir).select("order_item_id", "target", "is_test")
+
+
+@query("ordinal_encode")
+def ordinal_encode(spark, sf_dir):
+    split = split_features(spark, sf_dir)
+    mapping = modeling.fit_ordinal_encoder(split.where(~F.col("is_test")), CATEGORICAL_FEATURES)
+    enc = modeling.apply_ordinal_encoder(split, mapping, CATEGORICAL_FEATURES)
+    return enc.select("order_item_id", "is_test", *CATEGORICAL_FEATURES)
+
+
+def rare_label_features(spark, sf_dir) -> DataFrame:
+    """Feature table whose positive class is rare: urgent partially-shipped
+    orders play SUSPECTED_FRAUD (about 7 % of lines)."""
+    s = Star(spark, sf_dir)
+    stg = s.stg.withColumn("order_status", F.when(
+        (F.col("order_status") == "P") & (F.col("payment_type") == "1-URGENT"),
+        F.lit("SUSPECTED_FRAUD")).otherwise(F.col("order_status")))
+    return features.fraud_features_from_silver(stg, s.dim_customers, s.dim_products, audit=False)
+
+
+def encoded_split(spark, sf_dir):
+    split = modeling.stratified_split(rare_label_features(spark, sf_dir))
+    mapping = modeling.fit_ordinal_encoder(split.where(~F.col("is_test")), CATEGORICAL_FEATURES)
+    return modeling.apply_ordinal_encoder(split, mapping, CATEGORICAL_FEATURES), mapping
+
+
+MODEL_FEATURES = [c for c in FEATURE_COLUMNS]
+
+
+@query("smote_oversample")
+def smote_oversample(spark, sf_dir):
+    enc, _ = encoded_split(spark, sf_dir)
+    train = enc.where(~F.col("is_test")).drop("is_test")
+    return modeling.smote(train, MODEL_FEATURES)
+
+
+@query("forest_scores")
+def forest_scores(spark, sf_dir):
+    enc, _ = encoded_split(spark, sf_dir)
+    train = modeling.smote(enc.where(~F.col("is_test")).drop("is_test"), MODEL_FEATURES)
+    model = modeling.train_forest(train, MODEL_FEATURES)
+    scores = modeling.predict_proba(model, enc.where(F.col("is_test")), MODEL_FEATURES,
+                                    keep=["order_item_id", "order_id", "target"])
+    return modeling.to_predictions(scores, 0.5)
+
+
+# --- prediction store ------------------------------------------------------------
+
+STORE_COLUMNS = ["prediction_id", "order_id", "fraud_probability", "predicted_label", "threshold_used",
+                 "model_version", "pipeline_version"]
+FIXED_TS = "2024-01-01 00:00:00"
+
+
+def stored_predictions(spark, sf_dir) -> DataFrame:
+    """A prediction store as an earlier run left it: every order before 1996."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    old = o.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")).select(
+        F.col("o_orderkey").alias("order_id"))
+    ts = F.lit(FIXED_TS).cast("timestamp")
+    return global_row_number(old, ["order_id"], out="prediction_id").select(
+        F.col("prediction_id").cast("long"), "order_id", F.lit(0.25).alias("fraud_probability"),
+        F.lit(False).alias("predicted_label"), F.lit(0.3).alias("threshold_used"),
+        F.lit("v0").alias("model_version"), F.lit(modeling.PIPELINE_VERSION).alias("pipeline_version"),
+        ts.alias("predicted_at"), ts.alias("created_at"), ts.alias("modified_at"))
+
+
+def line_predictions(spark, sf_dir, threshold: float) -> DataFrame:
+    lines = scored_lines(spark, sf_dir)
+    return modeling.to_predictions(lines.select("order_id", "order_item_id", "order_date", F.col("score").alias("p")),
+                                   threshold).drop("p")
+
+
+@query("unscored_orders")
+def unscored_orders(spark, sf_dir):
+    return modeling.unscored_orders(feature_table(spark, sf_dir), stored_predictions(spark, sf_dir))
+
+
+@query("first_score_per_order")
+def first_score_per_order(spark, sf_dir):
+    batch = modeling.one_per_order(line_predictions(spark, sf_dir, 0.3), keep="first")
+    new = modeling.insert_if_absent(stored_predictions(spark, sf_dir), batch, 0.3, "v1")
+    return new.select(*STORE_COLUMNS)
+
+
+@query("upsert_predictions")
+def upsert_predictions(spark, sf_dir):
+    lines = line_predictions(spark, sf_dir, 0.4).where(F.col("order_date") >= F.lit("1995-07-01").cast("timestamp_ntz"))
+    batch = modeling.one_per_order(lines, keep="last")
+    state = modeling.upsert(stored_predictions(spark, sf_dir), batch, 0.4, "v2")
+    return state.select(*STORE_COLUMNS)

@@ -527,7 +527,7 @@ FROM fact GROUP BY shipping_mode, delivery_status""")
 
 SCORED = """,
 scored AS (
-  SELECT order_item_id, order_id, CAST(order_status = 'P' AS INTEGER) AS label,
+  SELECT order_item_id, order_id, order_date, CAST(order_status = 'P' AS INTEGER) AS label,
          CASE WHEN delivery_status = 'O' THEN CAST(0.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
            + order_item_discount_rate * 5 AS score
   FROM stg
@@ -624,3 +624,90 @@ UNION ALL SELECT 'macro avg', round_even((p0 + p1) / 2, 4), round_even((r0 + r1)
                  round_even((f0 + f1) / 2, 4), CAST(n AS BIGINT) FROM m
 UNION ALL SELECT 'weighted avg', round_even((p0 * s0 + p1 * s1) / n, 4), round_even((r0 * s0 + r1 * s1) / n, 4),
                  round_even((f0 * s0 + f1 * s1) / n, 4), CAST(n AS BIGINT) FROM m""")
+
+
+SPLIT = """,
+split AS (
+  SELECT *, row_number() OVER (PARTITION BY target
+              ORDER BY md5(CAST(order_item_id AS VARCHAR) || '-42'), order_item_id)
+            <= (count(*) OVER (PARTITION BY target) * 20 + 99) // 100 AS is_test
+  FROM features
+)"""
+
+
+@oracle("stratified_split")
+def _():
+    return with_features(SPLIT + "\nSELECT order_item_id, target, is_test FROM split")
+
+
+@oracle("ordinal_encode")
+def _():
+    cats = CATEGORICAL_PROFILE_COLUMNS
+    long = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM split WHERE NOT is_test"
+                              for c in cats)
+    joins = "\n".join(f"LEFT JOIN enc m_{c} ON m_{c}.column_name = '{c}' AND m_{c}.value = CAST(s.{c} AS VARCHAR)"
+                      for c in cats)
+    sel = ", ".join(f"CASE WHEN s.{c} IS NULL THEN NULL ELSE CAST(coalesce(m_{c}.code, -1) AS INTEGER) END AS {c}"
+                    for c in cats)
+    return with_features(SPLIT + f""",
+enc AS (
+  SELECT column_name, value,
+         CAST(dense_rank() OVER (PARTITION BY column_name ORDER BY value) - 1 AS INTEGER) AS code
+  FROM (SELECT DISTINCT column_name, value FROM ({long}) WHERE value IS NOT NULL)
+)
+SELECT s.order_item_id, s.is_test, {sel}
+FROM split s
+{joins}""")
+
+
+STORED = """,
+existing AS (
+  SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS prediction_id, o_orderkey AS order_id,
+         CAST(0.25 AS DOUBLE) AS fraud_probability, false AS predicted_label,
+         CAST(0.3 AS DOUBLE) AS threshold_used, 'v0' AS model_version, '1.0.0' AS pipeline_version
+  FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'
+)"""
+
+
+def _line_preds(threshold: float) -> str:
+    return f""",
+lines AS (SELECT order_id, order_item_id, order_date, round_even(score, 6) AS fraud_probability,
+                 score >= {threshold} AS predicted_label FROM scored)"""
+
+
+@oracle("unscored_orders")
+def _():
+    return with_features(STORED + """
+SELECT DISTINCT f.order_id FROM features f LEFT JOIN existing p ON f.order_id = p.order_id
+WHERE p.order_id IS NULL""")
+
+
+@oracle("first_score_per_order")
+def _():
+    return with_stg(SCORED + STORED + _line_preds(0.3) + """,
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_item_id) AS rn
+                          FROM lines) WHERE rn = 1),
+fresh AS (SELECT * FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.order_id = f.order_id))
+SELECT CAST((SELECT coalesce(max(prediction_id), 0) FROM existing)
+            + row_number() OVER (ORDER BY order_id) AS BIGINT) AS prediction_id,
+       order_id, fraud_probability, predicted_label, CAST(0.3 AS DOUBLE) AS threshold_used,
+       'v1' AS model_version, '1.0.0' AS pipeline_version
+FROM fresh""")
+
+
+@oracle("upsert_predictions")
+def _():
+    return with_stg(SCORED + STORED + _line_preds(0.4) + """,
+lasts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_item_id DESC) AS rn
+                         FROM lines WHERE order_date >= TIMESTAMP '1995-07-01') WHERE rn = 1),
+fresh AS (SELECT * FROM lasts l WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.order_id = l.order_id))
+SELECT e.prediction_id, e.order_id,
+       CASE WHEN l.order_id IS NOT NULL THEN l.fraud_probability ELSE e.fraud_probability END AS fraud_probability,
+       CASE WHEN l.order_id IS NOT NULL THEN l.predicted_label ELSE e.predicted_label END AS predicted_label,
+       e.threshold_used, e.model_version, e.pipeline_version
+FROM existing e LEFT JOIN lasts l ON e.order_id = l.order_id
+UNION ALL
+SELECT CAST((SELECT coalesce(max(prediction_id), 0) FROM existing)
+            + row_number() OVER (ORDER BY order_id) AS BIGINT),
+       order_id, fraud_probability, predicted_label, CAST(0.4 AS DOUBLE), 'v2', '1.0.0'
+FROM fresh""")
