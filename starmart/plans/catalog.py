@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators import evaluation, features, marts, measures, modeling, quality
+from starmart.operators import evaluation, features, marts, measures, modeling, quality, sync
 from starmart.operators.ordering import global_row_number
 from starmart.operators.staging import stage_orders
 from starmart.schemas import CATEGORICAL_FEATURES, FEATURE_COLUMNS
@@ -439,3 +439,96 @@ def upsert_predictions(spark, sf_dir):
     batch = modeling.one_per_order(lines, keep="last")
     state = modeling.upsert(stored_predictions(spark, sf_dir), batch, 0.4, "v2")
     return state.select(*STORE_COLUMNS)
+
+
+# --- sync ----------------------------------------------------------------------
+
+@query("sync_full")
+def sync_full_q(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    return sync.sync_full(s.dim_products, s.dim_products.where(F.col("product_status") == 0)).state
+
+
+@query("sync_full_skip")
+def sync_full_skip(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    stale = s.dim_products.withColumn("product_price", F.col("product_price") + 1)
+    return sync.sync_full(s.dim_products, stale).state
+
+
+def _fact_target(s: Star) -> DataFrame:
+    return (s.fact.where(F.col("order_date") < F.lit("1997-01-01").cast("timestamp_ntz"))
+            .withColumn("sales", F.col("sales") + 1))
+
+
+@query("sync_insert_only")
+def sync_insert_only_q(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    return sync.sync_insert_only(s.fact, _fact_target(s), "order_item_id").state
+
+
+def event_source(spark, sf_dir) -> DataFrame:
+    """Local event table: purchases were modified 30 days after they happened."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    mod = F.when(F.col("event_type") == "purchase", F.col("ts") + F.expr("INTERVAL 30 DAYS")).otherwise(F.col("ts"))
+    return e.select((F.col("event_id") * 10).alias("row_id"), "event_id", "ts", "user_id", "event_type",
+                    "value", "props", mod.alias("modified_at"))
+
+
+def event_target(spark, sf_dir) -> DataFrame:
+    """Serving copy synced up to 2024-01-20, with stale values and its own serial ids."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    numbered = global_row_number(e, ["event_id"], out="row_id")
+    return numbered.select(F.col("row_id").cast("long"), "event_id", "ts", "user_id", "event_type",
+                           (F.col("value") + 1).alias("value"), "props", F.col("ts").alias("modified_at"))
+
+
+@query("sync_watermark")
+def sync_watermark(spark, sf_dir):
+    return sync.sync_incremental(event_source(spark, sf_dir), event_target(spark, sf_dir), "event_id",
+                                 "modified_at", ("row_id",)).state
+
+
+def _local_remote(s: Star):
+    local = {"dim_customers": s.dim_customers, "dim_products": s.dim_products, "dim_date": s.dim_date,
+             "fact_order_items": s.fact}
+    remote = {"dim_customers": s.dim_customers, "dim_products": s.dim_products.where(F.col("product_status") == 0),
+              "dim_date": s.dim_date, "fact_order_items": _fact_target(s)}
+    return local, remote
+
+
+@query("sync_verify")
+def sync_verify(spark, sf_dir):
+    return sync.verify(*_local_remote(Star(spark, sf_dir)))
+
+
+@query("sync_verdict")
+def sync_verdict(spark, sf_dir):
+    return sync.verdict(sync.verify(*_local_remote(Star(spark, sf_dir))), 4)
+
+
+@query("sync_summary")
+def sync_summary(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    registry = [
+        sync.TableSpec("dim_customers", "customer_id", "full"),
+        sync.TableSpec("dim_products", "product_card_id", "full"),
+        sync.TableSpec("fact_order_items", "order_item_id", "upsert"),
+        sync.TableSpec("events", "event_id", "incremental", "modified_at", ("row_id",)),
+        sync.TableSpec("missing_table", "id", "full"),
+    ]
+    sources = {"dim_customers": s.dim_customers, "dim_products": s.dim_products, "fact_order_items": s.fact,
+               "events": event_source(spark, sf_dir)}
+    targets = {"dim_customers": s.dim_customers, "dim_products": s.dim_products.where(F.col("product_status") == 0),
+               "fact_order_items": _fact_target(s), "events": event_target(spark, sf_dir)}
+    _, stats = sync.sync_all(registry, sources, targets)
+    return sync.sync_summary(stats)
+
+
+@query("assign_serial_ids")
+def assign_serial_ids(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("customer_id"),
+                                                                "c_nationkey")
+    existing = global_row_number(c.where(F.col("c_nationkey") < 10), ["customer_id"], out="serial_id")
+    new = c.where(F.col("c_nationkey") >= 10)
+    return sync.assign_serial(new, existing, "serial_id", "customer_id").select("customer_id", "serial_id")

@@ -711,3 +711,116 @@ SELECT CAST((SELECT coalesce(max(prediction_id), 0) FROM existing)
             + row_number() OVER (ORDER BY order_id) AS BIGINT),
        order_id, fraud_probability, predicted_label, CAST(0.4 AS DOUBLE), 'v2', '1.0.0'
 FROM fresh""")
+
+
+@oracle("sync_full")
+def _():
+    return with_star("SELECT * FROM dim_products")
+
+
+@oracle("sync_full_skip")
+def _():
+    return with_star("SELECT * REPLACE (product_price + 1 AS product_price) FROM dim_products")
+
+
+FACT_TARGET = """,
+fact_target AS (SELECT * REPLACE (sales + 1 AS sales) FROM fact WHERE order_date < TIMESTAMP '1997-01-01')"""
+
+
+@oracle("sync_insert_only")
+def _():
+    return with_star(FACT_TARGET + """
+SELECT * FROM fact_target
+UNION ALL
+SELECT * FROM fact f WHERE NOT EXISTS (SELECT 1 FROM fact_target t WHERE t.order_item_id = f.order_item_id)""")
+
+
+EVENTS_SYNC = """
+src AS (
+  SELECT event_id * 10 AS row_id, event_id, ts, user_id, event_type, value, props,
+         CASE WHEN event_type = 'purchase' THEN ts + INTERVAL 30 DAY ELSE ts END AS modified_at
+  FROM events
+),
+tgt AS (
+  SELECT CAST(row_number() OVER (ORDER BY event_id) AS BIGINT) AS row_id, event_id, ts, user_id, event_type,
+         value + 1 AS value, props, ts AS modified_at
+  FROM events WHERE ts < TIMESTAMP '2024-01-20'
+),
+changed AS (SELECT * FROM src WHERE modified_at > (SELECT max(modified_at) FROM tgt)
+            OR (SELECT max(modified_at) FROM tgt) IS NULL)"""
+
+
+@oracle("sync_watermark")
+def _():
+    return "WITH " + EVENTS_SYNC + """
+SELECT t.row_id, t.event_id,
+       CASE WHEN c.event_id IS NOT NULL THEN c.ts ELSE t.ts END AS ts,
+       CASE WHEN c.event_id IS NOT NULL THEN c.user_id ELSE t.user_id END AS user_id,
+       CASE WHEN c.event_id IS NOT NULL THEN c.event_type ELSE t.event_type END AS event_type,
+       CASE WHEN c.event_id IS NOT NULL THEN c.value ELSE t.value END AS value,
+       CASE WHEN c.event_id IS NOT NULL THEN c.props ELSE t.props END AS props,
+       CASE WHEN c.event_id IS NOT NULL THEN c.modified_at ELSE t.modified_at END AS modified_at
+FROM tgt t LEFT JOIN changed c ON t.event_id = c.event_id
+UNION ALL
+SELECT CAST((SELECT coalesce(max(row_id), 0) FROM tgt) + row_number() OVER (ORDER BY event_id) AS BIGINT),
+       event_id, ts, user_id, event_type, value, props, modified_at
+FROM changed c WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.event_id = c.event_id)"""
+
+
+VERIFY = FACT_TARGET + """,
+cmp AS (
+  SELECT 'dim_customers' AS "table", (SELECT count(*) FROM dim_customers) AS local_count,
+         (SELECT count(*) FROM dim_customers) AS remote_count
+  UNION ALL SELECT 'dim_products', (SELECT count(*) FROM dim_products),
+         (SELECT count(*) FROM dim_products WHERE product_status = 0)
+  UNION ALL SELECT 'dim_date', (SELECT count(*) FROM dim_date), (SELECT count(*) FROM dim_date)
+  UNION ALL SELECT 'fact_order_items', (SELECT count(*) FROM fact), (SELECT count(*) FROM fact_target)
+)"""
+
+
+@oracle("sync_verify")
+def _():
+    return with_star(VERIFY + "\nSELECT *, local_count = remote_count AS matched FROM cmp")
+
+
+@oracle("sync_verdict")
+def _():
+    return with_star(VERIFY + """
+SELECT CAST(count_if(local_count = remote_count) AS BIGINT) AS tables_matched, count(*) AS tables_compared,
+       CASE WHEN count_if(local_count = remote_count) = count(*) AND count(*) = 4 THEN 'SUCCESS'
+            WHEN count_if(local_count = remote_count) = 0 THEN 'FAILED'
+            ELSE 'PARTIAL (' || CAST(count_if(local_count = remote_count) AS VARCHAR) || '/'
+                 || CAST(count(*) AS VARCHAR) || ')' END AS sync_verdict
+FROM cmp""")
+
+
+@oracle("sync_summary")
+def _():
+    return with_star(FACT_TARGET + "," + EVENTS_SYNC + """,
+st AS (
+  -- dim_customers: same count, non-empty target -> skipped
+  SELECT 'ok' AS status, CAST(0 AS BIGINT) AS inserted, (SELECT count(*) FROM dim_customers) AS skipped
+  -- dim_products: count differs -> replaced
+  UNION ALL SELECT 'ok', (SELECT count(*) FROM dim_products), 0
+  UNION ALL SELECT 'ok',
+    (SELECT count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM fact_target t WHERE t.order_item_id = f.order_item_id)),
+    (SELECT count(*) FROM fact t WHERE EXISTS (SELECT 1 FROM fact_target x WHERE x.order_item_id = t.order_item_id))
+  UNION ALL SELECT 'ok', (SELECT count(*) FROM changed), (SELECT count(*) FROM src) - (SELECT count(*) FROM changed)
+  UNION ALL SELECT 'skipped', 0, 0
+)
+SELECT count(*) AS tables, CAST(count_if(status = 'ok') AS BIGINT) AS ok,
+       CAST(count_if(status = 'failed') AS BIGINT) AS failed,
+       CAST(count_if(status = 'skipped') AS BIGINT) AS skipped_tables,
+       CAST(sum(CASE WHEN status = 'ok' THEN inserted END) AS BIGINT) AS inserted,
+       CAST(0 AS BIGINT) AS updated,
+       CAST(sum(CASE WHEN status = 'ok' THEN skipped END) AS BIGINT) AS skipped
+FROM st""")
+
+
+@oracle("assign_serial_ids")
+def _():
+    return """
+SELECT c_custkey AS customer_id,
+       CAST((SELECT count(*) FROM customer WHERE c_nationkey < 10)
+            + row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS serial_id
+FROM customer WHERE c_nationkey >= 10"""
