@@ -824,3 +824,109 @@ SELECT c_custkey AS customer_id,
        CAST((SELECT count(*) FROM customer WHERE c_nationkey < 10)
             + row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS serial_id
 FROM customer WHERE c_nationkey >= 10"""
+
+
+EVENT_BATCH = """
+batch AS (
+  SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE ts >= TIMESTAMP '2024-01-10'
+  UNION ALL
+  SELECT event_id, ts, user_id, event_type, value, props FROM events
+  WHERE event_type = 'signup' AND ts >= TIMESTAMP '2024-01-25'
+  UNION ALL
+  SELECT CAST(NULL AS BIGINT), ts, user_id, event_type, value, props FROM events
+  WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-28'
+),
+landed AS (SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE ts < TIMESTAMP '2024-01-20')"""
+
+
+@oracle("land_new_rows")
+def _():
+    return "WITH " + EVENT_BATCH + """
+SELECT * FROM batch b WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.event_id = b.event_id)"""
+
+
+@oracle("land_evolve")
+def _():
+    return """
+SELECT event_id, ts, user_id, event_type, value, CAST(NULL AS VARCHAR) AS props
+FROM events WHERE ts < TIMESTAMP '2024-01-20'
+UNION ALL
+SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE ts >= TIMESTAMP '2024-01-20'"""
+
+
+RUN_AUDIT = """
+runs AS (SELECT range AS etl_run_id FROM range(1, 32)),
+agg AS (SELECT CAST(day(ts) AS BIGINT) AS etl_run_id, count(*) AS rows_loaded,
+               min(ts) AS start_time, max(ts) AS end_time FROM events GROUP BY 1),
+audit AS (
+  SELECT r.etl_run_id AS run_id, 'orders_raw' AS pipeline_name, a.start_time, a.end_time,
+         CAST((epoch_us(a.end_time) - epoch_us(a.start_time)) // 1000 AS BIGINT) AS duration_ms,
+         coalesce(a.rows_loaded, 0) AS rows_loaded, CAST(NULL AS BIGINT) AS rows_failed,
+         'in_progress' AS validation_status
+  FROM runs r LEFT JOIN agg a ON r.etl_run_id = a.etl_run_id
+)"""
+
+EVENT_AUDIT = RUN_AUDIT + """,
+audit2 AS (
+  SELECT run_id, pipeline_name, start_time, end_time, duration_ms, rows_loaded,
+         CASE WHEN run_id <= 20 THEN run_id % 2 ELSE rows_failed END AS rows_failed,
+         CASE WHEN run_id <= 20 THEN (CASE WHEN run_id % 2 = 0 THEN 'passed' ELSE 'failed' END)
+              ELSE validation_status END AS validation_status
+  FROM audit
+)"""
+
+
+@oracle("run_audit")
+def _():
+    return "WITH " + RUN_AUDIT + "\nSELECT * FROM audit"
+
+
+@oracle("latest_pending_run")
+def _():
+    return "WITH " + EVENT_AUDIT + """
+SELECT * FROM audit2 WHERE validation_status = 'in_progress' ORDER BY run_id DESC LIMIT 1"""
+
+
+MIXED_RUNS = DIRTY + """,
+mixed AS (
+  SELECT *, CAST(year(order_date) AS BIGINT) AS etl_run_id FROM dirty WHERE year(order_date) <= 1996
+  UNION ALL
+  SELECT *, CAST(year(order_date) AS BIGINT) AS etl_run_id FROM stg
+  WHERE year(order_date) > 1996 OR order_date IS NULL
+)"""
+
+
+def _verdict_sql() -> str:
+    return f""",
+checks AS ({_landing_sql("mixed", "etl_run_id")}),
+verdicts AS (
+  SELECT etl_run_id, CAST(count_if(NOT passed) AS BIGINT) AS checks_failed,
+         CAST(coalesce(sum(CASE WHEN NOT passed THEN failing_rows END), 0) AS BIGINT) AS failing_rows,
+         CASE WHEN count_if(NOT passed) = 0 THEN 'passed' ELSE 'failed' END AS validation_status
+  FROM checks GROUP BY etl_run_id
+)"""
+
+
+@oracle("run_verdicts")
+def _():
+    return with_stg(MIXED_RUNS + _verdict_sql() + "\nSELECT * FROM verdicts")
+
+
+@oracle("gate_passed_runs")
+def _():
+    return with_stg(MIXED_RUNS + _verdict_sql() + """
+SELECT m.order_item_id, m.etl_run_id FROM mixed m
+WHERE m.etl_run_id IN (SELECT etl_run_id FROM verdicts WHERE validation_status = 'passed')""")
+
+
+@oracle("pipeline_snapshot")
+def _():
+    return with_star(VERIFY + "," + STORED[1:] + "," + EVENT_AUDIT + """
+SELECT run_id AS latest_run_id, rows_loaded, validation_status,
+       CASE WHEN validation_status = 'passed' THEN rows_loaded END AS rows_validated,
+       (SELECT count(*) FROM fact) AS fact_rows, (SELECT count(*) FROM existing) AS prediction_rows,
+       (SELECT CASE WHEN count_if(local_count = remote_count) = count(*) AND count(*) = 4 THEN 'SUCCESS'
+                    WHEN count_if(local_count = remote_count) = 0 THEN 'FAILED'
+                    ELSE 'PARTIAL (' || CAST(count_if(local_count = remote_count) AS VARCHAR) || '/'
+                         || CAST(count(*) AS VARCHAR) || ')' END FROM cmp) AS sync_verdict
+FROM audit2 WHERE run_id <= 20 ORDER BY run_id DESC LIMIT 1""")
