@@ -9,14 +9,15 @@ from pyspark.sql import types as T
 # --- fixed values: our surrogate-key definition -----------------------------
 NULL_TOKEN = "_null_"
 SEPARATOR = "-"
-# Doubles are rendered through decimal(18,10) so the text is engine-independent
-# (Spark prints 1.0E10 where other engines print 10000000000.0).
-DOUBLE_AS_TEXT = T.DecimalType(18, 10)
+# Doubles are rendered through decimal(38,10) so the text is engine-independent
+# (Spark prints 1.0E10 where other engines print 10000000000.0); magnitudes
+# beyond 1e28 fall back to the plain double text.
+DOUBLE_AS_TEXT = T.DecimalType(38, 10)
 
 
 def _as_text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return c.cast(DOUBLE_AS_TEXT).cast("string")
+        return F.coalesce(c.try_cast(DOUBLE_AS_TEXT).cast("string"), c.cast("string"))
     return c.cast("string")
 
 

@@ -27,7 +27,8 @@ def value_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
     n = _n_buckets(df, n_buckets)
     probs = [i / n for i in range(1, n)]
     cuts = df.select(F.col(order_col).cast("double").alias("_v")).approxQuantile("_v", probs, rel_error)
-    splits = [float("-inf")] + sorted(set(cuts)) + [float("inf")]
+    inner = sorted(set(cuts)) or [0.0]        # empty input: one neutral split
+    splits = [float("-inf")] + inner + [float("inf")]
     tmp = df.withColumn("_v", F.col(order_col).cast("double"))
     b = Bucketizer(splits=splits, inputCol="_v", outputCol=out, handleInvalid="keep")
     return b.transform(tmp).drop("_v")

@@ -108,8 +108,8 @@ dim_shipping_location AS (
            coalesce(CAST(order_state AS VARCHAR), '_null_'),
            coalesce(CAST(order_country AS VARCHAR), '_null_'),
            coalesce(CAST(order_zipcode AS VARCHAR), '_null_'),
-           coalesce(CAST(CAST(latitude AS DECIMAL(18,10)) AS VARCHAR), '_null_'),
-           coalesce(CAST(CAST(longitude AS DECIMAL(18,10)) AS VARCHAR), '_null_'),
+           coalesce(CAST(CAST(latitude AS DECIMAL(38,10)) AS VARCHAR), '_null_'),
+           coalesce(CAST(CAST(longitude AS DECIMAL(38,10)) AS VARCHAR), '_null_'),
            coalesce(CAST(order_region AS VARCHAR), '_null_'))) AS shipping_location_id,
          order_city, order_state, order_country, order_zipcode, latitude, longitude, order_region
   FROM loc
