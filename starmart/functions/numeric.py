@@ -24,3 +24,21 @@ def nan_to_null(c: Column) -> Column:
 def round_half_even(c: Column, places: int) -> Column:
     """numpy/Python ``round`` semantics (banker's rounding)."""
     return F.bround(c, places)
+
+
+# Money and rate products in the feed carry at most 4 decimals.
+MONEY = T.DecimalType(24, 4)
+
+
+def exact_sum(c: Column, places: int | None = None, scale_type: T.DecimalType = MONEY) -> Column:
+    """Sum of a fixed-decimal measure without floating-point drift.
+
+    A double sum of many large values depends on the summation order (two
+    plans, or two engines, disagree in the last digits).  Each value is
+    rounded to the feed's decimal scale and summed exactly as a decimal; the
+    result is rounded to ``places`` and returned as double.
+    """
+    s = F.sum(c.cast(scale_type))
+    if places is not None:
+        s = F.round(s, places)
+    return s.cast("double")

@@ -11,25 +11,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.functions.numeric import exact_sum
+
 ADDITIVE = ["sales", "order_item_total", "order_item_discount", "order_item_quantity"]
 
 
 def rollup_sales(df: DataFrame, by: list[str], measures: list[str] | None = None,
-                 mode: str = "group", places: int | None = 2) -> DataFrame:
+                 mode: str = "group", places: int | None = 4) -> DataFrame:
     """Sum of the additive measures by any dimensions.
 
     ``mode`` is ``group``, ``rollup`` (subtotals left to right) or ``cube``.
+    Sums are exact decimal sums rounded at the scale of the data (price x
+    rate has 4 decimals), so they do not depend on summation order.
     """
     measures = measures or ADDITIVE
     grouped = {"group": df.groupBy, "rollup": df.rollup, "cube": df.cube}[mode](*by)
-    aggs = [_r(F.sum(m), places).alias(f"sum_{m}") for m in measures]
+    aggs = [exact_sum(F.col(m), places).alias(f"sum_{m}") for m in measures]
     return grouped.agg(*aggs, F.count(F.lit(1)).alias("n_lines"))
 
 
-def sales_per_customer(df: DataFrame, by: list[str], places: int | None = 4) -> DataFrame:
+def sales_per_customer(df: DataFrame, by: list[str], places: int | None = 6) -> DataFrame:
     """``SUM(sales) / COUNT(DISTINCT customer_id)``."""
     return df.groupBy(*by).agg(
-        _r(F.sum("sales") / F.countDistinct("customer_id"), places).alias("sales_per_customer"),
+        _r(exact_sum(F.col("sales")) / F.countDistinct("customer_id"), places).alias("sales_per_customer"),
         F.countDistinct("customer_id").alias("n_customers"))
 
 
@@ -41,7 +45,7 @@ def order_level_once(df: DataFrame, by: list[str], column: str = "benefit_per_or
     aggregate, so only one row per order and map task crosses the shuffle.
     """
     per_order = df.groupBy(*by, "order_id").agg(F.max(column).alias("_v"))
-    return per_order.groupBy(*by).agg(_r(F.sum("_v"), places).alias(f"sum_{column}"),
+    return per_order.groupBy(*by).agg(exact_sum(F.col("_v"), places).alias(f"sum_{column}"),
                                       F.count(F.lit(1)).alias("n_orders"))
 
 
@@ -86,7 +90,7 @@ def monthly_category_sales(fact: DataFrame, dim_date: DataFrame, dim_products: D
             .join(F.broadcast(dim_date.select("date_key", "year", "month")), "date_key")
             .join(dim_products.select("product_card_id", "category_name"), "product_card_id"))
     return star.groupBy("year", "month", "category_name").agg(
-        _r(F.sum("sales"), places).alias("total_sales"),
+        exact_sum(F.col("sales"), places).alias("total_sales"),
         F.count(F.lit(1)).alias("n_lines"))
 
 

@@ -153,7 +153,7 @@ def oracle(name: str):
 def _():
     return with_star("""
 SELECT d.year, d.month, p.category_name,
-       round(sum(f.sales), 2) AS total_sales, count(*) AS n_lines
+       CAST(round(sum(CAST(f.sales AS DECIMAL(24,4))), 2) AS DOUBLE) AS total_sales, count(*) AS n_lines
 FROM fact f
 JOIN dim_date d ON f.date_key = d.date_key
 JOIN dim_products p ON f.product_card_id = p.product_card_id
@@ -295,7 +295,7 @@ SELECT * FROM batch""")
 @oracle("profile_numeric")
 def _():
     parts = [f"""SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
-       round(avg(CAST({c} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std
+       round(avg(CAST({c} AS DOUBLE)), 4) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std
 FROM features""" for c in NUMERIC_PROFILE_COLUMNS]
     return with_features("\nUNION ALL\n".join(parts))
 
@@ -485,9 +485,10 @@ FROM r""")
 def _():
     return with_star("""
 SELECT p.department_name, p.category_name,
-       round(sum(f.sales), 2) AS sum_sales, round(sum(f.order_item_total), 2) AS sum_order_item_total,
-       round(sum(f.order_item_discount), 2) AS sum_order_item_discount,
-       CAST(sum(f.order_item_quantity) AS BIGINT) AS sum_order_item_quantity, count(*) AS n_lines
+       CAST(round(sum(CAST(f.sales AS DECIMAL(24,4))), 4) AS DOUBLE) AS sum_sales,
+       CAST(round(sum(CAST(f.order_item_total AS DECIMAL(24,4))), 4) AS DOUBLE) AS sum_order_item_total,
+       CAST(round(sum(CAST(f.order_item_discount AS DECIMAL(24,4))), 4) AS DOUBLE) AS sum_order_item_discount,
+       CAST(sum(CAST(f.order_item_quantity AS DECIMAL(24,4))) AS DOUBLE) AS sum_order_item_quantity, count(*) AS n_lines
 FROM fact f JOIN dim_products p ON f.product_card_id = p.product_card_id
 GROUP BY ROLLUP (p.department_name, p.category_name)""")
 
@@ -495,7 +496,7 @@ GROUP BY ROLLUP (p.department_name, p.category_name)""")
 @oracle("sales_per_customer")
 def _():
     return with_star("""
-SELECT payment_type, round(sum(sales) / count(DISTINCT customer_id), 4) AS sales_per_customer,
+SELECT payment_type, round(CAST(sum(CAST(sales AS DECIMAL(24,4))) AS DOUBLE) / count(DISTINCT customer_id), 6) AS sales_per_customer,
        count(DISTINCT customer_id) AS n_customers
 FROM fact GROUP BY payment_type""")
 
@@ -503,7 +504,7 @@ FROM fact GROUP BY payment_type""")
 @oracle("order_level_once")
 def _():
     return with_star("""
-SELECT order_status, round(sum(v), 2) AS sum_benefit_per_order, count(*) AS n_orders
+SELECT order_status, CAST(round(sum(CAST(v AS DECIMAL(24,4))), 2) AS DOUBLE) AS sum_benefit_per_order, count(*) AS n_orders
 FROM (SELECT order_status, order_id, max(benefit_per_order) AS v FROM fact GROUP BY order_status, order_id)
 GROUP BY order_status""")
 
