@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+    # checkpoint files of garbage-collected DataFrames are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -63,3 +65,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(conf)
         return spark.sparkContext.getCheckpointDir()
     raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+
+
+def materialize(df):
+    """Cut the lineage of an intermediate that several branches reuse.
+
+    Reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir`` (it
+    survives executor loss, unlike a local checkpoint).  Without a
+    configured folder the lazy plan is returned unchanged.
+    """
+    spark = df.sparkSession
+    try:
+        checkpoint_dir(spark)
+    except RuntimeError:
+        return df
+    return df.checkpoint(eager=True)
