@@ -154,7 +154,8 @@ def sync_table(spec: TableSpec, source: DataFrame | None, target: DataFrame | No
     if target is None:
         target = source.sparkSession.createDataFrame([], source.schema)
     try:
-        if spec.sync_mode == "full":
+        # a forced sync replaces the serving copy whatever the table's mode
+        if spec.sync_mode == "full" or (force_full and spec.sync_mode in ("upsert", "incremental")):
             return sync_full(source, target, spec.table, force_full)
         if spec.sync_mode == "upsert":
             return sync_insert_only(source, target, spec.pk, spec.table)

@@ -52,6 +52,15 @@ def test_dispatch_isolates_failures(spark):
     assert (summ["ok"], summ["failed"], summ["skipped_tables"]) == (1, 2, 1)
 
 
+def test_force_applies_to_every_mode(spark):
+    src = spark.createDataFrame([(1, "new"), (2, "b")], "k long, v string")
+    tgt = spark.createDataFrame([(1, "old")], "k long, v string")
+    r = sync.sync_table(sync.TableSpec("t", "k", "upsert"), src, tgt, force_full=True)
+    assert sorted(x["v"] for x in r.state.collect()) == ["b", "new"]
+    r = sync.sync_table(sync.TableSpec("t", "k", "upsert"), src, tgt)
+    assert sorted(x["v"] for x in r.state.collect()) == ["b", "old"]
+
+
 def test_verdict(spark):
     a = spark.createDataFrame([(1,)], "k long")
     b = spark.createDataFrame([], "k long")
