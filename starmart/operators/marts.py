@@ -11,7 +11,7 @@ keeps the join form for a dimension that was built elsewhere.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.dates import is_weekend, iso_day_of_week, month_name_padded  # noqa: F401
@@ -118,3 +118,33 @@ def fact_incremental(stg: DataFrame, existing: DataFrame, mode: str = "new_only"
     if mode == "merge":
         return merge_by_key(existing.select(*FACT_COLUMNS), fact_order_items(stg, location_dim), "order_item_id")
     raise ValueError(f"unknown mode {mode!r}")
+
+
+def scd2(stg: DataFrame, key: str, attrs: list[str], date_col: str = "full_date",
+         order_cols: tuple[str, ...] = ("order_date", "order_item_id")) -> DataFrame:
+    """SCD type 2 history of a dimension: one row per attribute version with
+    ``effective_from``, ``effective_to`` (exclusive, null while current) and
+    ``is_current``.
+
+    Lines are first reduced to one snapshot per (key, day) — the day's latest
+    attributes, a hash aggregate with map-side partials — so the ordered
+    window that finds change points runs over at most one row per key and
+    day, never over all lines of a hot key.
+    """
+    latest = F.max(F.struct(*[F.col(c) for c in order_cols], *[F.col(a) for a in attrs])).alias("_m")
+    daily = (stg.where(F.col(key).isNotNull() & F.col(date_col).isNotNull())
+             .groupBy(key, date_col).agg(latest)
+             .select(key, date_col, *[F.col(f"_m.{a}").alias(a) for a in attrs]))
+    w = Window.partitionBy(key).orderBy(date_col)
+    sig = F.md5(F.to_json(F.struct(*[F.col(a) for a in attrs])))
+    changes = (daily.withColumn("_sig", sig)
+               .withColumn("_prev", F.lag("_sig").over(w))
+               .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_sig"))))
+    out = changes.withColumn("effective_to", F.lead(date_col).over(w))
+    return out.select(key, *attrs, F.col(date_col).alias("effective_from"), "effective_to",
+                      F.col("effective_to").isNull().alias("is_current"))
+
+
+def month_key(date_key_col: str = "date_key") -> Column:
+    """yyyymm partition value of a yyyymmdd date key."""
+    return (F.col(date_key_col) / 100).cast("int")

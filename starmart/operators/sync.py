@@ -221,9 +221,12 @@ def verdict(comparison: DataFrame, n_configured: int) -> DataFrame:
 
 # --- writes: new version directory per state -----------------------------------------
 
+VERSION_COL = "sm_version"   # partition column of versioned tables
+
+
 @dataclass
 class VersionedTable:
-    """A table stored as ``<base>/v=<n>`` directories.
+    """A table stored as ``<base>/sm_version=<n>`` directories.
 
     A write goes to a new version directory and never touches the version
     being read; Spark's job commit makes a version visible only when it is
@@ -240,18 +243,25 @@ class VersionedTable:
 
     def latest_version(self, spark: SparkSession) -> int | None:
         df = self._frame(spark)
-        return None if df is None else df.agg(F.max("v")).first()[0]
+        return None if df is None else df.agg(F.max(VERSION_COL)).first()[0]
 
-    def read(self, spark: SparkSession) -> DataFrame | None:
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
+        """Highest version, or the highest one below ``before``."""
         df = self._frame(spark)
         if df is None:
             return None
-        return df.where(F.col("v") == df.agg(F.max("v")).scalar()).drop("v")
-
-    def write(self, df: DataFrame, version: int | None = None) -> str:
+        if before is not None:
+            df = df.where(F.col(VERSION_COL) < before)
+            if df.isEmpty():
+                return None
+        return df.where(F.col(VERSION_COL) == df.agg(F.max(VERSION_COL)).scalar()).drop(VERSION_COL)
+
+    def write(self, df: DataFrame, version: int | None = None, replace: bool = False) -> str:
+        """Write the next version (or an explicit one; ``replace`` rewrites an
+        explicit version, which a retried streaming batch needs)."""
         if version is None:
             cur = self.latest_version(df.sparkSession)
             version = 0 if cur is None else cur + 1
-        path = f"{self.base}/v={version}"
-        df.write.mode("errorifexists").parquet(path)
+        path = f"{self.base}/{VERSION_COL}={version}"
+        df.write.mode("overwrite" if replace else "errorifexists").parquet(path)
         return path

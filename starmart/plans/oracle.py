@@ -931,3 +931,28 @@ SELECT run_id AS latest_run_id, rows_loaded, validation_status,
                     ELSE 'PARTIAL (' || CAST(count_if(local_count = remote_count) AS VARCHAR) || '/'
                          || CAST(count(*) AS VARCHAR) || ')' END FROM cmp) AS sync_verdict
 FROM audit2 WHERE run_id <= 20 ORDER BY run_id DESC LIMIT 1""")
+
+
+@oracle("scd2_customers")
+def _():
+    attrs = ["customer_first_name", "customer_last_name", "customer_segment", "customer_city",
+             "customer_state", "customer_country", "customer_street", "customer_zipcode"]
+    a = ", ".join(attrs)
+    return with_stg(f"""
+, v AS (SELECT * REPLACE (customer_street || ' ' || payment_type AS customer_street) FROM stg
+        WHERE customer_id IS NOT NULL AND full_date IS NOT NULL),
+daily AS (
+  SELECT customer_id, full_date, {a} FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id, full_date
+                                 ORDER BY order_date DESC, order_item_id DESC) AS rn FROM v)
+  WHERE rn = 1
+),
+chg AS (
+  SELECT *, lag(ROW({a})) OVER (PARTITION BY customer_id ORDER BY full_date) AS prev
+  FROM daily
+),
+kept AS (SELECT * FROM chg WHERE prev IS NULL OR prev IS DISTINCT FROM ROW({a}))
+SELECT customer_id, {a}, CAST(full_date AS TIMESTAMP) AS effective_from,
+       CAST(lead(full_date) OVER (PARTITION BY customer_id ORDER BY full_date) AS TIMESTAMP) AS effective_to,
+       lead(full_date) OVER (PARTITION BY customer_id ORDER BY full_date) IS NULL AS is_current
+FROM kept""")

@@ -25,7 +25,9 @@ def test_end_to_end(spark, tmp):
     tests = pipeline.check_models(spark, wh)
     assert tests.count() == 51
     assert tests.where(~F.col("passed")).count() == 0
-    assert spark.read.parquet(wh.path("warehouse/fact_order_items")).count() == feed.count()
+    fact = spark.read.parquet(wh.path("warehouse/fact_order_items"))
+    assert fact.count() == feed.count() and "month_key" in fact.columns
+    assert fact.where("month_key = 199601").count() == fact.where("date_key div 100 = 199601").count()
     pipeline.build_warehouse(spark, wh)                          # incremental rerun adds nothing
     assert spark.read.parquet(wh.path("warehouse/fact_order_items")).count() == feed.count()
 

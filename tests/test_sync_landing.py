@@ -121,3 +121,21 @@ def test_passed_rows_gate(spark):
     raw = spark.createDataFrame([(1, 7), (2, 8)], "k long, etl_run_id long")
     v = spark.createDataFrame([(7, 0, "passed"), (8, 2, "failed")], "etl_run_id long, checks_failed long, validation_status string")
     assert [r["k"] for r in runs.passed_rows(raw, v).collect()] == [1]
+
+
+def test_cdc_stream_merge(spark, tmp):
+    from starmart.streaming.cdc import apply_changes, start_cdc
+    schema = "k long, v string, op string, seq long"
+    src, base, ckpt = f"{tmp}/cdc", f"{tmp}/table", f"{tmp}/ckpt2"
+    spark.createDataFrame([(1, "a", "I", 1), (2, "b", "I", 1), (3, "c", "I", 1)], schema).write.parquet(f"{src}/b1")
+    st = spark.createDataFrame([], schema).schema
+    start_cdc(spark, f"{src}/*", st, base, "k", ckpt).awaitTermination(120)
+    spark.createDataFrame([(2, "b2", "U", 2), (3, None, "D", 2), (4, "d-old", "I", 2), (4, "d", "U", 3)],
+                          schema).write.parquet(f"{src}/b2")
+    start_cdc(spark, f"{src}/*", st, base, "k", ckpt).awaitTermination(120)
+    state = {r["k"]: r["v"] for r in sync.VersionedTable(base).read(spark).collect()}
+    assert state == {1: "a", 2: "b2", 4: "d"}
+    # applying the same batch again changes nothing
+    cur = sync.VersionedTable(base).read(spark)
+    again = apply_changes(cur, spark.createDataFrame([(2, "b2", "U", 2), (3, None, "D", 2)], schema), "k")
+    assert {r["k"]: r["v"] for r in again.collect()} == state
