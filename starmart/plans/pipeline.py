@@ -119,9 +119,12 @@ def train(spark: SparkSession, wh: Warehouse, model_version: str = "1.0",
     # train variant: arg-max of the unrounded F1, 0.5 kept when no F1 > 0
     best = evaluation.best_threshold(evaluation.threshold_sweep(scored, places=None), variant="train").first()
     threshold = float(best["threshold"])
+    # M9: metrics at the default 0.5, then at the deployed threshold (saved artefacts use the latter)
+    at_default = evaluation.with_metrics(evaluation.confusion_matrix(scored, 0.5)).first().asDict()
     cm = evaluation.with_metrics(evaluation.confusion_matrix(scored, threshold)).first().asDict()
     auc = evaluation.roc_auc(scored).first()["roc_auc"]
-    metrics = {**cm, "roc_auc": auc, "threshold": threshold, "model_version": model_version}
+    metrics = {**cm, "roc_auc": auc, "threshold": threshold, "model_version": model_version,
+               "at_threshold_0_5": at_default}
     spark.createDataFrame([(json.dumps(metrics),)], "metrics string").coalesce(1) \
         .write.mode("overwrite").text(wh.path("reports/metrics"))
     evaluation.class_report(scored, threshold).write.mode("overwrite").parquet(wh.path("reports/class_report"))

@@ -34,6 +34,8 @@ def test_end_to_end(spark, tmp):
     metrics = pipeline.train(spark, wh, forest=modeling.ForestParams(num_trees=10, max_depth=5))
     assert 0.0 <= metrics["roc_auc"] <= 1.0
     assert metrics["tp"] + metrics["fp"] + metrics["fn"] + metrics["tn"] > 0
+    d = metrics["at_threshold_0_5"]
+    assert d["tp"] + d["fp"] + d["fn"] + d["tn"] == metrics["tp"] + metrics["fp"] + metrics["fn"] + metrics["tn"]
 
     state = pipeline.predict_new(spark, wh)
     n_orders = spark.read.parquet(wh.path("warehouse/fraud_features")).select("order_id").distinct().count()
