@@ -113,22 +113,84 @@ def not_null(df: DataFrame, columns: list[str], model: str = "") -> DataFrame:
         "passed", F.col("failing_rows") == 0)
 
 
+def _tagged_keys(df: DataFrame, tagged_columns: list[tuple[int, str]]) -> DataFrame:
+    """(_t, _k) rows: the non-null values of each column as text, tagged by check.
+
+    Several columns of one table are emitted from a single scan.
+    """
+    pairs = [F.struct(F.lit(t).alias("_t"), F.col(c).cast("string").alias("_k")) for t, c in tagged_columns]
+    one = pairs[0] if len(pairs) == 1 else None
+    rows = (df.select(one.alias("_r")) if one is not None
+            else df.select(F.explode(F.array(*pairs)).alias("_r")))
+    return rows.select("_r._t", "_r._k").where(F.col("_k").isNotNull())
+
+
+def _checks_frame(spark, checks: list[tuple[str, str]], check: str, counts: DataFrame) -> DataFrame:
+    """One result row per check (zero when no failing row was counted)."""
+    tests = spark.createDataFrame([(i, m, c) for i, (m, c) in enumerate(checks)],
+                                  "_t int, model string, column_name string")
+    # ``tests`` and ``counts`` both have one row per check: bounded by the suite size.
+    res = tests.join(F.broadcast(counts), "_t", "left")
+    failing = F.coalesce(F.col("failing_rows"), F.lit(0)).cast("long")
+    return res.select("model", F.lit(check).alias("check"), "column_name", failing.alias("failing_rows"),
+                      (failing == 0).alias("passed"))
+
+
+def _by_table(items):
+    """Group (index, table, column) by table object, keeping first-seen order."""
+    groups: list[tuple[DataFrame, list[tuple[int, str]]]] = []
+    for i, df, c in items:
+        for g_df, cols in groups:
+            if g_df is df:
+                cols.append((i, c))
+                break
+        else:
+            groups.append((df, [(i, c)]))
+    return groups
+
+
+def unique_many(checks: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """Q2 for many (model, table, column): non-null values appearing more than once.
+
+    All keys, tagged by check, go through one grouped count (map-side
+    partial counts, so a hot value costs one row per map task), then the
+    duplicated values are counted per check.
+    """
+    groups = _by_table([(i, df, c) for i, (_, df, c) in enumerate(checks)])
+    keys = reduce(DataFrame.unionByName, [_tagged_keys(df, cols) for df, cols in groups])
+    dups = (keys.groupBy("_t", "_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+            .groupBy("_t").agg(F.count(F.lit(1)).alias("failing_rows")))
+    return _checks_frame(groups[0][0].sparkSession, [(m, c) for m, _, c in checks], "unique", dups)
+
+
+def relationships_many(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """Q3/J7 for many (model, child, column, parent, field): child rows whose
+    non-null key has no parent row.
+
+    Child keys are first counted per (check, key) — a partial aggregate, so
+    a key holding a third of the rows never reaches one reducer as rows —
+    then anti-joined with the tagged parent keys, and the counts of the
+    orphan keys summed per check.  Foreign keys of one child table come
+    from a single scan.
+    """
+    groups = _by_table([(i, child, c) for i, (_, child, c, _, _) in enumerate(checks)])
+    child_keys = reduce(DataFrame.unionByName, [_tagged_keys(df, cols) for df, cols in groups])
+    per_key = child_keys.groupBy("_t", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    parents = reduce(DataFrame.unionByName, [_tagged_keys(p, [(i, f)]) for i, (_, _, _, p, f) in enumerate(checks)])
+    orphans = (per_key.join(parents, ["_t", "_k"], "left_anti")
+               .groupBy("_t").agg(F.sum("_n").alias("failing_rows")))
+    return _checks_frame(groups[0][0].sparkSession, [(m, c) for m, _, c, _, _ in checks], "relationships",
+                         orphans)
+
+
 def unique(df: DataFrame, column: str, model: str = "") -> DataFrame:
     """Q2: number of non-null values appearing more than once."""
-    dup_keys = (df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_k"))
-                .where(F.col("_k") > 1))
-    return dup_keys.agg(F.count(F.lit(1)).alias("failing_rows")).select(
-        F.lit(model).alias("model"), F.lit("unique").alias("check"), F.lit(column).alias("column_name"),
-        "failing_rows", (F.col("failing_rows") == 0).alias("passed"))
+    return unique_many([(model, df, column)])
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str, model: str = "") -> DataFrame:
     """Child rows whose non-null key has no parent row (anti join)."""
-    orphans = child.select(F.col(column).alias("_k")).where(F.col("_k").isNotNull()).join(
-        parent.select(F.col(field).alias("_k")), "_k", "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("failing_rows")).select(
-        F.lit(model).alias("model"), F.lit("relationships").alias("check"), F.lit(column).alias("column_name"),
-        "failing_rows", (F.col("failing_rows") == 0).alias("passed"))
+    return relationships_many([(model, child, column, parent, field)])
 
 
 @dataclass(frozen=True)
@@ -165,7 +227,8 @@ MART_TESTS = _mart_tests()
 
 
 def run_model_tests(tables: dict[str, DataFrame], tests: list[ModelTest] | None = None) -> DataFrame:
-    """Run a declarative suite; not_null tests of one model share one pass.
+    """Run a declarative suite: not_null tests of one model share one pass,
+    all unique tests one keyed aggregate, all relationships one anti join.
 
     Tests naming a model or column that is absent are skipped, so the same
     suite runs on a feature table built without the audit column.
@@ -173,6 +236,8 @@ def run_model_tests(tables: dict[str, DataFrame], tests: list[ModelTest] | None
     tests = MART_TESTS if tests is None else tests
     parts: list[DataFrame] = []
     by_model: dict[str, list[str]] = {}
+    uniq: list[tuple[str, DataFrame, str]] = []
+    rels: list[tuple[str, DataFrame, str, DataFrame, str]] = []
     for t in tests:
         df = tables.get(t.model)
         if df is None or t.column not in df.columns:
@@ -180,11 +245,15 @@ def run_model_tests(tables: dict[str, DataFrame], tests: list[ModelTest] | None
         if t.test == "not_null":
             by_model.setdefault(t.model, []).append(t.column)
         elif t.test == "unique":
-            parts.append(unique(df, t.column, t.model))
+            uniq.append((t.model, df, t.column))
         elif t.test == "relationships":
             parent = tables.get(t.to_model)
             if parent is not None:
-                parts.append(relationships(df, t.column, parent, t.to_field, t.model))
+                rels.append((t.model, df, t.column, parent, t.to_field))
+    if uniq:
+        parts.append(unique_many(uniq))
+    if rels:
+        parts.append(relationships_many(rels))
     for model, cols in by_model.items():
         parts.append(not_null(tables[model], cols, model))
     return reduce(DataFrame.unionByName, parts)
