@@ -92,3 +92,22 @@ def test_tolerance(spark):
                                                          allowed=["A", "B"]).collect()}
     assert res["null_fraction"]["passed"] and math.isclose(res["null_fraction"]["fraction"], 0.01)
     assert res["accepted_values"]["failing_rows"] == 1
+
+
+def test_fused_suite_matches_single_checks_with_hot_key(spark):
+    # one key holds a third of the child rows; two child tables, three parents
+    child = spark.createDataFrame([(7, "a") if i % 3 == 0 else (i, "b" if i % 5 else None) for i in range(300)],
+                                  "k long, s string")
+    other = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long")
+    p_k = spark.createDataFrame([(i,) for i in range(0, 250)], "k long")
+    p_s = spark.createDataFrame([("a",), ("c",)], "s string")
+    rel = quality.relationships_many([("child", child, "k", p_k, "k"), ("child", child, "s", p_s, "s"),
+                                      ("other", other, "k", p_k, "k")])
+    got = {(r["model"], r["column_name"]): r["failing_rows"] for r in rel.collect()}
+    assert got == {("child", "k"): sum(1 for i in range(250, 300) if i % 3), ("child", "s"): sum(1 for i in range(300) if i % 3 and i % 5),
+                   ("other", "k"): 0}
+    for m, df, c, p, f in [("child", child, "k", p_k, "k"), ("child", child, "s", p_s, "s")]:
+        assert quality.relationships(df, c, p, f, m).first()["failing_rows"] == got[(m, c)]
+    uq = quality.unique_many([("child", child, "k"), ("other", other, "k"), ("p", p_k, "k")])
+    got_u = {r["model"]: (r["failing_rows"], r["passed"]) for r in uq.collect()}
+    assert got_u == {"child": (1, False), "other": (1, False), "p": (0, True)}
