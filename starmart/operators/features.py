@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions.dates import day_of_week_sun0, is_weekend
+from starmart.operators.marts import sized_dimension
 from starmart.schemas import FEATURE_COLUMNS, FEATURE_ID_COLUMNS, LABEL_VALUE
 
 REQUIRED_COLUMNS = [
@@ -21,8 +22,9 @@ def fraud_features(fact: DataFrame, dim_customers: DataFrame, dim_products: Data
     """M1: fact left-joined to the four dimensions; PII and leakage left out.
 
     Customer and product dimensions keep the reference's DISTINCT semantics
-    (a key with two attribute versions fans out), so they are real joins and
-    AQE picks broadcast or shuffle from their measured size.  Date and
+    (a key with two attribute versions fans out), so they are real joins,
+    broadcast when their counted size is within the bound
+    (``marts.sized_dimension``), otherwise planned as shuffle joins.  Date and
     location attributes are functions of columns the fact row already
     carries (dim_date is keyed by the date of ``order_date``; the location
     key hashes the location tuple), so when those dimensions are not given
@@ -30,8 +32,9 @@ def fraud_features(fact: DataFrame, dim_customers: DataFrame, dim_products: Data
     derived dimension returns, without a fact-sized shuffle.
     """
     f = fact.alias("f")
-    c = dim_customers.select("customer_id", "customer_segment").alias("c")
-    p = dim_products.select("product_card_id", "product_price", "category_name", "department_name").alias("p")
+    c = sized_dimension(dim_customers.select("customer_id", "customer_segment")).alias("c")
+    p = sized_dimension(dim_products.select("product_card_id", "product_price", "category_name",
+                                            "department_name")).alias("p")
     star = (f.join(c, F.col("f.customer_id") == F.col("c.customer_id"), "left")
              .join(p, F.col("f.product_card_id") == F.col("p.product_card_id"), "left"))
 
@@ -44,7 +47,8 @@ def fraud_features(fact: DataFrame, dim_customers: DataFrame, dim_products: Data
 
     if dim_location is None:
         raise ValueError("pass dim_location, or use fraud_features_from_silver for in-place location")
-    s = dim_location.select("shipping_location_id", "latitude", "longitude", "order_region", "order_country").alias("s")
+    s = sized_dimension(dim_location.select("shipping_location_id", "latitude", "longitude", "order_region",
+                                            "order_country")).alias("s")
     star = star.join(s, F.col("f.shipping_location_id") == F.col("s.shipping_location_id"), "left")
     return _feature_projection(star, weekend, F.col("s.latitude"), F.col("s.longitude"),
                                F.col("s.order_region"), F.col("s.order_country"), label_value, audit)
@@ -62,8 +66,9 @@ def fraud_features_from_silver(stg: DataFrame, dim_customers: DataFrame, dim_pro
     from starmart.operators.marts import attach_location_key
 
     f = attach_location_key(stg).alias("f")
-    c = dim_customers.select("customer_id", "customer_segment").alias("c")
-    p = dim_products.select("product_card_id", "product_price", "category_name", "department_name").alias("p")
+    c = sized_dimension(dim_customers.select("customer_id", "customer_segment")).alias("c")
+    p = sized_dimension(dim_products.select("product_card_id", "product_price", "category_name",
+                                            "department_name")).alias("p")
     star = (f.join(c, F.col("f.customer_id") == F.col("c.customer_id"), "left")
              .join(p, F.col("f.product_card_id") == F.col("p.product_card_id"), "left"))
     has_loc = F.col("f.shipping_location_id").isNotNull()

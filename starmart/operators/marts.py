@@ -19,6 +19,37 @@ from starmart.functions.keys import surrogate_key
 from starmart.schemas import CUSTOMER_COLUMNS, FACT_COLUMNS, LOCATION_COLUMNS, PRODUCT_COLUMNS
 
 
+# Dimension rows shipped to every task at most; dimensions are projected to
+# the key and the few attributes a join needs before they are counted.
+MAX_BROADCAST_DIM_ROWS = 1_000_000
+
+
+def sized_dimension(dim: DataFrame, max_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
+    """A dimension ready to join with a fact.
+
+    It is computed once (checkpointed when a checkpoint folder is set; a
+    written table is counted from its metadata) and counted: within
+    ``max_rows`` it is marked for broadcast, so the fact side of the join
+    runs in its own stage without being shuffled.  A larger dimension is left
+    to the planner (sort-merge join, or AQE's runtime broadcast).
+    """
+    from starmart.session import materialize
+
+    if not _reads_files_only(dim):
+        dim = materialize(dim)
+    return F.broadcast(dim) if dim.count() <= max_rows else dim
+
+
+_SCAN_NODES = {"Project", "Filter", "Relation", "SubqueryAlias"}
+
+
+def _reads_files_only(df: DataFrame) -> bool:
+    """True when the optimised plan is a projection/filter of one file scan."""
+    tree = df._jdf.queryExecution().optimizedPlan().treeString()
+    nodes = {line.lstrip(" :+-").split(" ", 1)[0].split("[", 1)[0] for line in tree.splitlines() if line.strip()}
+    return nodes <= _SCAN_NODES
+
+
 def _latest_per_key(stg: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     """Newest attribute set per key (order_date desc, order_item_id desc).
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.numeric import exact_sum
+from starmart.operators.marts import sized_dimension
 
 ADDITIVE = ["sales", "order_item_total", "order_item_discount", "order_item_quantity"]
 
@@ -88,7 +89,7 @@ def monthly_category_sales(fact: DataFrame, dim_date: DataFrame, dim_products: D
     # dim_date has one row per calendar day present: bounded, broadcast is safe.
     star = (fact.select("date_key", "product_card_id", "sales")
             .join(F.broadcast(dim_date.select("date_key", "year", "month")), "date_key")
-            .join(dim_products.select("product_card_id", "category_name"), "product_card_id"))
+            .join(sized_dimension(dim_products.select("product_card_id", "category_name")), "product_card_id"))
     return star.groupBy("year", "month", "category_name").agg(
         exact_sum(F.col("sales"), places).alias("total_sales"),
         F.count(F.lit(1)).alias("n_lines"))

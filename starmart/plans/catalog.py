@@ -63,7 +63,7 @@ class Star:
 
 @query("monthly_category_sales")
 def monthly_category_sales(spark, sf_dir):
-    s = Star(spark, sf_dir)
+    s = Star(spark, sf_dir, materialize_stg=True)
     return measures.monthly_category_sales(s.fact, s.dim_date, s.dim_products)
 
 
@@ -108,17 +108,22 @@ NUMERIC_PROFILE_COLUMNS = [
 ]
 
 
-def feature_table(spark, sf_dir, audit=False, reused=True):
-    """The feature table; checkpointed when several branches of a query read it."""
-    s = Star(spark, sf_dir)
-    f = features.fraud_features_from_silver(s.stg, s.dim_customers, s.dim_products,
-                                            label_value=FIXTURE_LABEL, audit=audit)
-    return materialize(f) if reused else f
+def feature_table(spark, sf_dir, audit=False):
+    """The feature table over silver, which is cut first.
+
+    The customer and product dimensions are derived from the cut silver,
+    counted and broadcast, so the features are a narrow pass over it (no
+    shuffle): branches that reuse the table re-read silver instead of a
+    second copy.
+    """
+    s = Star(spark, sf_dir, materialize_stg=True)
+    return features.fraud_features_from_silver(s.stg, s.dim_customers, s.dim_products,
+                                               label_value=FIXTURE_LABEL, audit=audit)
 
 
 @query("fraud_features")
 def fraud_features(spark, sf_dir):
-    return feature_table(spark, sf_dir, reused=False)
+    return feature_table(spark, sf_dir)
 
 
 @query("event_time_parts")
@@ -275,13 +280,14 @@ def quality_by_run(spark, sf_dir):
 # --- measures ------------------------------------------------------------------
 
 def _fact_products(s: Star) -> DataFrame:
-    return s.fact.join(s.dim_products.select("product_card_id", "category_name", "department_name"),
-                       "product_card_id")
+    return s.fact.join(marts.sized_dimension(s.dim_products.select("product_card_id", "category_name",
+                                                                   "department_name")), "product_card_id")
 
 
 @query("rollup_sales")
 def rollup_sales(spark, sf_dir):
-    return measures.rollup_sales(_fact_products(Star(spark, sf_dir)), ["department_name", "category_name"],
+    return measures.rollup_sales(_fact_products(Star(spark, sf_dir, materialize_stg=True)),
+                                 ["department_name", "category_name"],
                                  mode="rollup")
 
 
@@ -374,11 +380,11 @@ def ordinal_encode(spark, sf_dir):
 def rare_label_features(spark, sf_dir) -> DataFrame:
     """Feature table whose positive class is rare: urgent partially-shipped
     orders play SUSPECTED_FRAUD (about 7 % of lines)."""
-    s = Star(spark, sf_dir)
+    s = Star(spark, sf_dir, materialize_stg=True)
     stg = s.stg.withColumn("order_status", F.when(
         (F.col("order_status") == "P") & (F.col("payment_type") == "1-URGENT"),
         F.lit("SUSPECTED_FRAUD")).otherwise(F.col("order_status")))
-    return materialize(features.fraud_features_from_silver(stg, s.dim_customers, s.dim_products, audit=False))
+    return features.fraud_features_from_silver(stg, s.dim_customers, s.dim_products, audit=False)
 
 
 def encoded_split(spark, sf_dir):
