@@ -75,3 +75,22 @@ def test_fact_incremental_merge_updates(spark):
     assert merged.count() == fact.count()
     assert merged.where(F.col("sales") == -1.0).count() == 0
     assert marts.fact_incremental(stg, fact, mode="new_only").count() == 0
+
+
+def test_sized_dimension_broadcasts_within_bound_only(spark, tmp):
+    fact = spark.createDataFrame([(i, i % 4) for i in range(200)] + [(999, None)], "id long, k long")
+    dim = spark.createDataFrame([(0, "a"), (1, "b"), (1, "b2"), (3, "d")], "k long, name string")
+    dim.write.parquet(f"{tmp}/dim")
+    written = spark.read.parquet(f"{tmp}/dim")
+    derived = dim.groupBy("k", "name").count().select("k", "name")
+    assert marts._reads_files_only(written.select("k")) and not marts._reads_files_only(derived)
+    results = []
+    for d, bound in ((written, 10), (derived, 10), (written, 0)):
+        joined = fact.join(marts.sized_dimension(d, max_rows=bound), "k", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        if bound:
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        results.append(sorted((r["id"], r["k"], r["name"]) for r in joined.collect()))
+    # key 1 has two attribute rows and fans out; key 2 and the null key find none
+    assert results[0] == results[1] == results[2]
+    assert len(results[0]) == 201 + 50
