@@ -41,8 +41,8 @@ def fraud_features(fact: DataFrame, dim_customers: DataFrame, dim_products: Data
     if dim_date is None:
         weekend = F.when(F.col("f.date_key").isNotNull(), is_weekend(F.to_date(F.col("f.order_date"))))
     else:
-        d = dim_date.select("date_key", "is_weekend").alias("d")
-        star = star.join(F.broadcast(d), F.col("f.date_key") == F.col("d.date_key"), "left")
+        d = sized_dimension(dim_date.select("date_key", "is_weekend")).alias("d")
+        star = star.join(d, F.col("f.date_key") == F.col("d.date_key"), "left")
         weekend = F.col("d.is_weekend")
 
     if dim_location is None:
