@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import packing, token_orc
+from starmart.llm import jaccard, packing, quality, token_orc, toxicity
 from starmart.llm.common import scratch_path
 
 
@@ -14,6 +14,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_components(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "orc")
     token_orc.write_tokens(_table(spark, sf_dir, "documents"), path)
@@ -25,6 +37,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op5_quality_rules": op5_quality_rules,
     "op6_token_orc": op6_token_orc,
     "op10_packing": op10_packing,
 }
