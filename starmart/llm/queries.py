@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starmart.llm import jaccard, packing, quality, token_orc, toxicity
+from starmart.llm import jaccard, mixing, packing, quality, sharding, token_orc, toxicity
 from starmart.llm.common import scratch_path
 
 
@@ -32,6 +33,15 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.read_tokens(spark, path)
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shard_documents(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_sizes(_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -41,7 +51,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_orc": op6_token_orc,
+    "op8_sharding": op8_sharding,
+    "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+
+ORACLE: dict[str, str] = {
+    "op9_mixing": f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size,
+         md5(concat_ws(':', '17', doc_id::VARCHAR)) AS k
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, list_extract([5, 2, 1], 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::BIGINT AS weight FROM s),
+l AS (
+  SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS remains,
+         (sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS rest
+  FROM w WINDOW o AS (ORDER BY source_size / weight, source NULLS LAST)),
+c AS (
+  SELECT *, min((3 * source_size * rest <= weight * remains)::INT) OVER (ORDER BY source_size / weight, source NULLS LAST) = 1 AS stops FROM l),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN stops THEN (3 * source_size)::DOUBLE
+              ELSE weight * (SELECT arg_min(remains::DOUBLE / rest, source_size / weight) FROM c WHERE NOT stops) END AS target
+  FROM c),
+p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN floor(t.target)::BIGINT // t.source_size ELSE 0 END AS passes,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (passes * size + greatest(0, least(size, floor(target)::BIGINT - passes * source_size - place)))::BIGINT AS taken
+FROM p""",
+}
