@@ -17,8 +17,10 @@ same links).  What follows is a chain of ever narrower filters:
 * exact intersection of the sorted shingle arrays.
 
 The stars leave some pairs of large groups open.  Where the members of such a
-group are in different components, all its pairs across components are tested,
-in tiles of two blocks of adjacent size bands, by the same filters.  Equal
+group are in different components, its pairs across components are tested by
+the same filters, in tiles of two blocks of the same or adjacent size bands:
+first the nearest documents by bitmap, then, if the components still differ,
+all the others.  Equal
 sets are handled once: they are linked by their digest, and one document
 stands for all of them in every later step.
 
@@ -50,6 +52,9 @@ FREQUENT, MAX_FREQUENT = 16, 1 << 20
 LOCAL_PAIRS, ALL_PAIRS = 8, 32
 #: Rows of a block of a tile.
 BLOCK = 256
+#: Nearest documents of each component that are tested for a document of a tile, round after round; the last
+#: round takes all that are left, so the earlier ones only decide how much is still open then.
+DEPTHS = (1, 8, 1 << 30)
 #: Ids up to which those of candidate documents are broadcast to pick their texts.
 MAX_IDS = 1_000_000
 MAX_BITS = 1 << 16
@@ -394,43 +399,59 @@ def _verify(pairs: DataFrame, docs: DataFrame, size: int, name: str) -> DataFram
     return cut(both.mapInArrow(_exact, "a long, b long").distinct(), f"{name}-links")
 
 
-def _tile_pairs(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs across components of one tile: its first block against its second (or itself)."""
+def _fold(bits: list[bytes], size: int) -> np.ndarray:
+    """The bitmaps as rows of 64-bit words, all folded to ``size`` bytes."""
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), axis=0) for x in bits])
+
+
+def _tile_pairs(rows: pd.DataFrame, depth: int) -> pd.DataFrame:
+    """Pairs across components of a tile that may link: for each left document the ``depth`` nearest of each component."""
     left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
-    own = not len(right)
-    right = left if own else right
+    if not len(left) or not len(right):
+        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    size = min(len(x) for x in rows["bits"])
+    x, y = _fold(left["bits"].tolist(), size), _fold(right["bits"].tolist(), size)
+    n, comp, ids = right["n"].to_numpy(), right["comp"].to_numpy(), right["doc"].to_numpy()
     a, b = [], []
-    ln, rn = left["n"].to_numpy(), right["n"].to_numpy()
-    lc, rc = left["comp"].to_numpy(), right["comp"].to_numpy()
-    near = (lc[:, None] != rc[None, :]) & (UNDER * np.minimum(ln[:, None], rn[None, :]) >= OVER * np.maximum(ln[:, None], rn[None, :]))
-    if own:
-        near &= np.tri(len(ln), k=-1, dtype=bool)
-    lb, rb, li, ri = left["bits"].tolist(), right["bits"].tolist(), left["doc"].to_numpy(), right["doc"].to_numpy()
-    for i, j in zip(*np.nonzero(near)):
-        if may_link(int(ln[i]), int(rn[j]), differing(lb[i], rb[j])):
-            a.append(min(li[i], ri[j]))
-            b.append(max(li[i], ri[j]))
-    return pd.DataFrame({"a": np.asarray(a, np.int64), "b": np.asarray(b, np.int64)})
-
-
-def _tiles(members: DataFrame) -> DataFrame:
-    """Candidate pairs among members ``(token, doc, n, bits, comp)`` of large groups that span components."""
-    spans = members.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo != hi").select("token", "m")
-    rows = members.join(spans, "token")
+    for i, (m, c, d) in enumerate(zip(left["n"].tolist(), left["comp"].tolist(), left["doc"].tolist())):
+        some = np.flatnonzero((comp != c) & (UNDER * np.minimum(n, m) >= OVER * np.maximum(n, m)))
+        differ = np.bitwise_count(y[some] ^ x[i]).sum(axis=1, dtype=np.int64)
+        overlap = (n[some] + m - differ) // 2
+        near = UNDER * overlap >= OVER * (n[some] + m - overlap)
+        some, differ = some[near], differ[near]
+        order = np.lexsort((ids[some], differ, comp[some]))
+        some = some[order]
+        own = comp[some]
+        first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
+        place = np.arange(len(own)) - np.repeat(first, np.diff(np.concatenate((first, [len(own)]))))
+        some = some[place < depth]
+        a.append(np.minimum(ids[some], d))
+        b.append(np.maximum(ids[some], d))
+    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
+
+
+def _tiles(members: DataFrame, depth: int) -> DataFrame:
+    """Candidate pairs among members ``(token, doc, n, bits, comp)`` of large groups that span components.
+
+    The left side of the tiles are the members outside a group's largest
+    component, the right side all its members.
+    """
+    per_comp = members.groupBy("token", "comp").agg(F.count("*").alias("m"))
+    spans = (per_comp.groupBy("token").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("m"), F.max("m").alias("most"))
+             .filter("m > most"))
     # sizes of linked sets have a ratio of at most 4/3, so they are in the same band or in adjacent ones
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.01 * UNDER / OVER))).cast("int")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("m") / BLOCK)).cast("int")
-    rows = rows.withColumn("band", band).withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int")).withColumn("blocks", blocks)
-    # a tile is a block of a band and a block of the same band (from its own on) or of the next one
-    every = "flatten(transform(array(0, 1), s -> transform(sequence(0, blocks - 1), k -> named_struct('s', s, 'k', k))))"
-    first = F.expr(f"transform({every}, x -> named_struct('band', band, 'one', block, 'step', x.s, 'two', x.k, 'side', 0))")
-    second = F.expr(f"transform({every}, x -> named_struct('band', band - x.s, 'one', x.k, 'step', x.s, 'two', block, 'side', 1))")
-    tiled = (rows.withColumn("tile", F.explode(F.concat(first, second)))
-             .filter("tile.step = 1 or tile.one < tile.two or (tile.one = tile.two and tile.side = 0)")
-             .select("token", "tile.*", "doc", "n", "comp", "bits"))
-    return tiled.groupBy("token", "band", "one", "step", "two").applyInPandas(
-        lambda keys, pdf: _tile_pairs(keys, pdf) if keys[3] == 0 and keys[2] == keys[4] or pdf["side"].nunique() == 2 else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)}),
-        "a long, b long").distinct()
+    rows = (members.join(spans, "token").withColumn("band", band)
+            .withColumn("lefts", F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int")).withColumn("rights", F.ceil(F.col("m") / BLOCK).cast("int")))
+    block = lambda n: F.pmod(F.xxhash64("doc"), F.col(n)).cast("int")
+    left = (rows.filter("comp != main").withColumn("one", block("lefts")).withColumn("side", F.lit(0))
+            .withColumn("step", F.explode(F.expr("sequence(-1, 1)"))).withColumn("two", F.explode(F.expr("sequence(0, rights - 1)"))))
+    right = (rows.withColumn("two", block("rights")).withColumn("side", F.lit(1))
+             .withColumn("step", F.explode(F.expr("sequence(-1, 1)"))).withColumn("one", F.explode(F.expr("sequence(0, lefts - 1)")))
+             .withColumn("band", F.col("band") - F.col("step")))
+    columns = ["token", "band", "one", "step", "two", "side", "doc", "n", "comp", "bits"]
+    tiled = left.select(*columns).union(right.select(*columns))
+    return tiled.groupBy("token", "band", "one", "step", "two").applyInPandas(lambda pdf: _tile_pairs(pdf, depth), "a long, b long").distinct()
 
 
 # --- components -------------------------------------------------------------
@@ -477,7 +498,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame,
     # a document of several texts links their classes
     bridges = every.withColumnRenamed("rep", "b").join(classes, "doc_id").select(F.col("rep").alias("a"), "b").filter("a != b").distinct()
 
-    frequent = spark.sparkContext.broadcast(frequent_shingles(texts, size))       # MAX_FREQUENT numbers at most
+    frequent = spark.sparkContext.broadcast(frequent_shingles(texts, size, FREQUENT, MAX_FREQUENT))       # MAX_FREQUENT numbers at most
     posted = cut(texts.mapInArrow(_post(size, parts, frequent), POSTED), "posted")
     met = posted.filter("part >= 0").repartition(parts, "part").mapInArrow(_meet, "token long, a long, b long")
     found = cut(met.union(posted.filter("part < 0").mapInArrow(_unpack, "token long, a long, b long")), "found")
@@ -490,16 +511,22 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame,
     side = lambda x: own.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
     near = (pairs.join(side("a"), "a").join(side("b"), "b").filter(f"least(n_a, n_b) * {UNDER} >= {OVER} * greatest(n_a, n_b)")
             .select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_by_bitmap, "a long, b long").distinct())
-    links = _verify(cut(near, "near"), texts, size, "first").union(bridges)
+    near = cut(near, "near")
+    links = _verify(near, texts, size, "first").union(bridges)
 
     large = found.filter("token is not null").select("token", F.col("a").alias("doc"))
-    large = large.join(rep("a").withColumnRenamed("a", "doc"), "doc").select("token", F.col("rep_a").alias("doc")).distinct()
-    comp = components(links, "first")
-    members = (large.join(comp, F.col("doc") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "doc")).drop("node")
-               .join(own.withColumnRenamed("doc_id", "doc"), "doc"))
-    open_pairs = cut(_tiles(cut(members, "members")), "open")
-    if not open_pairs.isEmpty():
-        links = links.union(_verify(open_pairs, texts, size, "second"))
+    large = cut(large.join(rep("a").withColumnRenamed("a", "doc"), "doc").select("token", F.col("rep_a").alias("doc")).distinct()
+                .join(own.withColumnRenamed("doc_id", "doc"), "doc"), "large")
+    tested = near
+    for depth in DEPTHS:
+        comp = components(links, "first")
+        members = large.join(comp, F.col("doc") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "doc")).drop("node")
+        candidates = cut(_tiles(members, depth), "tiles")
+        if candidates.isEmpty():
+            break
+        more = cut(candidates.join(tested, ["a", "b"], "left_anti"), "open")
+        links = links.union(_verify(more, texts, size, "open"))
+        tested = tested.union(more)
     return sets.select("doc_id", "n"), classes, links
 
 

@@ -79,6 +79,7 @@ def test_planted_families_match_all_pairs(spark, planted, monkeypatch):
     monkeypatch.setattr(jaccard, "LOCAL_PAIRS", 2)
     monkeypatch.setattr(jaccard, "ALL_PAIRS", 3)
     monkeypatch.setattr(jaccard, "BLOCK", 7)
+    monkeypatch.setattr(jaccard, "FREQUENT", 10_000)
     assert rows_of(jaccard.join_components(df)) == expect
 
 
