@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import chat, jaccard, mixing, packing, quality, sharding, token_orc, toxicity, warc
+from starmart.llm import chat, jaccard, mixing, omh, packing, quality, sharding, token_orc, toxicity, warc
 from starmart.llm.common import scratch_path
 
 
@@ -45,6 +45,10 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.read_tokens(spark, path)
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return omh.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_documents(_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_orc": op6_token_orc,
+    "op7_order_minhash": op7_order_minhash,
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
