@@ -30,6 +30,8 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -113,10 +115,14 @@ class _Files:
 def _write(uri: str, roll: int, date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pafs.FileSystem.from_uri(uri)
-        files = None
+        files, note = None, ((), None, None)
         lines: list = []
         for batch in batches:
-            for shard, page_id, url, payload, refers_to, refers_url in zip(*(c.to_pylist() for c in batch.columns)):
+            for shard, page_id, url, digest, payload, refers_to, refers_url, kind in zip(*(c.to_pylist() for c in batch.columns)):
+                if not kind:
+                    note = ((page_id, url, digest), refers_to, refers_url)
+                    continue
+                _, refers_to, refers_url = note if note[0] == (page_id, url, digest) else ((), None, None)
                 if files is None or files.shard != shard:
                     if files is not None:
                         files.close()
@@ -141,21 +147,31 @@ def write_warc(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, shard_b
     # the first record of each payload that occurs more than once; groups are summed before they are shuffled
     first = (ranked.filter(F.col("bytes") >= min_revisit).groupBy("digest")
              .agg(F.min(F.struct("page_id", "url")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-             .select("digest", "n", F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("refers_url")))
+             .select("digest", F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("refers_url")))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if shard_bytes is None:
         total = ranked.agg(F.sum("bytes")).first()[0] or 0
         shard_bytes = min(max(total // n, SHARD_BYTES[0]), SHARD_BYTES[1])
     same = F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("url").eqNullSafe(F.col("refers_url"))
-    plan = (ranked.join(first, "digest", "left").withColumn("to", F.when(F.col("n").isNotNull() & ~same, F.struct("refers_to", "refers_url")))
-            .groupBy(F.col("page_id").alias("_id"), F.col("url").alias("_url"), F.col("digest").alias("_digest"))
-            .agg(F.expr(f"min(before) div {int(shard_bytes)}").alias("shard"), F.first("to").alias("to")))
-    full = rows.withColumn("digest", F.concat(F.sha1("payload"), F.hex(F.crc32("payload"))))
-    on = F.col("page_id").eqNullSafe(F.col("_id")) & F.col("url").eqNullSafe(F.col("_url")) & (F.col("digest") == F.col("_digest"))
-    records = full.join(plan, on).select("shard", "page_id", "url", "payload", F.col("to.refers_to").alias("refers_to"), F.col("to.refers_url").alias("refers_url"))
+    notes = (ranked.join(first, "digest").filter(~same).groupBy("page_id", "url", "digest")
+             .agg(F.first("refers_to").alias("refers_to"), F.first("refers_url").alias("refers_url")))
+    # the first id of each shard: as many numbers as there are shards
+    firsts = ranked.groupBy("page_id").agg(F.min("before").alias("before")).groupBy(F.expr(f"before div {int(shard_bytes)}")).agg(F.min("page_id").alias("id"))
+    bounds = spark.sparkContext.broadcast(np.sort(np.array([r.id for r in firsts.filter("id is not null").collect()], dtype=np.int64)))
+
+    @F.pandas_udf("long")
+    def shard_of(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.maximum(np.searchsorted(bounds.value, ids.to_numpy(), side="right") - 1, 0))
+
+    # records and what is to be noted of them meet in one shuffle: the note stands right before its records
+    full = rows.select("page_id", "url", F.concat(F.sha1("payload"), F.hex(F.crc32("payload"))).alias("digest"), "payload",
+                       F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("string").alias("refers_url"), F.lit(1).alias("kind"))
+    noted = notes.select("page_id", "url", "digest", F.lit(None).cast("binary").alias("payload"), "refers_to", "refers_url", F.lit(0).alias("kind"))
+    least = F.lit(np.iinfo(np.int64).min.item())          # a null id goes to the first shard
+    records = full.union(noted).select(shard_of(F.coalesce("page_id", least)).alias("shard"), "*")
     store, root = pafs.FileSystem.from_uri(uri)
     store.create_dir(root, recursive=True)
-    lines = (records.repartition(n, "shard").sortWithinPartitions("shard", "page_id", "url", "refers_to")
+    lines = (records.repartition(n, "shard").sortWithinPartitions("shard", "page_id", "url", "digest", "kind")
              .mapInArrow(_write(uri, roll_bytes, date), MANIFEST))
     lines.write.parquet(f"{uri}/_manifest")
 
