@@ -538,3 +538,19 @@ def join_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     labelled = classes.join(comp, "rep", "left").select("doc_id", F.coalesce("comp", "rep").alias("component_id"))
     out = per_doc.join(labelled, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.union(sets.filter("doc_id is null").select("doc_id", "n", F.lit(None).cast("long")))
+
+
+def filter_documents(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """One document of each component, that with the smallest id, with all its columns.
+
+    Rows without an id stay.  Of rows that repeat an id, one stays.
+    """
+    found = cut(join_components(docs, size), "components")
+    kept = cut(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")), "kept")
+    wanted = F.broadcast(kept) if kept.count() <= MAX_IDS else kept                # eight bytes an id
+    out = docs.join(wanted, F.col("doc_id").cast("long") == F.col("_id"), "left_semi")
+    known = docs.filter("doc_id is not null")
+    if known.count() != found.filter("doc_id is not null").count():
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(whole, F.xxhash64("text")).alias("_row")).select("_row.*")
+    return out.unionByName(docs.filter("doc_id is null"))

@@ -119,8 +119,10 @@ def balanced_shards(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
         # ties go to the smaller of a hash, which spreads the groups over the shards
         goal = here.groupBy("_block").agg(F.max_by("shard", F.struct("_here", F.xxhash64("_block", "shard"))).alias("_to"), F.count("*").alias("_spread"))
         goal = goal.filter("_spread > 1").select(F.col("_block").alias("_b"), "_to")
-        asked = cut(state.join(goal, F.col("_block") == F.col("_b"), "left").drop("_b")
-                    .withColumn("_to", F.when(F.col("_to") != F.col("shard"), F.col("_to"))), "asked")
+        # unlinked documents have no key to join on: they would all meet in one task
+        linked_rows = state.filter("_block is not null").join(goal, F.col("_block") == F.col("_b"), "left").drop("_b")
+        single_rows = state.filter("_block is null").withColumn("_to", F.lit(None).cast("int"))
+        asked = cut(linked_rows.withColumn("_to", F.when(F.col("_to") != F.col("shard"), F.col("_to"))).unionByName(single_rows), "asked")
         demand = {(r["shard"], r["_to"], r["_salt"]): r["n"] for r in asked.filter("_to is not null").groupBy("shard", "_to", "_salt").agg(F.count("*").alias("n")).collect()}
         free = {(r["shard"], r["_salt"]): r["n"] for r in asked.filter("_block is null").groupBy("shard", "_salt").agg(F.count("*").alias("n")).collect()}
         wish, room = np.zeros((shards, shards), np.int64), np.zeros(shards, np.int64)
