@@ -26,17 +26,18 @@ def round_half_even(c: Column, places: int) -> Column:
     return F.bround(c, places)
 
 
-# Money and rate products in the feed carry at most 4 decimals.
-MONEY = T.DecimalType(24, 4)
+# Ten decimals hold products of money and rates without rounding any value
+# of the feed; 28 digits leave the sum 38 of them.
+EXACT = T.DecimalType(28, 10)
 
 
-def exact_sum(c: Column, places: int | None = None, scale_type: T.DecimalType = MONEY) -> Column:
-    """Sum of a fixed-decimal measure without floating-point drift.
+def exact_sum(c: Column, places: int | None = None, scale_type: T.DecimalType = EXACT) -> Column:
+    """Sum of a decimal measure without floating-point drift.
 
     A double sum of many large values depends on the summation order (two
-    plans, or two engines, disagree in the last digits).  Each value is
-    rounded to the feed's decimal scale and summed exactly as a decimal; the
-    result is rounded to ``places`` and returned as double.
+    plans, or two engines, disagree in the last digits).  The values are
+    summed exactly as decimals of a wide scale; only the result is rounded,
+    to ``places``, and returned as double.
     """
     s = F.sum(c.cast(scale_type))
     if places is not None:

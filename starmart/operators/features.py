@@ -204,13 +204,16 @@ def profile_boolean(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def class_balance(df: DataFrame, target: str = "target") -> DataFrame:
-    """Class counts, percentages and the imbalance ratio n0 / max(n1, 1)."""
+    """Class counts, percentages and the imbalance ratio n0 / max(n1, 1).
+
+    An empty frame has null percentages.
+    """
     n1 = F.count_if(F.col(target) == 1)
     n0 = F.count_if(F.col(target) == 0)
     n = F.count(F.lit(1))
     return df.agg(n.alias("n_rows"), n1.alias("n_fraud"), n0.alias("n_clean"),
-                  F.round(n1 * 100.0 / n, 4).alias("pct_fraud"),
-                  F.round(n0 * 100.0 / n, 4).alias("pct_clean"),
+                  F.round(F.try_divide(n1 * F.lit(100.0), n.cast("double")), 4).alias("pct_fraud"),
+                  F.round(F.try_divide(n0 * F.lit(100.0), n.cast("double")), 4).alias("pct_clean"),
                   F.round(n0 / F.greatest(n1, F.lit(1)), 4).alias("imbalance_ratio"))
 
 

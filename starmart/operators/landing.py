@@ -39,8 +39,10 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
     try:
         return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def land(spark: SparkSession, batch: DataFrame, raw_path: str, run_id: int, key: str = ORDER_ITEM_ID,

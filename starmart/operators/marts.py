@@ -19,35 +19,31 @@ from starmart.functions.keys import surrogate_key
 from starmart.schemas import CUSTOMER_COLUMNS, FACT_COLUMNS, LOCATION_COLUMNS, PRODUCT_COLUMNS
 
 
-# Dimension rows shipped to every task at most; dimensions are projected to
-# the key and the few attributes a join needs before they are counted.
+# Dimensions shipped to every task at most: rows, and bytes of their values as
+# text; dimensions are projected to the key and the few attributes a join
+# needs before they are counted.
 MAX_BROADCAST_DIM_ROWS = 1_000_000
+MAX_BROADCAST_DIM_BYTES = 64 << 20
 
 
-def sized_dimension(dim: DataFrame, max_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
+def sized_dimension(dim: DataFrame, max_rows: int = MAX_BROADCAST_DIM_ROWS, is_table: bool = False,
+                    max_bytes: int = MAX_BROADCAST_DIM_BYTES) -> DataFrame:
     """A dimension ready to join with a fact.
 
-    It is computed once (checkpointed when a checkpoint folder is set; a
-    written table is counted from its metadata) and counted: within
-    ``max_rows`` it is marked for broadcast, so the fact side of the join
-    runs in its own stage without being shuffled.  A larger dimension is left
-    to the planner (sort-merge join, or AQE's runtime broadcast).
+    A derived dimension is computed and written once; ``is_table`` says that
+    it already is a narrow read of a written table.  Its rows and bytes are
+    counted: within both bounds it is marked for broadcast, so the fact side
+    of the join runs in its own stage without being shuffled.  A larger
+    dimension is left to the planner (sort-merge join, or AQE's runtime
+    broadcast); the result is the same.
     """
-    from starmart.session import materialize
+    from starmart.session import written
 
-    if not _reads_files_only(dim):
-        dim = materialize(dim)
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
-
-
-_SCAN_NODES = {"Project", "Filter", "Relation", "SubqueryAlias"}
-
-
-def _reads_files_only(df: DataFrame) -> bool:
-    """True when the optimised plan is a projection/filter of one file scan."""
-    tree = df._jdf.queryExecution().optimizedPlan().treeString()
-    nodes = {line.lstrip(" :+-").split(" ", 1)[0].split("[", 1)[0] for line in tree.splitlines() if line.strip()}
-    return nodes <= _SCAN_NODES
+    if not is_table:
+        dim = written(dim)
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(1)) for c in dim.columns), F.lit(0))
+    n, n_bytes = dim.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(dim) if n <= max_rows and n_bytes <= max_bytes else dim
 
 
 def _latest_per_key(stg: DataFrame, key: str, attrs: list[str]) -> DataFrame:

@@ -32,9 +32,9 @@ def rollup_sales(df: DataFrame, by: list[str], measures: list[str] | None = None
 
 
 def sales_per_customer(df: DataFrame, by: list[str], places: int | None = 6) -> DataFrame:
-    """``SUM(sales) / COUNT(DISTINCT customer_id)``."""
+    """``SUM(sales) / COUNT(DISTINCT customer_id)``; null for a group without a customer."""
     return df.groupBy(*by).agg(
-        _r(exact_sum(F.col("sales")) / F.countDistinct("customer_id"), places).alias("sales_per_customer"),
+        _r(F.try_divide(exact_sum(F.col("sales")), F.countDistinct("customer_id").cast("double")), places).alias("sales_per_customer"),
         F.countDistinct("customer_id").alias("n_customers"))
 
 
@@ -52,9 +52,9 @@ def order_level_once(df: DataFrame, by: list[str], column: str = "benefit_per_or
 
 def weighted_ratio(df: DataFrame, by: list[str], ratio: str = "order_item_discount_rate",
                    weight: str = "sales", places: int | None = 6) -> DataFrame:
-    """``sum(ratio * weight) / sum(weight)``."""
+    """``sum(ratio * weight) / sum(weight)``; null where the weights sum to zero."""
     return df.groupBy(*by).agg(
-        _r(F.sum(F.col(ratio) * F.col(weight)) / F.sum(weight), places).alias(f"weighted_{ratio}"))
+        _r(F.try_divide(F.sum(F.col(ratio) * F.col(weight)), F.sum(weight)), places).alias(f"weighted_{ratio}"))
 
 
 def median_by_histogram(df: DataFrame, by: list[str], column: str) -> DataFrame:

@@ -22,9 +22,14 @@ def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
 
 
 def value_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
-                  rel_error: float = 1e-3, out: str = "_bucket") -> DataFrame:
-    """Attach a range-bucket id to every row (quantile splits of ``order_col``)."""
+                  rel_error: float | None = None, out: str = "_bucket") -> DataFrame:
+    """Attach a range-bucket id to every row (quantile splits of ``order_col``).
+
+    The sketch's rank error defaults to a quarter of a bucket, so no bucket of
+    distinct values outgrows the others by more than that at any count.
+    """
     n = _n_buckets(df, n_buckets)
+    rel_error = min(1e-3, 1 / (4 * n)) if rel_error is None else rel_error
     probs = [i / n for i in range(1, n)]
     cuts = df.select(F.col(order_col).cast("double").alias("_v")).approxQuantile("_v", probs, rel_error)
     inner = sorted(set(cuts)) or [0.0]        # empty input: one neutral split

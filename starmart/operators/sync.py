@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.ordering import global_row_number
+from starmart.session import written
 
 STATS_SCHEMA = "table string, mode string, inserted long, updated long, skipped long, status string, reason string"
 
@@ -226,42 +227,96 @@ VERSION_COL = "sm_version"   # partition column of versioned tables
 
 @dataclass
 class VersionedTable:
-    """A table stored as ``<base>/sm_version=<n>`` directories.
+    """A table stored as ``<base>/sm_version=<n>`` directories and a log of them.
 
-    A write goes to a new version directory and never touches the version
-    being read; Spark's job commit makes a version visible only when it is
-    complete.  Readers select the highest version (partition pruning on v).
+    A version is either a whole state or rows appended to the state before
+    it.  Its directory is written first and entered in ``<base>/_log`` when it
+    is complete, so a reader opens the last whole state and what was appended
+    since, and never looks into other directories.
     """
     base: str
 
-    def _frame(self, spark: SparkSession) -> DataFrame | None:
+    def _entries(self, spark: SparkSession) -> dict[int, bool]:
+        """The logged versions: whether each is a whole state."""
         from pyspark.errors import AnalysisException
         try:
-            return spark.read.parquet(self.base)
-        except AnalysisException:
-            return None
+            log = spark.read.parquet(f"{self.base}/_log")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return {}
+            raise
+        return {r["version"]: r["whole"] for r in log.select("version", "whole").distinct().collect()}
 
     def latest_version(self, spark: SparkSession) -> int | None:
-        df = self._frame(spark)
-        return None if df is None else df.agg(F.max(VERSION_COL)).first()[0]
+        return max(self._entries(spark), default=None)
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        """Highest version, or the highest one below ``before``."""
-        df = self._frame(spark)
-        if df is None:
+        """The latest state, or the one before version ``before``."""
+        known = {v: whole for v, whole in self._entries(spark).items() if before is None or v < before}
+        states = [v for v, whole in known.items() if whole]
+        if not states:
             return None
-        if before is not None:
-            df = df.where(F.col(VERSION_COL) < before)
-            if df.isEmpty():
-                return None
-        return df.where(F.col(VERSION_COL) == df.agg(F.max(VERSION_COL)).scalar()).drop(VERSION_COL)
+        paths = [f"{self.base}/{VERSION_COL}={v}" for v in sorted(known) if v >= max(states)]
+        return spark.read.parquet(*paths)
 
-    def write(self, df: DataFrame, version: int | None = None, replace: bool = False) -> str:
+    def write(self, df: DataFrame, version: int | None = None, replace: bool = False, whole: bool = True) -> str:
         """Write the next version (or an explicit one; ``replace`` rewrites an
         explicit version, which a retried streaming batch needs)."""
+        spark = df.sparkSession
         if version is None:
-            cur = self.latest_version(df.sparkSession)
+            cur = self.latest_version(spark)
             version = 0 if cur is None else cur + 1
         path = f"{self.base}/{VERSION_COL}={version}"
         df.write.mode("overwrite" if replace else "errorifexists").parquet(path)
+        (spark.createDataFrame([(version, whole)], "version long, whole boolean").coalesce(1)
+         .write.mode("append").parquet(f"{self.base}/_log"))
         return path
+
+    def append(self, rows: DataFrame) -> str:
+        """Add rows to the latest state: only these rows are written."""
+        return self.write(rows, whole=False)
+
+    def expired(self, spark: SparkSession, keep: int = 2) -> list[str]:
+        """Directories that no reader of the last ``keep`` whole states needs, for the store's own clean-up."""
+        known = self._entries(spark)
+        states = sorted(v for v, whole in known.items() if whole)
+        oldest = states[-keep] if len(states) >= keep else 0
+        return [f"{self.base}/{VERSION_COL}={v}" for v in sorted(known) if v < oldest]
+
+
+def publish_table(spec: TableSpec, source: DataFrame | None, store: VersionedTable, spark: SparkSession,
+                  force_full: bool = False) -> DataFrame:
+    """Sync one table into its serving store and return its stats row.
+
+    A table with nothing to do writes no files; insert-only tables append
+    just the new rows; whatever fails, while planning or running, becomes a
+    ``failed`` row, so the other tables go on.
+    """
+    row = lambda mode, inserted, skipped, status="ok", reason=None: _stats(
+        spark, spec.table, mode, inserted, 0, skipped, status, reason)
+    try:
+        if source is None:
+            return row(spec.sync_mode, 0, 0, "skipped", "missing_locally")
+        target = store.read(spark)
+        full = spec.sync_mode == "full" or (force_full and spec.sync_mode in ("upsert", "incremental"))
+        if target is None and spec.sync_mode == "upsert" or full:
+            n = source.count()
+            if full and not force_full and target is not None and 0 < n == target.count():
+                return row("skip", 0, n)
+            store.write(source)
+            return row("full" if full else spec.sync_mode, n, 0)
+        if spec.sync_mode == "upsert":
+            new = written(source.join(target.select(spec.pk), spec.pk, "left_anti").select(*target.columns))
+            n, n_source = new.count(), source.count()
+            if n:
+                store.append(new)
+            return row("upsert", n, n_source - n)
+        result = sync_table(spec, source, target, force_full)
+        if result.state is None:
+            return result.stats
+        stats = spark.createDataFrame(result.stats.collect(), STATS_SCHEMA)      # one row, before the store changes
+        if target is None or stats.first()["inserted"]:
+            store.write(result.state)
+        return stats
+    except Exception as e:  # noqa: BLE001 - isolate one table's failure
+        return row(spec.sync_mode, 0, 0, "failed", f"{type(e).__name__}: {e}"[:500])

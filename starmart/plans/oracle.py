@@ -628,11 +628,22 @@ UNION ALL SELECT 'weighted avg', round_even((p0 * s0 + p1 * s1) / n, 4), round_e
 
 
 SPLIT = """,
+class_sizes AS (
+  SELECT target, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM features GROUP BY target
+),
+class_draws AS (
+  SELECT target, n, total, (total * 20 + 99) // 100 AS draws FROM class_sizes
+),
+class_quotas AS (
+  SELECT target, (n * draws) // total
+         + CASE WHEN row_number() OVER (ORDER BY (n * draws) % total DESC, target)
+                     <= draws - sum((n * draws) // total) OVER () THEN 1 ELSE 0 END AS quota
+  FROM class_draws
+),
 split AS (
-  SELECT *, row_number() OVER (PARTITION BY target
-              ORDER BY md5(CAST(order_item_id AS VARCHAR) || '-42'), order_item_id)
-            <= (count(*) OVER (PARTITION BY target) * 20 + 99) // 100 AS is_test
-  FROM features
+  SELECT f.*, row_number() OVER (PARTITION BY f.target
+                ORDER BY md5(CAST(f.order_item_id AS VARCHAR) || '-42'), f.order_item_id) <= q.quota AS is_test
+  FROM features f JOIN class_quotas q ON f.target = q.target
 )"""
 
 

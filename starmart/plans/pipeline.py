@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators import evaluation, features, landing, marts, modeling, quality, runs, sync
 from starmart.operators.staging import stage_orders
+from starmart.session import written
 from starmart.schemas import CATEGORICAL_FEATURES, FEATURE_COLUMNS, LABEL_VALUE
 
 
@@ -149,31 +150,29 @@ def predict_new(spark: SparkSession, wh: Warehouse, order_ids: DataFrame | None
         lines = feats.join(keys, "order_id", "left_semi")
         scored = modeling.score(bundle, lines, keep=["order_id", "order_item_id"])
         batch = modeling.one_per_order(scored.drop("p"), keep="first")
-        state = current.unionByName(modeling.insert_if_absent(current, batch, bundle.threshold,
-                                                              bundle.model_version))
+        new = written(modeling.insert_if_absent(current, batch, bundle.threshold, bundle.model_version))
+        if store.latest_version(spark) is None:
+            store.write(new)
+        elif not new.isEmpty():
+            store.append(new)
     else:
         lines = feats.join(order_ids.select("order_id").distinct(), "order_id", "left_semi")
         scored = modeling.score(bundle, lines, keep=["order_id", "order_item_id"])
         batch = modeling.one_per_order(scored.drop("p"), keep="last")
-        state = modeling.upsert(current, batch, bundle.threshold, bundle.model_version)
-    path = store.write(state)
-    return spark.read.parquet(path)
+        store.write(modeling.upsert(current, batch, bundle.threshold, bundle.model_version))
+    return store.read(spark)
 
 
 def publish(spark: SparkSession, wh: Warehouse, serving_root: str,
             registry: list[sync.TableSpec] | None = None, force_full: bool = False) -> DataFrame:
-    """Sync every registry table to the serving root (new version per table)."""
+    """Sync every registry table to the serving root; what changed becomes a new version of its table."""
     registry = registry or sync.DEFAULT_REGISTRY
     results = []
     for spec in registry:
         name = spec.table.split(".")[-1]
         src = (sync.VersionedTable(wh.path("warehouse/predictions")).read(spark) if name == "predictions"
                else landing.read_raw(spark, wh.path(f"warehouse/{name}")))
-        tgt_store = sync.VersionedTable(f"{serving_root}/{name}")
-        r = sync.sync_table(spec, src, tgt_store.read(spark), force_full)
-        if r.state is not None:
-            tgt_store.write(r.state)
-        results.append(r.stats)
+        results.append(sync.publish_table(spec, src, sync.VersionedTable(f"{serving_root}/{name}"), spark, force_full))
     stats = results[0]
     for s in results[1:]:
         stats = stats.unionByName(s)

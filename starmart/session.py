@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,31 +55,32 @@ def get_spark(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder for intermediate data, which the cluster names in ``spark.checkpoint.dir``.
 
-    Raises when none is configured: a machine-local temporary folder is never
-    a valid fallback on a cluster (tests set one explicitly).
+    A session on one machine (``local[...]``), as in tests, gets a folder of
+    its own where the setting is missing.  On a cluster a machine-local folder
+    is never a valid fallback, so a missing setting is an error there.
     """
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        spark.sparkContext.setCheckpointDir(conf)
-        return spark.sparkContext.getCheckpointDir()
-    raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+    context = spark.sparkContext
+    found = context.getCheckpointDir()
+    if found:
+        return found
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+        named = tempfile.mkdtemp(prefix="starmart-checkpoint-")
+    context.setCheckpointDir(named)
+    return context.getCheckpointDir()
 
 
-def materialize(df):
-    """Cut the lineage of an intermediate that several branches reuse.
+def written(df):
+    """Write an intermediate as Parquet into the shared folder and read it back.
 
-    Reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir`` (it
-    survives executor loss, unlike a local checkpoint).  Without a
-    configured folder the lazy plan is returned unchanged.
+    This cuts the lineage, survives lost executors and is columnar: readers
+    load only the columns they use, and filters reach the scan.
     """
     spark = df.sparkSession
-    try:
-        checkpoint_dir(spark)
-    except RuntimeError:
-        return df
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -81,3 +81,64 @@ def test_prefix_sums_and_row_number(spark):
     assert sorted(r["row_number"] for r in rn) == list(range(1, 501))
     pos = {r["i"]: r["row_number"] for r in rn}
     assert [pos[i] for i in order] == list(range(1, 501))
+
+
+def test_single_class_empty_and_zero_weight_give_null(spark):
+    from starmart.operators import features, measures
+
+    one = spark.createDataFrame([(1, 0.2), (1, 0.9)], "label int, score double")
+    assert evaluation.roc_auc(one).first()["roc_auc"] is None
+    assert {r["fpr"] for r in evaluation.roc_curve(one).collect()} == {None, 0.0}
+    empty = spark.createDataFrame([], "target int")
+    assert features.class_balance(empty).first()["pct_fraud"] is None
+    rows = spark.createDataFrame([("a", 0.1, 5.0, 1), ("a", 0.2, -5.0, 1), ("b", 0.5, 2.0, None)],
+                                 "g string, order_item_discount_rate double, sales double, customer_id int")
+    got = {r["g"]: r[1] for r in measures.weighted_ratio(rows, ["g"]).collect()}
+    assert got == {"a": None, "b": 0.5}
+    assert {r["g"]: r["sales_per_customer"] for r in measures.sales_per_customer(rows, ["g"]).collect()} == {"a": 0.0, "b": None}
+
+
+def test_auc_of_billions_does_not_overflow(spark):
+    import pyspark.sql.functions as F
+
+    from starmart.operators.ordering import prefix_sums
+
+    hist = spark.createDataFrame([(0.1, 0, 4_000_000_000), (0.9, 4_000_000_000, 0)], "score double, pos long, neg long")
+    original = evaluation.score_histogram
+    evaluation.score_histogram = lambda *a, **k: hist
+    try:
+        assert evaluation.roc_auc(hist).first()["roc_auc"] == 1.0
+    finally:
+        evaluation.score_histogram = original
+    big = prefix_sums(spark.range(0, 20000).select((F.col("id") * 1.0).alias("s"), F.lit(1).alias("n")), "s", ["n"], n_buckets=400)
+    assert big.where("n_before != cast(s as long)").count() == 0
+
+
+def test_buckets_stay_even_at_many(spark):
+    import pyspark.sql.functions as F
+
+    from starmart.operators.ordering import value_buckets
+
+    rows = spark.range(0, 200_000).select(F.rand(3).alias("s"))
+    sizes = [r["count"] for r in value_buckets(rows, "s", 4000).groupBy("_bucket").count().collect()]
+    assert max(sizes) < 3 * 200_000 / 4000
+
+
+def test_exact_sum_keeps_small_values(spark):
+    import pyspark.sql.functions as F
+
+    from starmart.functions.numeric import exact_sum
+
+    df = spark.range(10).select(F.lit(0.00004).alias("x"))
+    assert df.agg(exact_sum(F.col("x"), 6).alias("s")).first()["s"] == 0.0004
+
+
+def test_roc_curve_without_collinear_points(spark):
+    rows = [(0, 0.1), (0, 0.2), (1, 0.3), (1, 0.4), (0, 0.5), (1, 0.6), (1, 0.7)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    full = sorted((r["fpr"], r["tpr"]) for r in evaluation.roc_curve(df).collect())
+    bent = sorted((r["fpr"], r["tpr"]) for r in evaluation.roc_curve(df, drop_intermediate=True).collect())
+    assert len(full) == 8 and set(bent) < set(full)
+    slopes = [(b[0] - a[0], b[1] - a[1]) for a, b in zip(bent, bent[1:])]
+    assert all(abs(p[0] * q[1] - p[1] * q[0]) > 1e-9 for p, q in zip(slopes, slopes[1:]))
+    assert bent[0] == (0.0, 0.0) and bent[-1] == (1.0, 1.0)

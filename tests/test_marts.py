@@ -83,14 +83,15 @@ def test_sized_dimension_broadcasts_within_bound_only(spark, tmp):
     dim.write.parquet(f"{tmp}/dim")
     written = spark.read.parquet(f"{tmp}/dim")
     derived = dim.groupBy("k", "name").count().select("k", "name")
-    assert marts._reads_files_only(written.select("k")) and not marts._reads_files_only(derived)
     results = []
-    for d, bound in ((written, 10), (derived, 10), (written, 0)):
-        joined = fact.join(marts.sized_dimension(d, max_rows=bound), "k", "left")
+    for d, bound, table in ((written, 10, True), (derived, 10, False), (written, 0, True)):
+        joined = fact.join(marts.sized_dimension(d, max_rows=bound, is_table=table), "k", "left")
         plan = joined._jdf.queryExecution().executedPlan().toString()
         if bound:
             assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
         results.append(sorted((r["id"], r["k"], r["name"]) for r in joined.collect()))
+    over = fact.join(marts.sized_dimension(written, is_table=True, max_bytes=3).hint("merge"), "k", "left")
+    assert "BroadcastHashJoin" not in over._jdf.queryExecution().executedPlan().toString()
     # key 1 has two attribute rows and fans out; key 2 and the null key find none
     assert results[0] == results[1] == results[2]
     assert len(results[0]) == 201 + 50

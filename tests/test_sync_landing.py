@@ -77,6 +77,35 @@ def test_versioned_table(spark, tmp):
     t.write(cur.unionByName(spark.createDataFrame([(2,)], "k long")))
     assert sorted(r["k"] for r in t.read(spark).collect()) == [1, 2]
     assert t.latest_version(spark) == 1
+    t.append(spark.createDataFrame([(3,)], "k long"))
+    assert sorted(r["k"] for r in t.read(spark).collect()) == [1, 2, 3]
+    assert sorted(r["k"] for r in t.read(spark, before=2).collect()) == [1, 2]
+    # a read opens the last whole state and what was appended, nothing older
+    files = t.read(spark).inputFiles()
+    assert files and not any("sm_version=0" in f for f in files)
+    assert [p.rsplit("=", 1)[1] for p in t.expired(spark, keep=1)] == ["0"]
+
+
+def test_publish_appends_skips_and_isolates(spark, tmp):
+    spec = sync.TableSpec("w.t", "k", "upsert")
+    store = sync.VersionedTable(f"{tmp}/served")
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    assert sync.publish_table(spec, first, store, spark).first()["inserted"] == 2
+    more = spark.createDataFrame([(1, "changed"), (2, "b"), (3, "c")], "k long, v string")
+    stats = sync.publish_table(spec, more, store, spark).first()
+    assert (stats["inserted"], stats["skipped"], stats["status"]) == (1, 2, "ok")
+    assert spark.read.parquet(f"{tmp}/served/sm_version=1").collect()[0]["k"] == 3       # only the new row was written
+    assert {r["k"]: r["v"] for r in store.read(spark).collect()} == {1: "a", 2: "b", 3: "c"}
+    assert sync.publish_table(spec, more, store, spark).first()["inserted"] == 0
+    assert store.latest_version(spark) == 1
+    full = sync.TableSpec("w.f", "k", "full")
+    dims = sync.VersionedTable(f"{tmp}/dims")
+    sync.publish_table(full, first, dims, spark)
+    assert sync.publish_table(full, first, dims, spark).first()["mode"] == "skip" and dims.latest_version(spark) == 0
+    bad = first.withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    failed = sync.publish_table(full, bad, dims, spark, force_full=True).first()
+    assert failed["status"] == "failed" and failed["inserted"] == 0
+    assert dims.latest_version(spark) == 0 and dims.read(spark).count() == 2
 
 
 def test_landing_dup_null_and_idempotence(spark, tmp):
