@@ -9,10 +9,10 @@ from starmart.functions.dates import (
     parse_timestamp,
 )
 from starmart.functions.keys import surrogate_key
-from starmart.functions.numeric import nan_to_null, round_half_even, to_int_rounded
+from starmart.functions.numeric import to_int_rounded
 
 __all__ = [
     "date_key", "day_of_week_sun0", "iso_day_of_week", "is_weekend",
-    "month_name_padded", "parse_timestamp", "surrogate_key", "nan_to_null",
-    "round_half_even", "to_int_rounded",
+    "month_name_padded", "parse_timestamp", "surrogate_key",
+    "to_int_rounded",
 ]

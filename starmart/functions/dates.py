@@ -17,7 +17,7 @@ DEFAULT_TS_FORMAT = "M/d/yyyy H:mm"
 def parse_timestamp(c: Column, dtype: T.DataType, fmt: str = DEFAULT_TS_FORMAT) -> Column:
     """Text -> timestamp with an explicit pattern; typed input passes through."""
     if isinstance(dtype, T.StringType):
-        return F.to_timestamp(F.trim(c), fmt)
+        return F.to_timestamp_ntz(F.trim(c), F.lit(fmt))
     if isinstance(dtype, T.DateType):
         return c.cast(T.TimestampNTZType())
     return c

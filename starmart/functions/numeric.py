@@ -16,16 +16,6 @@ def to_int_rounded(c: Column, dtype: T.DataType, target: str = "int") -> Column:
     return c.cast(target)
 
 
-def nan_to_null(c: Column) -> Column:
-    """pandas treats NaN as missing; Spark compares NaN as the largest value."""
-    return F.when(~F.isnan(c), c)
-
-
-def round_half_even(c: Column, places: int) -> Column:
-    """numpy/Python ``round`` semantics (banker's rounding)."""
-    return F.bround(c, places)
-
-
 # Ten decimals hold products of money and rates without rounding any value
 # of the feed; 28 digits leave the sum 38 of them.
 EXACT = T.DecimalType(28, 10)

@@ -10,6 +10,7 @@ from starmart.functions.dates import day_of_week_sun0, is_weekend
 from starmart.operators.marts import sized_dimension
 from starmart.schemas import FEATURE_COLUMNS, FEATURE_ID_COLUMNS, LABEL_VALUE
 
+# --- fixed values: the columns that training needs ----------------------------
 REQUIRED_COLUMNS = [
     "order_item_id", "order_id", "customer_id", "order_status", "target",
     "payment_type", "sales", "customer_segment", "category_name", "latitude", "longitude",
@@ -138,19 +139,15 @@ def check_frame(df: DataFrame, required: list[str] | None = None, target: str =
     return errors
 
 
-def _feature_kinds(df: DataFrame, exclude: list[str]) -> tuple[list[str], list[str], list[str]]:
-    """Column kinds taken from the schema, never from the data (finding 15)."""
-    cat, num, boo = [], [], []
-    for f in df.schema.fields:
-        if f.name in exclude:
-            continue
-        if isinstance(f.dataType, T.StringType):
-            cat.append(f.name)
-        elif isinstance(f.dataType, T.BooleanType):
-            boo.append(f.name)
-        elif isinstance(f.dataType, T.NumericType):
-            num.append(f.name)
-    return cat, num, boo
+def frame_checks(df: DataFrame, required: list[str] | None = None, target: str = "target") -> DataFrame:
+    """Q8 as a result table ``(check_name, n_failed)``: a required column that is missing, an empty frame, null targets."""
+    required = REQUIRED_COLUMNS if required is None else required
+    nulls = F.count_if(F.col(target).isNull()) if target in df.columns else F.lit(0)
+    found = df.agg((F.count(F.lit(1)) == 0).cast("long").alias("empty"), nulls.cast("long").alias("nulls"))
+    rows = [F.struct(F.lit(f"column {c}").alias("check_name"), F.lit(int(c not in df.columns)).cast("long").alias("n_failed")) for c in required]
+    rows += [F.struct(F.lit("not empty").alias("check_name"), F.col("empty").alias("n_failed")),
+             F.struct(F.lit("target not null").alias("check_name"), F.col("nulls").alias("n_failed"))]
+    return found.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def profile_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -215,7 +212,3 @@ def class_balance(df: DataFrame, target: str = "target") -> DataFrame:
                   F.round(F.try_divide(n1 * F.lit(100.0), n.cast("double")), 4).alias("pct_fraud"),
                   F.round(F.try_divide(n0 * F.lit(100.0), n.cast("double")), 4).alias("pct_clean"),
                   F.round(n0 / F.greatest(n1, F.lit(1)), 4).alias("imbalance_ratio"))
-
-
-def feature_kinds(df: DataFrame, exclude: list[str] | None = None):
-    return _feature_kinds(df, exclude or [])

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.ordering import global_row_number
+from starmart.schemas import conform, serving_schema
 from starmart.session import written
 
 STATS_SCHEMA = "table string, mode string, inserted long, updated long, skipped long, status string, reason string"
@@ -297,6 +298,7 @@ def publish_table(spec: TableSpec, source: DataFrame | None, store: VersionedTab
     try:
         if source is None:
             return row(spec.sync_mode, 0, 0, "skipped", "missing_locally")
+        source = conform(source, serving_schema(spec.table.split(".")[-1]))
         target = store.read(spark)
         full = spec.sync_mode == "full" or (force_full and spec.sync_mode in ("upsert", "incremental"))
         if target is None and spec.sync_mode == "upsert" or full:

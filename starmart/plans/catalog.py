@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from starmart.operators import evaluation, features, landing, marts, measures, modeling, quality, runs, sync
 from starmart.operators.ordering import global_row_number
 from starmart.operators.staging import stage_orders
-from starmart.session import written
+from starmart.functions.dates import DEFAULT_TS_FORMAT
+from starmart.session import scratch_path, written
 from starmart.schemas import CATEGORICAL_FEATURES, FEATURE_COLUMNS
+from starmart.sources.files import lookup_keys, read_run, tpch_registry, write_table
 from starmart.sources.fixtures import orders_feed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -395,6 +397,7 @@ def encoded_split(spark, sf_dir):
 
 
 MODEL_FEATURES = [c for c in FEATURE_COLUMNS]
+RANGE_COLUMNS = ["sales", "order_item_quantity", "product_price"]
 
 
 @query("smote_oversample")
@@ -415,6 +418,79 @@ def forest_scores(spark, sf_dir):
     return modeling.to_predictions(scores, 0.5)
 
 
+@query("smote_balance")
+def smote_balance(spark, sf_dir):
+    """Class sizes after oversampling, and synthetic values outside the minority's range."""
+    out = written(smote_oversample(spark, sf_dir))
+    real = out.where((F.col("target") == 1) & ~F.col("synthetic"))
+    low_high = real.agg(*[F.min(c).alias(f"lo_{c}") for c in RANGE_COLUMNS], *[F.max(c).alias(f"hi_{c}") for c in RANGE_COLUMNS])
+    outside = F.lit(False)
+    for c in RANGE_COLUMNS:
+        outside = outside | (F.col(c) < F.col(f"lo_{c}")) | (F.col(c) > F.col(f"hi_{c}"))
+    synthetic = out.where("synthetic").join(F.broadcast(low_high))          # one row
+    n_outside = synthetic.agg(F.count_if(outside)).scalar()
+    sizes = out.agg(F.count_if(F.expr("target = 0")).alias("n_majority"), F.count_if(F.expr("target = 1 AND NOT synthetic")).alias("n_minority"),
+                    F.count_if(F.col("synthetic")).alias("n_synthetic"))
+    return sizes.select("*", n_outside.alias("n_outside"))
+
+
+@query("forest_checks")
+def forest_checks(spark, sf_dir):
+    """Scoring of the test split by a small forest: rows, scores out of range, labels that don't follow the threshold."""
+    enc, _ = encoded_split(spark, sf_dir)
+    train = modeling.smote(enc.where(~F.col("is_test")).drop("is_test"), MODEL_FEATURES)
+    model = modeling.train_forest(train, MODEL_FEATURES, params=modeling.ForestParams(num_trees=10, max_depth=6))
+    scores = modeling.to_predictions(modeling.predict_proba(model, enc.where("is_test"), MODEL_FEATURES, keep=["order_item_id", "order_id"]), 0.3)
+    per_order = modeling.one_per_order(scores.drop("p"), keep="first")
+    bad_label = F.col("predicted_label") != (F.col("p") >= 0.3)
+    n_orders = per_order.agg(F.count(F.lit(1))).scalar()
+    counts = scores.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if((F.col("p") < 0) | (F.col("p") > 1) | F.isnan("p")).alias("n_out_of_range"),
+                        F.count_if(bad_label).alias("n_wrong_labels"))
+    return counts.select("*", n_orders.alias("n_orders"))
+
+
+@query("feature_checks")
+def feature_checks(spark, sf_dir):
+    feats = feature_table(spark, sf_dir).drop("latitude")
+    feats = feats.withColumn("target", F.when(F.col("shipping_mode") != "A", F.col("target")))
+    return features.frame_checks(feats)
+
+
+@query("stg_orders_text")
+def stg_orders_text(spark, sf_dir):
+    """The feed as a CSV landing has it, every column text, typed again by staging."""
+    feed = orders_feed(spark, sf_dir)
+    text = [F.date_format(F.col(f"`{f.name}`"), DEFAULT_TS_FORMAT) if f.dataType.typeName().startswith("timestamp") else F.col(f"`{f.name}`").cast("string")
+            for f in feed.schema.fields]
+    return stage_orders(feed.select(*[c.alias(f.name) for c, f in zip(text, feed.schema.fields)]))
+
+
+@query("run_scan")
+def run_scan(spark, sf_dir):
+    """One landing run read back from a table partitioned by run: other runs' files aren't opened."""
+    path = scratch_path(spark, "runs")
+    write_table(event_runs(spark, sf_dir), path, partition_by=["etl_run_id"])
+    return read_run(spark, path, 17).select("event_id", "user_id", "event_type", "value", F.col("etl_run_id").cast("long").alias("etl_run_id"))
+
+
+@query("order_lookup")
+def order_lookup(spark, sf_dir):
+    """Lines of the orders in a key table (urgent ones), through the registry of declared sources."""
+    source = tpch_registry(spark, sf_dir)
+    keys = source("orders").where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_orderkey").alias("l_orderkey"))
+    return lookup_keys(source("lineitem"), keys, "l_orderkey").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+
+
+@query("publish_new_rows")
+def publish_new_rows(spark, sf_dir):
+    """What publishing an insert-only table appends to a serving store that holds its older rows."""
+    s = Star(spark, sf_dir)
+    store = sync.VersionedTable(scratch_path(spark, "serving"))
+    store.write(_fact_target(s))
+    sync.publish_table(sync.TableSpec("warehouse.fact_order_items", "order_item_id", "upsert"), s.fact, store, spark)
+    return spark.read.parquet(f"{store.base}/{sync.VERSION_COL}=1").select("order_item_id", "order_id", "sales")
+
+
 # --- prediction store ------------------------------------------------------------
 
 STORE_COLUMNS = ["prediction_id", "order_id", "fraud_probability", "predicted_label", "threshold_used",

@@ -22,7 +22,7 @@ lo AS (
 ),
 stg AS (
   SELECT
-    l_orderkey * 1000 + l_linenumber * 100 + seq AS order_item_id,
+    l_orderkey * 100000 + l_linenumber * 10000 + seq AS order_item_id,
     l_orderkey AS order_id,
     o_custkey AS customer_id,
     l_partkey AS product_card_id,
@@ -672,6 +672,56 @@ FROM split s
 {joins}""")
 
 
+RARE_FEATURES = FEATURES.replace(
+    "CASE WHEN f.order_status = 'P' THEN 1 ELSE 0 END AS target",
+    "CASE WHEN f.order_status = 'P' AND f.payment_type = '1-URGENT' THEN 1 ELSE 0 END AS target")
+
+
+@oracle("smote_balance")
+def _():
+    return "WITH " + STG + DIMS + RARE_FEATURES + SPLIT + """
+SELECT n_majority, n_minority, CAST(floor(0.5 * n_majority) AS BIGINT) - n_minority AS n_synthetic, CAST(0 AS BIGINT) AS n_outside
+FROM (SELECT count(*) FILTER (WHERE target = 0) AS n_majority, count(*) FILTER (WHERE target = 1) AS n_minority
+      FROM split WHERE NOT is_test)"""
+
+
+@oracle("forest_checks")
+def _():
+    return "WITH " + STG + DIMS + RARE_FEATURES + SPLIT + """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range, CAST(0 AS BIGINT) AS n_wrong_labels,
+       count(DISTINCT order_id) AS n_orders
+FROM split WHERE is_test"""
+
+
+@oracle("feature_checks")
+def _():
+    from starmart.operators.features import REQUIRED_COLUMNS
+
+    rows = " UNION ALL ".join(f"SELECT 'column {c}' AS check_name, CAST({int(c == 'latitude')} AS BIGINT) AS n_failed" for c in REQUIRED_COLUMNS)
+    return with_features(f"""
+{rows}
+UNION ALL SELECT 'not empty', CAST(count(*) = 0 AS BIGINT) FROM features
+UNION ALL SELECT 'target not null', count(*) FILTER (WHERE (shipping_mode <> 'A') IS NOT TRUE) FROM features""")
+
+
+@oracle("stg_orders_text")
+def _():
+    return with_stg("SELECT * FROM stg")
+
+
+@oracle("run_scan")
+def _():
+    return """
+SELECT event_id, user_id, event_type, value, CAST(day(ts) AS BIGINT) AS etl_run_id FROM events WHERE day(ts) = 17"""
+
+
+@oracle("order_lookup")
+def _():
+    return """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')"""
+
+
 STORED = """,
 existing AS (
   SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS prediction_id, o_orderkey AS order_id,
@@ -747,6 +797,13 @@ UNION ALL
 SELECT * FROM fact f WHERE NOT EXISTS (SELECT 1 FROM fact_target t WHERE t.order_item_id = f.order_item_id)""")
 
 
+@oracle("publish_new_rows")
+def _():
+    return with_star(FACT_TARGET + """
+SELECT order_item_id, order_id, sales FROM fact f
+WHERE NOT EXISTS (SELECT 1 FROM fact_target t WHERE t.order_item_id = f.order_item_id)""")
+
+
 EVENTS_SYNC = """
 src AS (
   SELECT event_id * 10 AS row_id, event_id, ts, user_id, event_type, value, props,

@@ -6,6 +6,8 @@ adapter); silver is produced from ``SILVER_SPEC`` by ``operators.staging``.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # --- fixed values: raw feed column names, as the source file spells them ---
@@ -67,13 +69,6 @@ SILVER_SPEC: list[tuple[str, str, str]] = [
     ("Order Region", "order_region", "str"),
 ]
 
-# --- fixed values: source columns present in the file but not selected -----
-UNUSED_RAW_COLUMNS = [
-    "Customer Email", "Customer Password", "Market", "Order Customer Id",
-    "Order Item Cardprod Id", "Order Item Product Price", "Product Category Id",
-    "Product Description", "Product Image",
-]
-
 # Silver column order (46 columns): ids, date key, dates, then the spec order.
 SILVER_COLUMNS: list[str] = (
     ["order_item_id", "order_id", "customer_id", "product_card_id", "date_key",
@@ -88,6 +83,7 @@ PANDAS_NA_VALUES = [
     "nan", "null",
 ]
 
+# --- fixed values: column lists of the layers, default and status names ------
 UNKNOWN = "Unknown"
 LOCATION_COLUMNS = [
     "order_city", "order_state", "order_country", "order_zipcode",
@@ -127,10 +123,6 @@ CATEGORICAL_FEATURES = [
     "payment_type", "shipping_mode", "customer_segment", "category_name",
     "department_name", "order_region", "order_country",
 ]
-NUMERIC_FEATURES = [c for c in FEATURE_COLUMNS if c not in CATEGORICAL_FEATURES]
-# Leakage / identifier columns dropped before training or scoring.
-EXCLUDE_FROM_MODEL = ["order_item_id", "order_id", "customer_id", "order_status", "target", "created_at"]
-
 LABEL_VALUE = "SUSPECTED_FRAUD"
 STATUS_EXEMPT_FROM_SALES_CHECK = ["CANCELED", "SUSPECTED_FRAUD"]
 
@@ -160,18 +152,34 @@ PREDICTIONS_SCHEMA = T.StructType([
     T.StructField("modified_at", T.TimestampType()),
 ])
 
-ETL_RUNS_SCHEMA = T.StructType([
-    T.StructField("run_id", T.LongType()),
-    T.StructField("pipeline_name", T.StringType()),
-    T.StructField("start_time", T.TimestampType()),
-    T.StructField("end_time", T.TimestampType()),
-    T.StructField("duration_ms", T.LongType()),
-    T.StructField("rows_loaded", T.LongType()),
-    T.StructField("rows_failed", T.LongType()),
-    T.StructField("validation_status", T.StringType()),
-])
-
-
-def raw_text_schema(columns: list[str]) -> T.StructType:
-    """All-text schema for a landing file with the given header."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+_KIND_TYPES = {"id": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "str": T.StringType(),
+               "str_default": T.StringType(), "ts": T.TimestampNTZType()}
+# Types that silver has no rule for, or that the serving copy has otherwise.
+_SERVED_TYPES = {
+    "date_key": T.IntegerType(), "shipping_location_id": T.StringType(), "product_status": T.StringType(),
+    "order_month": T.IntegerType(), "order_day": T.IntegerType(), "order_hour": T.IntegerType(),
+    "order_day_of_week": T.IntegerType(), "is_weekend": T.BooleanType(), "target": T.IntegerType(),
+}
+_SERVED_COLUMNS = {
+    "dim_customers": CUSTOMER_COLUMNS,
+    "dim_products": PRODUCT_COLUMNS,
+    "dim_shipping_location": ["shipping_location_id"] + LOCATION_COLUMNS,
+    "fact_order_items": FACT_COLUMNS,
+    "fraud_features": FEATURE_ID_COLUMNS + FEATURE_COLUMNS + ["order_status", "target"],
+}
+
+
+def serving_schema(table: str) -> T.StructType | None:
+    """The declared schema of a serving table; None for a table without one."""
+    known = {"dim_date": DIM_DATE_SCHEMA, "predictions": PREDICTIONS_SCHEMA}
+    if table in known:
+        return known[table]
+    if table not in _SERVED_COLUMNS:
+        return None
+    types = {silver: _KIND_TYPES[kind] for _, silver, kind in SILVER_SPEC} | _SERVED_TYPES
+    return T.StructType([T.StructField(c, types[c]) for c in _SERVED_COLUMNS[table]])
+
+
+def conform(df: DataFrame, schema: T.StructType | None) -> DataFrame:
+    """The columns of the schema, cast to its types; other columns are left out."""
+    return df if schema is None else df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

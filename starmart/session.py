@@ -74,6 +74,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df):
     """Write an intermediate as Parquet into the shared folder and read it back.
 
@@ -81,6 +86,6 @@ def written(df):
     load only the columns they use, and filters reach the scan.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ The reference's own feed file is not shipped, so the test tables are mapped
 onto the raw column names (typed, not text: staging casts either form).
 
 ``(l_orderkey, l_linenumber)`` is not unique in the tables, so the line id is
-``l_orderkey*1000 + l_linenumber*100 + seq`` with ``seq`` numbering the
+``l_orderkey*100000 + l_linenumber*10000 + seq`` with ``seq`` numbering the
 duplicates of one pair by all remaining lineitem columns.  The window is
 clustered by ``l_orderkey`` first, which the orders join already hashes on,
 so it adds no exchange of its own.
@@ -53,7 +53,7 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_days = F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date"))
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return feed.select(
-        (F.col("l_orderkey") * 1000 + F.col("l_linenumber") * 100 + F.col("seq")).alias("Order Item Id"),
+        (F.col("l_orderkey") * 100000 + F.col("l_linenumber") * 10000 + F.col("seq")).alias("Order Item Id"),
         F.col("l_orderkey").alias("Order Id"),
         F.col("o_custkey").alias("Customer Id"),
         F.col("l_partkey").alias("Product Card Id"),
