@@ -36,7 +36,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,9 +51,9 @@ FREQUENT, MAX_FREQUENT = 16, 1 << 20
 LOCAL_PAIRS, ALL_PAIRS = 8, 32
 #: Rows of a block of a tile.
 BLOCK = 256
-#: Nearest documents of each component that are tested for a document of a tile, round after round; the last
-#: round takes all that are left, so the earlier ones only decide how much is still open then.
-DEPTHS = (1, 8, 1 << 30)
+#: Nearest documents of each component that are tested for a document of a tile, in the first round and, where
+#: there were more, in the second; that takes all that are left, so the first only decides how many those are.
+DEPTHS = (4, 1 << 30)
 #: Ids up to which those of candidate documents are broadcast to pick their texts.
 MAX_IDS = 1_000_000
 MAX_BITS = 1 << 16
@@ -78,10 +77,10 @@ def shingle_sets(raw: np.ndarray, offs: np.ndarray, size: int = SHINGLE) -> list
         if c >= size:
             out.append(np.unique(value[f:f + c - size + 1]))
         elif c:
-            whole = np.uint64(c)
-            for x in h[f:f + c]:
-                whole = mix(np.array([whole * _K[4] + x], dtype=np.uint64))[0]
-            out.append(np.array([whole], dtype=np.uint64))
+            whole = np.array([c], dtype=np.uint64)
+            for i in range(f, f + c):
+                whole = mix(whole * _K[4] + h[i:i + 1])
+            out.append(whole)
         else:
             out.append(np.zeros(0, dtype=np.uint64))
     return out
@@ -404,30 +403,62 @@ def _fold(bits: list[bytes], size: int) -> np.ndarray:
     return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), axis=0) for x in bits])
 
 
-def _tile_pairs(rows: pd.DataFrame, depth: int) -> pd.DataFrame:
-    """Pairs across components of a tile that may link: for each left document the ``depth`` nearest of each component."""
-    left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
-    if not len(left) or not len(right):
-        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-    size = min(len(x) for x in rows["bits"])
-    x, y = _fold(left["bits"].tolist(), size), _fold(right["bits"].tolist(), size)
-    n, comp, ids = right["n"].to_numpy(), right["comp"].to_numpy(), right["doc"].to_numpy()
-    a, b = [], []
-    for i, (m, c, d) in enumerate(zip(left["n"].tolist(), left["comp"].tolist(), left["doc"].tolist())):
+def _tile_pairs(left: list, right: list, depth: int) -> list[tuple[int, int, bool]]:
+    """Pairs across components of a tile that may link: for each left document the ``depth`` nearest of each component.
+
+    Sides are lists of (doc, n, comp, bits).  The last value tells whether
+    more pairs of this document and component were left out.
+    """
+    size = min(len(r[3]) for r in left + right)
+    x, y = _fold([r[3] for r in left], size), _fold([r[3] for r in right], size)
+    ids, n, comp = (np.array([r[k] for r in right], dtype=np.int64) for k in range(3))
+    out = []
+    for i, (d, m, c, _) in enumerate(left):
         some = np.flatnonzero((comp != c) & (UNDER * np.minimum(n, m) >= OVER * np.maximum(n, m)))
+        if not len(some):
+            continue
         differ = np.bitwise_count(y[some] ^ x[i]).sum(axis=1, dtype=np.int64)
         overlap = (n[some] + m - differ) // 2
         near = UNDER * overlap >= OVER * (n[some] + m - overlap)
+        if not near.any():
+            continue
         some, differ = some[near], differ[near]
-        order = np.lexsort((ids[some], differ, comp[some]))
-        some = some[order]
+        some = some[np.lexsort((ids[some], differ, comp[some]))]
         own = comp[some]
-        first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
-        place = np.arange(len(own)) - np.repeat(first, np.diff(np.concatenate((first, [len(own)]))))
-        some = some[place < depth]
-        a.append(np.minimum(ids[some], d))
-        b.append(np.maximum(ids[some], d))
-    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
+        first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        size_of = np.diff(np.concatenate((first, [len(own)])))
+        place, total = np.arange(len(own)) - np.repeat(first, size_of), np.repeat(size_of, size_of)
+        out += [(min(d, o), max(d, o), bool(t > depth)) for o, p, t in zip(ids[some].tolist(), place.tolist(), total.tolist()) if p < depth]
+    return out
+
+
+def _run_tiles(depth: int):
+    """Rows come sorted by tile, left side first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sides, found = None, ([], []), {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            rows = [(*pair, more) for pair, more in found.items()]
+            found.clear()
+            if rows:
+                yield pa.record_batch([pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.bool_()))], ["a", "b", "more"])
+
+        def close() -> None:
+            if sides[0] and sides[1]:
+                for a, b, more in _tile_pairs(*sides, depth):
+                    found[(a, b)] = found.get((a, b), False) or more
+
+        for batch in batches:
+            for tile, side, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if tile != key:
+                    close()
+                    key, sides = tile, ([], [])
+                sides[side].append(row)
+            if len(found) > 100_000:
+                yield from out()
+        close()
+        yield from out()
+    return run
 
 
 def _tiles(members: DataFrame, depth: int) -> DataFrame:
@@ -449,9 +480,11 @@ def _tiles(members: DataFrame, depth: int) -> DataFrame:
     right = (rows.withColumn("two", block("rights")).withColumn("side", F.lit(1))
              .withColumn("step", F.explode(F.expr("sequence(-1, 1)"))).withColumn("one", F.explode(F.expr("sequence(0, lefts - 1)")))
              .withColumn("band", F.col("band") - F.col("step")))
-    columns = ["token", "band", "one", "step", "two", "side", "doc", "n", "comp", "bits"]
+    tile = F.xxhash64("token", "band", "one", "step", "two").alias("tile")       # tiles that collide only test more pairs
+    columns = [tile, "side", "doc", "n", "comp", "bits"]
     tiled = left.select(*columns).union(right.select(*columns))
-    return tiled.groupBy("token", "band", "one", "step", "two").applyInPandas(lambda pdf: _tile_pairs(pdf, depth), "a long, b long").distinct()
+    return (tiled.repartition(_parts(members), "tile").sortWithinPartitions("tile", "side")
+            .mapInArrow(_run_tiles(depth), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
 
 
 # --- components -------------------------------------------------------------
@@ -522,11 +555,12 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame,
         comp = components(links, "first")
         members = large.join(comp, F.col("doc") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "doc")).drop("node")
         candidates = cut(_tiles(members, depth), "tiles")
-        if candidates.isEmpty():
+        more = cut(candidates.select("a", "b").join(tested, ["a", "b"], "left_anti"), "open")
+        if not more.isEmpty():
+            links = links.union(_verify(more, texts, size, "open"))
+            tested = tested.union(more)
+        if candidates.filter("more").isEmpty():
             break
-        more = cut(candidates.join(tested, ["a", "b"], "left_anti"), "open")
-        links = links.union(_verify(more, texts, size, "open"))
-        tested = tested.union(more)
     return sets.select("doc_id", "n"), classes, links
 
 
