@@ -167,7 +167,7 @@ def write_warc(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, shard_b
     full = rows.select("page_id", "url", F.concat(F.sha1("payload"), F.hex(F.crc32("payload"))).alias("digest"), "payload",
                        F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("string").alias("refers_url"), F.lit(1).alias("kind"))
     noted = notes.select("page_id", "url", "digest", F.lit(None).cast("binary").alias("payload"), "refers_to", "refers_url", F.lit(0).alias("kind"))
-    least = F.lit(np.iinfo(np.int64).min.item())          # a null id goes to the first shard
+    least = F.lit(np.iinfo(np.int64).min).cast("long")          # a null id goes to the first shard
     records = full.union(noted).select(shard_of(F.coalesce("page_id", least)).alias("shard"), "*")
     store, root = pafs.FileSystem.from_uri(uri)
     store.create_dir(root, recursive=True)
