@@ -41,7 +41,7 @@ from starmart.llm.common import cut, with_running_total
 
 #: Compressed bytes after which a file is closed.
 ROLL_BYTES = 64 << 20
-#: A shard's payload bytes, if not given: a shuffle partition's share of all, within these bounds.
+#: A shard's payload bytes, if not given: a quarter of a shuffle partition's share of all, within these bounds.
 SHARD_BYTES = (1 << 20, 256 << 20)
 DATE = "2024-01-01T00:00:00Z"
 #: Payloads of fewer bytes are never written as revisits.
@@ -151,7 +151,7 @@ def write_warc(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, shard_b
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if shard_bytes is None:
         total = ranked.agg(F.sum("bytes")).first()[0] or 0
-        shard_bytes = min(max(total // n, SHARD_BYTES[0]), SHARD_BYTES[1])
+        shard_bytes = min(max(total // (4 * n), SHARD_BYTES[0]), SHARD_BYTES[1])
     same = F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("url").eqNullSafe(F.col("refers_url"))
     notes = (ranked.join(first, "digest").filter(~same).groupBy("page_id", "url", "digest")
              .agg(F.first("refers_to").alias("refers_to"), F.first("refers_url").alias("refers_url")))
