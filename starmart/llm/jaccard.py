@@ -48,9 +48,9 @@ OVER, UNDER = 3, 4
 #: Documents from which on a shingle counts as frequent, and how many of them the order takes into account.
 FREQUENT, MAX_FREQUENT = 16, 1 << 20
 #: Members up to which a task, or all tasks together, list every pair of a group.
-LOCAL_PAIRS, ALL_PAIRS = 8, 32
+LOCAL_PAIRS, ALL_PAIRS = 8, 8
 #: Rows of a block of a tile.
-BLOCK = 256
+BLOCK = 2048
 #: Nearest documents of each component that are tested for a document of a tile, in the first round and, where
 #: there were more, in the second; that takes all that are left, so the first only decides how many those are.
 DEPTHS = (4, 1 << 30)
@@ -369,8 +369,9 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _by_bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b, n_a, n_b, x, y = (c.to_pylist() for c in batch.columns)
-        keep = [i for i in range(len(a)) if may_link(n_a[i], n_b[i], 0) and may_link(n_a[i], n_b[i], differing(x[i], y[i]))]
-        yield pa.record_batch([batch.column(0).take(pa.array(keep, pa.int64())), batch.column(1).take(pa.array(keep, pa.int64()))], ["a", "b"])
+        differ = [differing(s, t) for s, t in zip(x, y)]
+        keep = pa.array([i for i, d in enumerate(differ) if may_link(n_a[i], n_b[i], d)], pa.int64())
+        yield pa.record_batch([batch.column(0).take(keep), batch.column(1).take(keep), pa.array(differ, pa.int64()).take(keep)], ["a", "b", "differ"])
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,11 +411,14 @@ def _tile_pairs(left: list, right: list, depth: int) -> list[tuple[int, int, boo
     more pairs of this document and component were left out.
     """
     size = min(len(r[3]) for r in left + right)
+    right = sorted(right, key=lambda r: r[1])
     x, y = _fold([r[3] for r in left], size), _fold([r[3] for r in right], size)
     ids, n, comp = (np.array([r[k] for r in right], dtype=np.int64) for k in range(3))
     out = []
     for i, (d, m, c, _) in enumerate(left):
-        some = np.flatnonzero((comp != c) & (UNDER * np.minimum(n, m) >= OVER * np.maximum(n, m)))
+        # the band of sizes that can be linked with this one
+        band = slice(np.searchsorted(n * UNDER, OVER * m), np.searchsorted(n * OVER, UNDER * m, side="right"))
+        some = band.start + np.flatnonzero(comp[band] != c)
         if not len(some):
             continue
         differ = np.bitwise_count(y[some] ^ x[i]).sum(axis=1, dtype=np.int64)
@@ -461,29 +465,29 @@ def _run_tiles(depth: int):
     return run
 
 
-def _tiles(members: DataFrame, depth: int) -> DataFrame:
-    """Candidate pairs among members ``(token, doc, n, bits, comp)`` of large groups that span components.
+def _tiles(large: DataFrame, comp: DataFrame, own: DataFrame, depth: int) -> DataFrame:
+    """Candidate pairs ``(a, b, more)`` among members ``(token, doc)`` of large groups that span components.
 
-    The left side of the tiles are the members outside a group's largest
-    component, the right side all its members.
+    A tile's left side is a block of the members outside the group's largest
+    component, its right side a block of all members.  Within a tile each
+    left document meets the band of right ones whose size allows a link.
     """
+    members = large.join(comp, F.col("doc") == F.col("node"), "left").select("token", "doc", F.coalesce("comp", "doc").alias("comp"))
     per_comp = members.groupBy("token", "comp").agg(F.count("*").alias("m"))
     spans = (per_comp.groupBy("token").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("m"), F.max("m").alias("most"))
              .filter("m > most"))
-    # sizes of linked sets have a ratio of at most 4/3, so they are in the same band or in adjacent ones
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.01 * UNDER / OVER))).cast("int")
-    rows = (members.join(spans, "token").withColumn("band", band)
+    # only members of groups that span components carry their bitmaps
+    rows = (members.join(spans, "token").join(own.withColumnRenamed("doc_id", "doc"), "doc")
             .withColumn("lefts", F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int")).withColumn("rights", F.ceil(F.col("m") / BLOCK).cast("int")))
     block = lambda n: F.pmod(F.xxhash64("doc"), F.col(n)).cast("int")
     left = (rows.filter("comp != main").withColumn("one", block("lefts")).withColumn("side", F.lit(0))
-            .withColumn("step", F.explode(F.expr("sequence(-1, 1)"))).withColumn("two", F.explode(F.expr("sequence(0, rights - 1)"))))
+            .withColumn("two", F.explode(F.expr("sequence(0, rights - 1)"))))
     right = (rows.withColumn("two", block("rights")).withColumn("side", F.lit(1))
-             .withColumn("step", F.explode(F.expr("sequence(-1, 1)"))).withColumn("one", F.explode(F.expr("sequence(0, lefts - 1)")))
-             .withColumn("band", F.col("band") - F.col("step")))
-    tile = F.xxhash64("token", "band", "one", "step", "two").alias("tile")       # tiles that collide only test more pairs
+             .withColumn("one", F.explode(F.expr("sequence(0, lefts - 1)"))))
+    tile = F.xxhash64("token", "one", "two").alias("tile")                       # tiles that collide only test more pairs
     columns = [tile, "side", "doc", "n", "comp", "bits"]
     tiled = left.select(*columns).union(right.select(*columns))
-    return (tiled.repartition(_parts(members), "tile").sortWithinPartitions("tile", "side")
+    return (tiled.repartition(_parts(large), "tile").sortWithinPartitions("tile", "side")
             .mapInArrow(_run_tiles(depth), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
 
 
@@ -511,13 +515,14 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 # --- the join ---------------------------------------------------------------
 
-def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sets, classes and links.
+def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Sets, classes, links and components.
 
     Returns ``sets(doc_id, n)``; ``classes(doc_id, rep)``: the smallest document
-    with an equal set, for documents with a non-empty one; and ``links(a, b)``
-    between class representatives, every pair that was needed to connect the
-    linked classes and was found to reach the threshold.
+    with an equal set, for documents with a non-empty one; ``links(a, b)`` between
+    class representatives, the pairs that were needed to connect the linked
+    classes and were found to reach the threshold; and ``components(node, comp)``
+    of these links.
     """
     spark, parts = docs.sparkSession, _parts(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -543,31 +548,46 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame,
     own = known.select("doc_id", "n", "bits").distinct()
     side = lambda x: own.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
     near = (pairs.join(side("a"), "a").join(side("b"), "b").filter(f"least(n_a, n_b) * {UNDER} >= {OVER} * greatest(n_a, n_b)")
-            .select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_by_bitmap, "a long, b long").distinct())
-    near = cut(near, "near")
-    links = _verify(near, texts, size, "first").union(bridges)
+            .select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_by_bitmap, "a long, b long, differ long"))
+    near = cut(near.groupBy("a", "b").agg(F.min("differ").alias("differ")), "near")
+
+    # each document with the nearest one before it, then what still lies between components
+    nearest = cut(near.groupBy("b").agg(F.min_by("a", F.struct("differ", "a")).alias("a")).select("a", "b"), "nearest")
+    links = _verify(nearest, texts, size, "nearest").union(bridges)
+    comp = components(links)
+    side = lambda x: comp.select(F.col("node").alias(x), F.col("comp").alias(f"comp_{x}"))
+    apart = F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")
+    others = cut(near.join(side("a"), "a", "left").join(side("b"), "b", "left").filter(apart).select("a", "b").join(nearest, ["a", "b"], "left_anti"), "others")
+    links, comp = _more_links(links, comp, others, texts, size)
 
     large = found.filter("token is not null").select("token", F.col("a").alias("doc"))
-    large = cut(large.join(rep("a").withColumnRenamed("a", "doc"), "doc").select("token", F.col("rep_a").alias("doc")).distinct()
-                .join(own.withColumnRenamed("doc_id", "doc"), "doc"), "large")
-    tested = near
+    large = cut(large.join(rep("a").withColumnRenamed("a", "doc"), "doc").select("token", F.col("rep_a").alias("doc")).distinct(), "large")
+    tested = nearest.union(others)
     for depth in DEPTHS:
-        comp = components(links, "first")
-        members = large.join(comp, F.col("doc") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "doc")).drop("node")
-        candidates = cut(_tiles(members, depth), "tiles")
+        candidates = cut(_tiles(large, comp, own, depth), "tiles")
         more = cut(candidates.select("a", "b").join(tested, ["a", "b"], "left_anti"), "open")
-        if not more.isEmpty():
-            links = links.union(_verify(more, texts, size, "open"))
-            tested = tested.union(more)
+        links, comp = _more_links(links, comp, more, texts, size)
         if candidates.filter("more").isEmpty():
             break
-    return sets.select("doc_id", "n"), classes, links
+        tested = tested.union(more)
+    return sets.select("doc_id", "n"), classes, links, comp
+
+
+def _more_links(links: DataFrame, comp: DataFrame, pairs: DataFrame, docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Links and components after the pairs that reach the threshold are added."""
+    if pairs.isEmpty():
+        return links, comp
+    new = _verify(pairs, docs, size, "more")
+    if new.isEmpty():
+        return links, comp
+    links = links.union(new)
+    return links, components(links)
 
 
 def join_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One row per ``doc_id``: ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
-    sets, classes, links = similar_documents(docs, size)
-    comp = components(links).withColumnRenamed("node", "rep")
+    sets, classes, _, comp = similar_documents(docs, size)
+    comp = comp.withColumnRenamed("node", "rep")
     per_doc = sets.filter("doc_id is not null").groupBy("doc_id").agg(F.max("n").alias("n_shingles"))
     labelled = classes.join(comp, "rep", "left").select("doc_id", F.coalesce("comp", "rep").alias("component_id"))
     out = per_doc.join(labelled, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
