@@ -458,7 +458,7 @@ def _run_tiles(depth: int):
                     close()
                     key, sides = tile, ([], [])
                 sides[side].append(row)
-            if len(found) > 100_000:
+            if len(found) > 300_000:
                 yield from out()
         close()
         yield from out()
@@ -485,9 +485,11 @@ def _tiles(large: DataFrame, comp: DataFrame, own: DataFrame, depth: int) -> Dat
     right = (rows.withColumn("two", block("rights")).withColumn("side", F.lit(1))
              .withColumn("one", F.explode(F.expr("sequence(0, lefts - 1)"))))
     tile = F.xxhash64("token", "one", "two").alias("tile")                       # tiles that collide only test more pairs
-    columns = [tile, "side", "doc", "n", "comp", "bits"]
-    tiled = left.select(*columns).union(right.select(*columns))
-    return (tiled.repartition(_parts(large), "tile").sortWithinPartitions("tile", "side")
+    # groups of the same family of documents share most of their pairs: where they share a task, a pair comes out once
+    family = F.xxhash64("main", "one", "two").alias("family")
+    columns = ["side", "doc", "n", "comp", "bits"]
+    tiled = left.select(family, tile, *columns).union(right.select(family, tile, *columns))
+    return (tiled.repartition(_parts(large), "family").sortWithinPartitions("family", "tile", "side").select("tile", *columns)
             .mapInArrow(_run_tiles(depth), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
 
 
