@@ -159,8 +159,8 @@ def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out() -> Iterator[pa.RecordBatch]:
         keys = list(seen)
-        for i in range(0, len(keys), 50_000):
-            some = keys[i:i + 50_000]
+        for i in range(0, len(keys), 25_000):
+            some = keys[i:i + 25_000]
             yield pa.record_batch([pa.array([k[0] for k in some]), pa.array([k[1] for k in some], pa.int32()),
                                    pa.array([k[2] for k in some], pa.int32()), pa.array([seen[k] for k in some], pa.int64())],
                                   ["pattern", "toxic", "fold", "n"])
@@ -173,7 +173,7 @@ def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own.update(w[:k] for k in LENGTHS if len(w) >= k)
                 own.add(w + " ")
             seen.update((p, toxic, fold) for p in own)
-            if len(seen) > 1_000_000:
+            if len(seen) > 100_000:
                 yield from out()
     yield from out()
 
