@@ -20,7 +20,7 @@ from starmart.session import checkpoint_dir
 #: Regular expression of a word, for SQL functions.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled by one round of array operations in a task.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
