@@ -1,34 +1,39 @@
 """Quality rules: base counts and Jensen-Shannon distance to language references.
 
 Two passes over the texts, no shuffle of texts.  The first sums, for each
-language and for all documents together, a histogram of character classes and
-one of words (lower-cased, hashed into ``WORD_BINS`` bins); the ``COMMON``
+language, a histogram of character classes and one of words (lower-cased, hashed into ``WORD_BINS`` bins); the ``COMMON``
 largest bins of a language are its common words.  Both sums are exact and
 come from every document.  The second pass compares each document with the
 reference of its language: a distance above its limit rejects the document,
 unless the document is too short for that histogram to mean anything.
 
 Defined results: a null text has no words; a null language is a group of its
-own; a language beyond the ``max_languages`` largest is held against the
-reference of all documents; every row gives one row, repeated ids too;
-columns other than ``doc_id, text, lang`` are passed on by ``filter_documents``
-and ignored elsewhere.
+own; a language without any text has an empty reference; every row gives one
+row, repeated ids too; columns other than ``doc_id, text, lang`` are passed on
+by ``filter_documents`` and ignored elsewhere.
+
+Every language has its own reference.  Those of the ``MAX_LANGUAGES`` largest
+reach the tasks at once; those of the others are joined to their documents by
+language, by broadcast up to ``MAX_BROADCAST`` languages.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import LOWER, by_bytes, mix, span_hashes, words
+from starmart.llm.common import LOWER, by_bytes, cut, mix, span_hashes, words
 
 WORD_BINS = 1 << 14
 COMMON = 64
+#: Languages whose references are held by the driver and every task, and languages beyond them that are joined by broadcast.
 MAX_LANGUAGES = 256
+MAX_BROADCAST = 5_000
 #: Limits of the two distances (0 to 1) and the guards below which they aren't applied.
 MAX_CHAR_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.48
@@ -107,6 +112,12 @@ def _word_bins(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (span_hashes(LOWER[raw], starts, ends) % np.uint64(WORD_BINS)).astype(np.int64), doc
 
 
+def _groups(index: np.ndarray, n: int) -> list[np.ndarray]:
+    """Positions of each of the values 0 to n - 1."""
+    order = np.argsort(index, kind="stable")
+    return np.split(order, np.searchsorted(index[order], np.arange(1, n)))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -124,54 +135,71 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = np.fromiter((ids[x] for x in langs), np.int64, len(langs))
         classes = _class_counts(raw, offs)
         bins, doc = _word_bins(raw, offs)
-        owner = index[doc]
+        docs_of, words_of = _groups(index, len(ids)), _groups(index[doc], len(ids))
         for lang, i in ids.items():
+            if len(held) > 1000:
+                yield from out()
             have = held.setdefault(lang, (np.zeros(CLASSES, np.int64), np.zeros(WORD_BINS, np.int64)))
-            have[0][:] += classes[index == i].sum(axis=0)
-            have[1][:] += np.bincount(bins[owner == i], minlength=WORD_BINS)
-        if len(held) > 1000:
-            yield from out()
+            have[0][:] += classes[docs_of[i]].sum(axis=0)
+            have[1][:] += np.bincount(bins[words_of[i]], minlength=WORD_BINS)
     yield from out()
 
 
-def references(docs: DataFrame, max_languages: int = MAX_LANGUAGES, common: int = COMMON) -> dict:
-    """Reference histograms by language, and under the key ``()`` those of all documents.
+@dataclass
+class References:
+    """Histograms by language: ``known`` of the largest ones (``names``), ``rest`` as a table (``_lang, _parts``), if there are more."""
+
+    known: dict
+    names: DataFrame
+    rest: DataFrame | None
+    small: bool
+
 
-    What reaches the driver is bounded: ``max_languages`` times the classes
-    and common bins, and the bins of all documents together.
+def _histograms(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shares of the classes, place of each bin among the common ones, shares of these and of the others."""
+    q = np.zeros(CLASSES)
+    top = sorted((b, n, total) for kind, b, n, total in parts if kind == 1)
+    for kind, b, n, total in parts:
+        if kind == 0:
+            q[b] = n / total
+    place, w = np.full(WORD_BINS, len(top), dtype=np.int64), np.zeros(len(top) + 1)
+    for i, (b, n, total) in enumerate(top):
+        place[b], w[i] = i, n / total
+    w[-1] = max(0.0, 1.0 - w[:-1].sum())
+    return q, place.astype(np.int16), w
+
+
+def references(docs: DataFrame, max_languages: int = MAX_LANGUAGES, common: int = COMMON, max_broadcast: int = MAX_BROADCAST) -> References:
+    """Reference histograms of every language.
+
+    What reaches the driver is bounded: ``max_languages`` times the classes and common bins.
     """
     counted = docs.select("lang", "text").mapInArrow(_count, REFERENCE)
-    sums = counted.groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n"))
-    from starmart.llm.common import cut
-
-    sums = cut(sums, "reference")
+    sums = cut(counted.groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n")), "reference")
     total = Window.partitionBy("lang", "kind")
     ranked = (sums.withColumn("total", F.sum("n").over(total))
               .withColumn("rank", F.row_number().over(total.orderBy(F.desc("n"), "bin")))
               .filter((F.col("kind") == 0) | (F.col("rank") <= common)))
-    largest = (sums.filter("kind = 0").groupBy("lang").agg(F.sum("n").alias("size"))
-               .orderBy(F.desc("size"), F.col("lang").asc_nulls_first()).limit(max_languages).select(F.col("lang").alias("_lang")))
-    kept = ranked.join(F.broadcast(largest), F.col("lang").eqNullSafe(F.col("_lang"))).drop("_lang")
-    whole = sums.groupBy("kind", "bin").agg(F.sum("n").alias("n"))
-    every: dict = {}
-    for r in kept.collect():
-        every.setdefault((r.lang,), [[], []])[r.kind].append((r.bin, r.n, r.total))
-    both: list = [[], []]
-    for r in whole.collect():
-        both[r.kind].append((r.bin, r.n))
-    pooled = [[(b, n, sum(x[1] for x in part)) for b, n in sorted(part, key=lambda x: (-x[1], x[0]))[:None if k == 0 else common]] for k, part in enumerate(both)]
-    every[()] = pooled
-    out = {}
-    for key, (chars, top) in every.items():
-        q = np.zeros(CLASSES)
-        for b, n, all_n in chars:
-            q[b] = n / all_n
-        place, w = np.full(WORD_BINS, len(top), dtype=np.int64), np.zeros(len(top) + 1)
-        for i, (b, n, all_n) in enumerate(sorted(top)):
-            place[b], w[i] = i, n / all_n
-        w[-1] = max(0.0, 1.0 - w[:-1].sum())
-        out[key] = (q, place.astype(np.int16), w)
-    return out
+    every = cut(ranked.groupBy(F.col("lang").alias("_lang")).agg(F.max(F.when(F.col("kind") == 0, F.col("total"))).alias("size"),
+                                                                 F.collect_list(F.struct("kind", "bin", "n", "total")).alias("_parts")), "languages")
+    largest = every.orderBy(F.desc("size"), F.col("_lang").asc_nulls_first()).limit(max_languages)
+    known = {r["_lang"]: _histograms(r["_parts"]) for r in largest.collect()}
+    names = largest.select(F.col("_lang").alias("_name"))
+    more = every.count() - len(known)
+    rest = every.join(F.broadcast(names), F.col("_lang").eqNullSafe(F.col("_name")), "left_anti").select("_lang", "_parts") if more else None
+    return References(known, names, rest, more <= max_broadcast)
+
+
+def _with_parts(read: DataFrame, refs: References) -> DataFrame:
+    """Add ``_parts``, the reference of the document's language, null for the known ones."""
+    same = F.col("lang").eqNullSafe(F.col("_lang"))
+    if refs.small:
+        return read.join(F.broadcast(refs.rest), same, "left").drop("_lang")
+    name = F.col("lang").eqNullSafe(F.col("_name"))
+    # the texts of the largest languages aren't shuffled
+    large = read.join(F.broadcast(refs.names), name, "left_semi").withColumn("_parts", F.lit(None).cast(refs.rest.schema["_parts"].dataType))
+    other = read.join(F.broadcast(refs.names), name, "left_anti").join(refs.rest.hint("merge"), same, "left").drop("_lang")
+    return large.unionByName(other)
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -183,21 +211,27 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((part(p) + part(np.broadcast_to(q, p.shape))) / 2, 0, 1))
 
 
-def _distances(raw, offs, langs, refs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _distances(raw, offs, langs, known, parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(offs) - 1
     classes = _class_counts(raw, offs)
     bins, doc = _word_bins(raw, offs)
     chars, word = np.zeros(n), np.zeros(n)
-    keys = [(x,) if (x,) in refs else () for x in langs]
-    for key in set(keys):
-        q, place, w = refs[key]
-        own = np.fromiter((k == key for k in keys), bool, n)
+    ids = {x: i for i, x in enumerate(dict.fromkeys(langs))}
+    index = np.fromiter((ids[x] for x in langs), np.int64, n)
+    docs_of, words_of = _groups(index, len(ids)), _groups(index[doc], len(ids))
+    within = np.zeros(n, dtype=np.int64)
+    for lang, i in ids.items():
+        own, mine = docs_of[i], words_of[i]
+        if lang in known:
+            q, place, w = known[lang]
+        else:
+            found = parts[int(own[0])].as_py() if parts is not None else None
+            q, place, w = _histograms([(p["kind"], p["bin"], p["n"], p["total"]) for p in found or []])
         c = classes[own].astype(float)
         chars[own] = distance(c / np.maximum(c.sum(axis=1, keepdims=True), 1), q)
-        index = np.cumsum(own) - 1
-        mine = own[doc]
+        within[own] = np.arange(len(own))
         k = len(w)
-        counts = np.bincount(index[doc[mine]] * k + place[bins[mine]], minlength=int(own.sum()) * k).reshape(-1, k).astype(float)
+        counts = np.bincount(within[doc[mine]] * k + place[bins[mine]], minlength=len(own) * k).reshape(-1, k).astype(float)
         word[own] = distance(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1), w)
     return chars, word, classes.sum(axis=1)
 
@@ -205,24 +239,27 @@ def _distances(raw, offs, langs, refs) -> tuple[np.ndarray, np.ndarray, np.ndarr
 COLUMNS = [(b, "long") for b in BASE] + [("char_distance", "double"), ("word_distance", "double"), ("base_failed", "boolean"), ("kept", "boolean")]
 
 
-def judge(docs: DataFrame, refs: dict | None = None, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE,
+def judge(docs: DataFrame, refs: References | None = None, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE,
           min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS, keep: list[str] | None = None) -> DataFrame:
     """Add the base counts, both distances and the verdict ``kept`` to every row.
 
     ``keep`` names the columns passed on (default ``doc_id``).
     """
     refs = refs if refs is not None else references(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(refs)
+    shared = docs.sparkSession.sparkContext.broadcast(refs.known)
     passed = keep if keep is not None else ["doc_id"]
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([f"`{c}` {fields[c]}" for c in passed] + [f"`_q_{c}` {t}" for c, t in COLUMNS])
     read = docs.select(*[F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(passed)], "text", "lang")
+    if refs.rest is not None:
+        read = _with_parts(read, refs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for rows, raw, offs in by_bytes(batches):
             base = base_counts(raw, offs)
-            chars, word, points = _distances(raw, offs, rows.column(len(passed) + 1).to_pylist(), known)
+            chars, word, points = _distances(raw, offs, rows.column(len(passed) + 1).to_pylist(), known,
+                                             rows.column(len(passed) + 2) if rows.num_columns > len(passed) + 2 else None)
             failed = (base["n_words"] < 50) | (100 * base["n_repeat_words"] > 50 * base["n_words"])
             far = ((chars > max_char) & (points >= min_chars)) | ((word > max_word) & (base["n_words"] >= min_words))
             yield pa.record_batch([rows.column(i) for i in range(len(passed))] + [pa.array(base[b].astype(np.int64)) for b in BASE]

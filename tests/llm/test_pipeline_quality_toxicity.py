@@ -89,6 +89,22 @@ def test_quality_of_a_table_matches_plain_python(spark):
         assert g.base_failed == failed and g.kept == (not failed and not far)
 
 
+def test_every_language_has_its_own_reference(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for lang in range(270):
+        # small languages are written in letters beyond ASCII and have words of their own
+        first, n = (0x430, 2) if lang >= 256 else (0x61, 3)
+        vocabulary = ["".join(map(chr, first + rng.integers(0, 26, 5))) for _ in range(20)]
+        rows += [(10 * lang + i, " ".join(rng.permutation(vocabulary * 6)), None if lang == 269 else f"l{lang}") for i in range(n)]
+    df = spark.createDataFrame([*rows, (9999, "", "empty")], "doc_id long, text string, lang string").repartition(3)
+    at_once = lambda **how: {r.doc_id: tuple(r) for r in quality.quality_rules(df, refs=quality.references(df, **how)).collect()}
+    got = {r.doc_id: tuple(r) for r in quality.quality_rules(df).collect()}
+    assert len(got) == len(rows) + 1
+    assert all(r[-1] for d, r in got.items() if d != 9999) and not got[9999][-1]
+    assert got == at_once(max_languages=1000) == at_once(max_languages=3, max_broadcast=0)
+
+
 def test_quality_rejects_junk_and_keeps_clean(spark):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality")
     rows = queries.op5_quality_rules(spark, "/root/testdata/sf0.1").join(labels, "doc_id").collect()
