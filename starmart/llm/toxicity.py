@@ -8,6 +8,9 @@ a target raises its weight, a negation just before the match and a report
 verb lower it.  A logistic model over the clause scores of a document gives
 its score.
 
+Texts are read as they are learned from: lower-cased by Unicode, words are
+runs of letters (``\\p{L}``), and every other code point is a blank.
+
 Learning uses labelled rows with ``crc32(doc_id as text) mod 4`` other than 2,
 at most about ``MAX_LABELLED`` of them, chosen by a hash of the id.  Pattern
 counts are summed by Spark; the model is fitted to features that come from
@@ -24,6 +27,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,23 +54,28 @@ REPORTS = "said says wrote writes called calls quoted claimed sagte schrieb dit
 THREAT_WEIGHT, TARGET_FACTOR, NEGATED_FACTOR, REPORTED_FACTOR = 3.0, 1.5, 0.5, 0.6
 
 _WORD = regex.compile(r"\p{L}+")
-_threats, _targets, _negations, _reports = ({w.encode() for w in s.split()} for s in (THREATS, TARGETS, NEGATIONS, REPORTS))
+_threats, _targets, _negations, _reports = (set(s.split()) for s in (THREATS, TARGETS, NEGATIONS, REPORTS))
+
+_STOPS = np.array([ord(c) for c in ".,;:!?\n"], dtype=np.uint32)
+
 
-# bytes: letters are lowered, everything else that isn't a letter becomes a blank; clause marks are read before
-_LOW = np.full(256, 32, dtype=np.uint8)
-_LOW[97:123] = np.arange(97, 123)
-_LOW[65:91] = np.arange(97, 123)
-_LOW[128:] = np.arange(128, 256)
-_STOP = np.zeros(256, dtype=bool)
-_STOP[[ord(c) for c in ".,;:!?\n"]] = True
+@cache
+def _letters() -> np.ndarray:
+    """Whether a code point is a letter."""
+    out = np.zeros(0x110000, dtype=bool)
+    for a in range(0, 0x110000, 0x800):
+        if not 0xD800 <= a < 0xE000:
+            for m in _WORD.finditer("".join(map(chr, range(a, a + 0x800)))):
+                out[a + m.start():a + m.end()] = True
+    return out
 
 
-def lowered(raw: np.ndarray) -> np.ndarray:
-    """Lower-case letters, blanks for the rest; of letters beyond ASCII, those of Latin-1 are lowered."""
-    low = _LOW[raw]
-    second = np.flatnonzero((raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97) & (raw[:-1] == 0xC3)) + 1
-    low[second] += 0x20
-    return low
+def lowered(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the lower-cased texts, a blank before each and after the last, and the places of the blanks before them."""
+    data = raw.tobytes()
+    texts = [data[a:b].decode().lower() for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
+    begin = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
+    return np.frombuffer((" " + " ".join(texts) + " ").encode("utf-32-le"), np.uint32), begin
 
 
 class Grammar:
@@ -77,10 +86,9 @@ class Grammar:
 
         self.machine = ahocorasick.Automaton()
         for pattern, w in weights.items():
-            # bytes as Latin-1, so that the automaton's positions are byte positions
-            self.machine.add_word(" " + pattern.encode().decode("latin-1"), (len(pattern.encode()) + 1, w))
+            self.machine.add_word(" " + pattern, (len(pattern) + 1, w))
         for threat in _threats:
-            key = " " + threat.decode("latin-1") + " "
+            key = f" {threat} "
             if key not in self.machine:
                 self.machine.add_word(key, (len(key), -THREAT_WEIGHT))
         self.machine.make_automaton()
@@ -91,15 +99,12 @@ class Grammar:
         out = np.zeros((n, 4))
         if not len(raw):
             return out
-        # a blank stands between documents, and before the first
-        place = np.arange(len(raw)) + 1 + np.repeat(np.arange(n), np.diff(offs))
-        low = np.full(len(raw) + n + 1, 32, dtype=np.uint8)
-        low[place] = lowered(raw)
-        begin = offs[:-1] + np.arange(n)                       # the blank before each document
-        stops = np.union1d(place[_STOP[raw]], np.concatenate((begin, [len(low) - 1])))
-        text = low.tobytes()
+        points, begin = lowered(raw, offs)
+        low = np.where(_letters()[points], points, np.uint32(32))
+        stops = np.union1d(np.flatnonzero(np.isin(points, _STOPS)), np.concatenate((begin, [len(low) - 1])))
+        text = low.tobytes().decode("utf-32-le")
         best: dict[int, float] = {}                            # word start -> weight
-        for end, (size, w) in self.machine.iter(text.decode("latin-1")):
+        for end, (size, w) in self.machine.iter(text):
             at = end - size + 2
             if abs(w) > abs(best.get(at, 0.0)):
                 best[at] = w
@@ -121,7 +126,7 @@ class Grammar:
         return out
 
     @staticmethod
-    def _composed(text: bytes, a: int, b: int, at: int, w: float) -> float:
+    def _composed(text: str, a: int, b: int, at: int, w: float) -> float:
         """The weight of one accepted word in its clause, after the other transducers."""
         near = text[max(a, at - 40):at].split()[-3:]
         around = set(text[max(a, at - 80):min(b, at + 80)].split())
@@ -264,7 +269,7 @@ def judge(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     weights = {}
     for word in model.grammar.machine:
         weights[word] = model.grammar.machine.get(word)
-    shared = spark.sparkContext.broadcast(({k[1:].encode("latin-1").decode(): w for k, (_, w) in weights.items() if w > 0}, model.beta))
+    shared = spark.sparkContext.broadcast(({k[1:]: w for k, (_, w) in weights.items() if w > 0}, model.beta))
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -140,6 +140,19 @@ def test_clauses_compose():
     assert [r[0] for r in score("xvequ", "I will kill you", "kill time", "")] == [0.0, pytest.approx(4.5), 0.0, 0.0]
 
 
+def test_words_are_matched_as_they_are_learned():
+    g = toxicity.Grammar({"idiot": 4.0, "дурак ": 3.0, "ηλίθιος ": 2.0, "straße ": 2.0})
+
+    def scores(*texts):
+        return g.features(np.frombuffer("".join(texts).encode(), np.uint8), np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts]))))[:, 0].tolist()
+    assert scores("¡idiota!", "“idiot”", "«idiot»", "so—idiot", "so\u00a0idiot", "İ idiot") == [4.0] * 6
+    assert scores("Дурак", "ДУРАК!", "ΗΛΊΘΙΟΣ", "STRAßE", "xidiot", "éidiot", "") == [3.0, 3.0, 2.0, 2.0, 0.0, 0.0, 0.0]
+    # targets, negations and threats beside such marks
+    assert scores("“you” idiot", "“not” idiot", "«kill» you…", "I will kill—you", "\U0001f600 idiot «TÚ»") == [6.0, 2.0, 4.5, 4.5, 6.0]
+    # every code point of the text counts once, whatever stands before it
+    assert scores("İİİ no clause", "İ, you. Idiot") == [0.0, 4.0]
+
+
 def test_toxicity_without_labels_and_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "a"), (1, "", "b"), (2, "x " * 50000, "c"), (None, "you idiot", "d")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(1, None), (None, 1), (2, 0)], "doc_id long, toxic int")
