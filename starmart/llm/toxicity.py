@@ -4,8 +4,8 @@ The insult transducer is a weighted automaton of word beginnings and whole
 words learned from labelled documents; fixed transducers read threats,
 targets (second person), negations and reported speech.  They are composed
 clause by clause: a clause counts only where an insult or threat is accepted,
-a target raises its weight, a negation just before the match and a report
-verb lower it.  A logistic model over the clause scores of a document gives
+a target anywhere in the clause raises its weight, a negation among the three
+words before the match and a report verb anywhere in the clause lower it.  A logistic model over the clause scores of a document gives
 its score.
 
 Texts are read as they are learned from: lower-cased by Unicode, words are
@@ -49,12 +49,13 @@ MIN_EVIDENCE, MIN_RATIO, MAX_PATTERNS = 30.0, 5.0, 5_000
 # Fixed values of the transducers that aren't learned.
 THREATS = "kill hurt destroy smash murder burn beat crush umbringen töten verletzen tuer frapper détruire matar golpear destruir"
 TARGETS = "you your yours yourself u du dich dir dein deine tu te toi vous votre tú ti usted vosotros"
-NEGATIONS = "not never no n't nicht kein keine nie jamais pas nunca"
+NEGATIONS = "not never no nicht kein keine nie jamais pas nunca"
 REPORTS = "said says wrote writes called calls quoted claimed sagte schrieb dit disait écrit dijo escribió"
 THREAT_WEIGHT, TARGET_FACTOR, NEGATED_FACTOR, REPORTED_FACTOR = 3.0, 1.5, 0.5, 0.6
 
 _WORD = regex.compile(r"\p{L}+")
 _threats, _targets, _negations, _reports = (set(s.split()) for s in (THREATS, TARGETS, NEGATIONS, REPORTS))
+NEGATION_WORDS = 3
 
 _STOPS = np.array([ord(c) for c in ".,;:!?\n"], dtype=np.uint32)
 
@@ -78,6 +79,25 @@ def lowered(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer((" " + " ".join(texts) + " ").encode("utf-32-le"), np.uint32), begin
 
 
+@cache
+def _marks():
+    """The automaton of targets (0), negations (1) and report verbs (2)."""
+    import ahocorasick
+
+    machine = ahocorasick.Automaton()
+    for kind, some in enumerate((_targets, _negations, _reports)):
+        for word in some:
+            machine.add_word(f" {word} ", (len(word), kind))
+    machine.make_automaton()
+    return machine
+
+
+def _contractions(points: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Places of the ``t`` of words that end in n't."""
+    t = np.flatnonzero(low[2:-1] == ord("t")) + 2
+    return t[(low[t + 1] == 32) & np.isin(points[t - 1], [0x27, 0x2019]) & (low[t - 2] == ord("n"))]
+
+
 class Grammar:
     """The composed transducers for one set of weighted patterns (``"abc"``: beginning, ``"abc "``: whole word)."""
 
@@ -108,37 +128,41 @@ class Grammar:
             at = end - size + 2
             if abs(w) > abs(best.get(at, 0.0)):
                 best[at] = w
+        starts = np.flatnonzero((low[1:] != 32) & (low[:-1] == 32)) + 1
         if best:
             at = np.fromiter(sorted(best), np.int64, len(best))
             clause = np.searchsorted(stops, at, side="right") - 1
             score: dict[int, float] = {}
-            for c, a in zip(clause.tolist(), at.tolist()):
-                score[c] = score.get(c, 0.0) + self._composed(text, int(stops[c]), int(stops[c + 1]) if c + 1 < len(stops) else len(text), a, best[a])
+            for c, w in zip(clause.tolist(), self._composed(text, points, low, starts, stops, at, clause, np.array([best[a] for a in at.tolist()])).tolist()):
+                score[c] = score.get(c, 0.0) + w
             for c, s in score.items():
                 if s > 0:
                     d = int(np.searchsorted(begin, stops[c], side="right")) - 1
                     out[d, 0] += s
                     out[d, 1] = max(out[d, 1], s)
                     out[d, 2] += 1
-        starts = np.flatnonzero((low[1:] != 32) & (low[:-1] == 32)) + 1
         size = np.bincount(np.searchsorted(begin, starts, side="right") - 1, minlength=n)
         out[:, 3] = 100 * out[:, 0] / (size + 20)
         return out
 
     @staticmethod
-    def _composed(text: str, a: int, b: int, at: int, w: float) -> float:
-        """The weight of one accepted word in its clause, after the other transducers."""
-        near = text[max(a, at - 40):at].split()[-3:]
-        around = set(text[max(a, at - 80):min(b, at + 80)].split())
-        target = bool(around & _targets)
-        if w < 0 and not target:                               # a threat needs a target
-            return 0.0
-        w = abs(w) * (TARGET_FACTOR if target else 1.0)
-        if any(x in _negations for x in near):
-            w *= NEGATED_FACTOR
-        if around & _reports:
-            w *= REPORTED_FACTOR
-        return w
+    def _composed(text: str, points: np.ndarray, low: np.ndarray, starts: np.ndarray, stops: np.ndarray,
+                  at: np.ndarray, clause: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """The weights of the accepted words in their clauses, after the other transducers."""
+        found: tuple = ([], [], [])
+        for end, (size, kind) in _marks().iter(text):
+            found[kind].append(end - size)
+        targets, negations, reports = (np.array(x, dtype=np.int64) for x in found)
+        negations = np.union1d(negations, _contractions(points, low))
+        target = np.isin(clause, np.searchsorted(stops, targets, side="right") - 1)
+        reported = np.isin(clause, np.searchsorted(stops, reports, side="right") - 1)
+        # the last negation before the word, if it is near and in the same clause
+        before = np.searchsorted(negations, at) - 1
+        last = negations[np.maximum(before, 0)] if len(negations) else np.zeros(len(at), np.int64)
+        near = np.searchsorted(starts, at) - np.searchsorted(starts, last) <= NEGATION_WORDS
+        negated = (before >= 0) & near & (last >= stops[clause])
+        out = np.abs(w) * np.where(target, TARGET_FACTOR, 1.0) * np.where(negated, NEGATED_FACTOR, 1.0) * np.where(reported, REPORTED_FACTOR, 1.0)
+        return np.where((w < 0) & ~target, 0.0, out)           # a threat needs a target
 
 
 def _design(features: np.ndarray) -> np.ndarray:

@@ -153,6 +153,19 @@ def test_words_are_matched_as_they_are_learned():
     assert scores("İİİ no clause", "İ, you. Idiot") == [0.0, 4.0]
 
 
+def test_a_clause_is_read_whole():
+    g = toxicity.Grammar({"idiot ": 4.0})
+    score = lambda text: g.features(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))[0, 0]
+    far = "word " * 40
+    assert score(f"you {far}idiot") == score(f"idiot {far}you") == 6.0
+    assert score(f"she said {far}idiot") == pytest.approx(2.4) and score(f"I will kill {far}you") == pytest.approx(4.5)
+    assert score(f"I will kill. {far}you") == 0.0 and score(f"you. {far}idiot") == 4.0
+    # no targets from the ends of cut words, negations however long the words between are
+    assert score(f"{'x' * 79}u idiot") == 4.0 and score(f"not {'x' * 60} idiot") == 2.0
+    assert score("he isn't an idiot") == score("he isn’t an idiot") == score("HE ISN'T an idiot") == 2.0
+    assert score("he isn t an idiot") == score("not one of the idiot") == score("he isn't. an idiot") == 4.0
+
+
 def test_toxicity_without_labels_and_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "a"), (1, "", "b"), (2, "x " * 50000, "c"), (None, "you idiot", "d")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(1, None), (None, 1), (2, 0)], "doc_id long, toxic int")
