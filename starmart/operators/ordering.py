@@ -14,6 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.session import written
+
 
 def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
     if n_buckets:
@@ -71,3 +73,50 @@ def global_row_number(df: DataFrame, order_cols: list[str], n_buckets: int | Non
     ones = df.withColumn("_one", F.lit(1).cast("long"))
     numbered = prefix_sums(ones, order_cols[0], ["_one"], n_buckets, inclusive=True, tiebreak=order_cols[1:])
     return numbered.withColumnRenamed("_one_before", out).drop("_one")
+
+
+def with_running_total(df: DataFrame, order: list[str], value: str, total: str) -> DataFrame:
+    """Add ``total``: the sum of ``value`` over all rows before this one in ``order``.
+
+    Rows are range-partitioned by the order columns; the sums of the
+    partitions (one row each) give the offsets and a window inside each
+    partition the rest.  Pass narrow rows.  The result doesn't depend on where
+    the partition bounds fall; rows that tie on ``order`` come in any order.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = written(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
+    sums = rows.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.join(F.broadcast(offsets), "_part")       # one row per shuffle partition
+            .withColumn(total, F.col("_offset") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
+            .drop("_part", "_offset"))
+
+
+def grouped_running(df: DataFrame, by: str, order: list[str], totals: dict[str, tuple[str, str]]) -> DataFrame:
+    """Running aggregates inside each group of ``by``, up to and including the row, with no task per group.
+
+    ``totals`` maps a new column to ``(function, column)``, the function being
+    ``sum`` or ``bit_xor`` (those that combine by themselves).  ``by`` must not
+    be null.  Rows are range-partitioned by ``by`` and ``order``, so a group
+    with most of the rows spreads over many tasks; the only groups that cross a
+    partition bound are the first and last ones of a partition, whose parts
+    (two rows a partition) are carried over to the partitions after it.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = written(df.repartitionByRange(n, by, *order).withColumn("_part", F.spark_partition_id()))
+    parts = rows.groupBy("_part", by).agg(*[F.expr(f"{f}(`{c}`)").alias(f"_sum_{out}") for out, (f, c) in totals.items()])
+    one = F.struct(by, *[f"_sum_{out}" for out in totals])
+    ends = (parts.groupBy("_part").agg(F.array_distinct(F.array(F.min(one), F.max(one))).alias("_ends"))
+            .select("_part", F.inline("_ends")))
+    before = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_part", by, *[F.expr(f"{f}(`_sum_{out}`)").over(before).alias(f"_carry_{out}") for out, (f, c) in totals.items()])
+    inside = Window.partitionBy("_part", by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = rows.join(F.broadcast(carried), ["_part", by], "left")        # two rows per shuffle partition at most
+    for out, (f, c) in totals.items():
+        own, carry = F.expr(f"{f}(`{c}`)").over(inside), F.coalesce(F.col(f"_carry_{out}"), F.lit(0))
+        joined = joined.withColumn(out, own + carry if f == "sum" else own.bitwiseXOR(carry))
+    return joined.drop("_part", *[f"_carry_{out}" for out in totals])
