@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import chat, jaccard, mixing, omh, packing, quality, sharding, token_orc, toxicity, warc
+from starmart.llm import chat, jaccard, merkle, mixing, omh, oracle, packing, quality, sharding, token_orc, toxicity, warc
 from starmart.llm.common import scratch_path
 
 
@@ -62,6 +62,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_warc": op2_warc,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -86,6 +91,7 @@ def _sql_escape(text: str) -> str:
 
 
 ORACLE: dict[str, str] = {
+    **oracle.ORACLE,
     "op1_chat_formatting": f"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
