@@ -45,6 +45,36 @@ n0 AS (SELECT g, i, leaf AS h, n FROM p)"""]
 SELECT doc_id, leaf, subroot, {root} AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = {root} AS verified FROM u{levels}"""
 
 
+_TRIE = f"""
+WITH x AS (
+  SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS t, strlen(coalesce(text, '')) AS bytes
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, t) AS place FROM x),
+c AS (SELECT conv_id, count(*) AS n, {crc32("conv_id::VARCHAR")} % 9 AS h, conv_id - conv_id % 5 AS base FROM o GROUP BY conv_id),
+l AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS m FROM c LEFT JOIN c b ON b.conv_id = c.base),
+r AS (
+  SELECT o.conv_id, o.place - l.h + l.m AS depth, t, bytes FROM o JOIN l ON l.conv_id = o.conv_id WHERE o.place > l.h
+  UNION ALL SELECT l.conv_id, o.place, t, bytes FROM o JOIN l ON l.base = o.conv_id WHERE o.place <= l.m),
+k AS (
+  SELECT conv_id, depth, bytes, md5(string_agg(t, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM l),
+n AS (
+  SELECT key, depth, min(k.conv_id) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes,
+         sha256(coalesce(string_agg(k.conv_id::VARCHAR, ',' ORDER BY k.conv_id) FILTER (WHERE depth = l.m + greatest(l.n - l.h, 0)), '')) AS ends_sha256
+  FROM k JOIN l ON l.conv_id = k.conv_id GROUP BY key, depth),
+p AS (
+  SELECT n.*, a.key AS parent_key, b.conv_id AS parent_conv_id
+  FROM n LEFT JOIN k a ON a.conv_id = n.conv_id AND a.depth = n.depth - 1 LEFT JOIN n b ON b.key = a.key AND b.depth = a.depth),
+f AS (SELECT parent_key AS key, depth - 1 AS depth, count(*) AS n_children FROM p WHERE parent_key IS NOT NULL GROUP BY ALL),
+s AS (
+  SELECT a.key, a.depth, sum((p.n_convs - 1) * p.bytes) AS saved_tokens, count(*) FILTER (WHERE f.n_children IS NULL) AS n_leaves
+  FROM p JOIN k a ON a.conv_id = p.conv_id AND a.depth <= p.depth LEFT JOIN f ON f.key = p.key AND f.depth = p.depth
+  GROUP BY a.key, a.depth)
+SELECT p.conv_id, p.depth::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, coalesce(f.n_children, 0)::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM p JOIN s ON s.key = p.key AND s.depth = p.depth LEFT JOIN f ON f.key = p.key AND f.depth = p.depth"""
+
 ORACLE: dict[str, str] = {
+    "op11_prefix_trie": _TRIE,
     "op13_merkle_manifest": _merkle(),
 }

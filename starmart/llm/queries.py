@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import chat, jaccard, merkle, mixing, omh, oracle, packing, quality, sharding, token_orc, toxicity, warc
+from starmart.llm import chat, jaccard, merkle, mixing, omh, oracle, packing, quality, sharding, token_orc, toxicity, trie, warc
 from starmart.llm.common import scratch_path
 
 
@@ -62,6 +62,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_documents(_table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
