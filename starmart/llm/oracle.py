@@ -74,7 +74,18 @@ SELECT p.conv_id, p.depth::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n
        n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
 FROM p JOIN s ON s.key = p.key AND s.depth = p.depth LEFT JOIN f ON f.key = p.key AND f.depth = p.depth"""
 
+_TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 10"""
+
 ORACLE: dict[str, str] = {
+    "op12_pivot_topk": _TOPK,
     "op11_prefix_trie": _TRIE,
     "op13_merkle_manifest": _merkle(),
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import chat, jaccard, merkle, mixing, omh, oracle, packing, quality, sharding, token_orc, toxicity, trie, warc
+from starmart.llm import chat, jaccard, merkle, mixing, omh, oracle, packing, quality, sharding, token_orc, topk, toxicity, trie, warc
 from starmart.llm.common import scratch_path
 
 
@@ -66,6 +66,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_documents(_table(spark, sf_dir, "documents"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_pivot_topk": op12_pivot_topk,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
