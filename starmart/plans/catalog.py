@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators import evaluation, features, landing, marts, measures, modeling, quality, runs, sync
+from starmart.operators.neighbours import nearest
 from starmart.operators.ordering import global_row_number
 from starmart.operators.staging import stage_orders
 from starmart.functions.dates import DEFAULT_TS_FORMAT
@@ -407,6 +408,17 @@ def smote_oversample(spark, sf_dir):
     return modeling.smote(train, MODEL_FEATURES)
 
 
+@query("smote_neighbours")
+def smote_neighbours(spark, sf_dir):
+    """Squared distances of every minority training row to the five rows that it may be interpolated with."""
+    enc, _ = encoded_split(spark, sf_dir)
+    train = enc.where(~F.col("is_test")).drop("is_test")
+    rows = modeling.minority_points(train, MODEL_FEATURES)
+    near = nearest(written(rows.withColumnRenamed("_rid", "_rank")), 5, len(MODEL_FEATURES))
+    return near.select(F.col("_rank").alias("order_item_id"), F.posexplode("_near").alias("place", "_n")).select(
+        "order_item_id", (F.col("place") + 1).alias("place"), F.round("_n._d", 2).alias("squared_distance"))
+
+
 @query("forest_scores")
 def forest_scores(spark, sf_dir):
     enc, _ = encoded_split(spark, sf_dir)

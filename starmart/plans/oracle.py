@@ -652,8 +652,8 @@ def _():
     return with_features(SPLIT + "\nSELECT order_item_id, target, is_test FROM split")
 
 
-@oracle("ordinal_encode")
-def _():
+def _encoded(columns: str) -> str:
+    """``columns`` of the encoded split: s has the split's columns, {c} the codes."""
     cats = CATEGORICAL_PROFILE_COLUMNS
     long = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM split WHERE NOT is_test"
                               for c in cats)
@@ -661,15 +661,20 @@ def _():
                       for c in cats)
     sel = ", ".join(f"CASE WHEN s.{c} IS NULL THEN NULL ELSE CAST(coalesce(m_{c}.code, -1) AS INTEGER) END AS {c}"
                     for c in cats)
-    return with_features(SPLIT + f""",
+    return SPLIT + f""",
 enc AS (
   SELECT column_name, value,
          CAST(dense_rank() OVER (PARTITION BY column_name ORDER BY value) - 1 AS INTEGER) AS code
   FROM (SELECT DISTINCT column_name, value FROM ({long}) WHERE value IS NOT NULL)
-)
-SELECT s.order_item_id, s.is_test, {sel}
+),
+encoded AS (SELECT {columns}, {sel}
 FROM split s
-{joins}""")
+{joins})"""
+
+
+@oracle("ordinal_encode")
+def _():
+    return with_features(_encoded("s.order_item_id, s.is_test") + "\nSELECT * FROM encoded")
 
 
 RARE_FEATURES = FEATURES.replace(
@@ -685,6 +690,20 @@ FROM (SELECT count(*) FILTER (WHERE target = 0) AS n_majority, count(*) FILTER (
       FROM split WHERE NOT is_test)"""
 
 
+@oracle("smote_neighbours")
+def _():
+    from starmart.schemas import CATEGORICAL_FEATURES, FEATURE_COLUMNS
+
+    other = ", ".join(f"s.{c}" for c in FEATURE_COLUMNS if c not in CATEGORICAL_FEATURES)
+    x = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS x{i}" for i, c in enumerate(FEATURE_COLUMNS))
+    d = " + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in range(len(FEATURE_COLUMNS)))
+    return "WITH " + STG + DIMS + RARE_FEATURES + _encoded(f"s.order_item_id, s.is_test, s.target, {other}") + f""",
+m AS (SELECT order_item_id, {x} FROM encoded WHERE NOT is_test AND target = 1),
+p AS (SELECT a.order_item_id, {d} AS d FROM m a JOIN m b ON a.order_item_id <> b.order_item_id)
+SELECT order_item_id, CAST(row_number() OVER (PARTITION BY order_item_id ORDER BY d) AS INTEGER) AS place, round(d, 2) AS squared_distance
+FROM p QUALIFY place <= 5"""
+
+
 @oracle("forest_checks")
 def _():
     return "WITH " + STG + DIMS + RARE_FEATURES + SPLIT + """
