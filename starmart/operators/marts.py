@@ -147,6 +147,19 @@ def fact_incremental(stg: DataFrame, existing: DataFrame, mode: str = "new_only"
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def daily_snapshots(stg: DataFrame, key: str, attrs: list[str], date_col: str = "full_date",
+                    order_cols: tuple[str, ...] = ("order_date", "order_item_id")) -> DataFrame:
+    """One row per key and day with the day's latest attributes: a hash aggregate with map-side partials."""
+    latest = F.max(F.struct(*[F.col(c) for c in order_cols], *[F.col(a) for a in attrs])).alias("_m")
+    return (stg.where(F.col(key).isNotNull() & F.col(date_col).isNotNull())
+            .groupBy(key, date_col).agg(latest)
+            .select(key, date_col, *[F.col(f"_m.{a}").alias(a) for a in attrs]))
+
+
+def signature(attrs: list[str]) -> Column:
+    return F.md5(F.to_json(F.struct(*[F.col(a) for a in attrs])))
+
+
 def scd2(stg: DataFrame, key: str, attrs: list[str], date_col: str = "full_date",
          order_cols: tuple[str, ...] = ("order_date", "order_item_id")) -> DataFrame:
     """SCD type 2 history of a dimension: one row per attribute version with
@@ -158,13 +171,9 @@ def scd2(stg: DataFrame, key: str, attrs: list[str], date_col: str = "full_date"
     window that finds change points runs over at most one row per key and
     day, never over all lines of a hot key.
     """
-    latest = F.max(F.struct(*[F.col(c) for c in order_cols], *[F.col(a) for a in attrs])).alias("_m")
-    daily = (stg.where(F.col(key).isNotNull() & F.col(date_col).isNotNull())
-             .groupBy(key, date_col).agg(latest)
-             .select(key, date_col, *[F.col(f"_m.{a}").alias(a) for a in attrs]))
+    daily = daily_snapshots(stg, key, attrs, date_col, order_cols)
     w = Window.partitionBy(key).orderBy(date_col)
-    sig = F.md5(F.to_json(F.struct(*[F.col(a) for a in attrs])))
-    changes = (daily.withColumn("_sig", sig)
+    changes = (daily.withColumn("_sig", signature(attrs))
                .withColumn("_prev", F.lag("_sig").over(w))
                .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_sig"))))
     out = changes.withColumn("effective_to", F.lead(date_col).over(w))

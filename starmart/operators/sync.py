@@ -5,8 +5,8 @@ Each mode is a pure function ``(source, target) -> SyncResult`` whose
 one-row DataFrame ``(table, mode, inserted, updated, skipped, status)``.
 Both are lazy; decisions that depend on counts (skip a full sync, empty
 target) are scalar subqueries inside the plan, not driver round trips.
-Writing a state goes to a new version directory (``VersionedTable``),
-never over the path being read.
+Writing goes to a new version of a ``store.VersionedTable``, never over the
+path being read: inserts append their rows, updates write theirs as changes.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.ordering import global_row_number
+from starmart.operators.store import VERSION_COL, VersionedTable, one_per_key  # noqa: F401
 from starmart.schemas import conform, serving_schema
 from starmart.session import written
 
@@ -80,8 +81,12 @@ def sync_full(source: DataFrame, target: DataFrame, table: str = "", force: bool
 
 
 def sync_insert_only(source: DataFrame, target: DataFrame, pk: str, table: str = "") -> SyncResult:
-    """Append source rows whose key the target lacks (distributed anti join)."""
-    new = source.join(target.select(pk), pk, "left_anti")
+    """Append source rows whose key the target lacks (distributed anti join).
+
+    Of source rows that share such a key one is inserted, the least by its
+    other columns; rows without a key all are.
+    """
+    new = one_per_key(source.join(target.select(pk), pk, "left_anti"), [pk])
     state = target.select(*source.columns).unionByName(new)
     n_new, n_src = _count(new), _count(source)
     stats = _stats(source.sparkSession, table, "upsert", 0, 0, 0).select(
@@ -105,38 +110,37 @@ def assign_serial(new_rows: DataFrame, existing: DataFrame, id_col: str, order_b
     return numbered.withColumn(id_col, (start + F.col("_rn")).cast("long")).drop("_rn")
 
 
-def sync_incremental(source: DataFrame, target: DataFrame, pk: str, date_column: str,
-                     exclude_columns: tuple[str, ...] = (), table: str = "",
-                     inclusive: bool = False) -> SyncResult:
-    """Rows changed after the target's high-water mark, upserted on the key.
+def incremental_rows(source: DataFrame, target: DataFrame, pk: str, date_column: str,
+                     exclude_columns: tuple[str, ...] = (), inclusive: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Source rows after the target's high-water mark, and what they make of the target's rows.
 
     Strict ``>`` by default (rows tied with the mark are not re-sent);
     ``inclusive=True`` re-sends them, which the upsert makes harmless.
-    Excluded columns are not sent: matched rows keep the target's values,
-    new rows get serial ids after the target's max (the first excluded
-    column is taken as the serial id).
+    Of rows that share a key the newest counts.  Excluded columns are not
+    sent: matched rows keep the target's values, new rows get serial ids after
+    the target's max (the first excluded column is taken as the serial id).
+    Only the target's key and excluded columns are read.
     """
     hwm = high_water_mark(target, date_column)
     dc = F.col(date_column)
-    after = (dc >= hwm) if inclusive else (dc > hwm)
-    changed = source.where(hwm.isNull() | after)
+    changed = source.where(hwm.isNull() | ((dc >= hwm) if inclusive else (dc > hwm)))
     send_cols = [c for c in source.columns if c not in exclude_columns]
-    batch = changed.select(*send_cols)
-
-    t = target.alias("t")
-    b = batch.withColumn("_m", F.lit(True)).alias("b")
-    matched = F.col("b._m").isNotNull()
-    kept = t.join(b, pk, "left").select(*[
-        F.col(pk) if c == pk else
-        (F.when(matched, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in send_cols else F.col(f"t.{c}"))
-        for c in target.columns])
-    fresh = batch.join(target.select(pk), pk, "left_anti")
-    if exclude_columns:
-        serial = exclude_columns[0]
-        fresh = assign_serial(fresh, target, serial, pk)
-        for c in exclude_columns[1:]:
-            fresh = fresh.withColumn(c, F.lit(None))
-    state = kept.unionByName(fresh.select(*target.columns))
+    batch = one_per_key(changed.select(*send_cols), [pk], newest=date_column)
+    types = {f.name: f.dataType for f in target.schema}
+    shape = lambda df: df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in target.columns])
+    if not exclude_columns:
+        return changed, shape(batch)
+    matched = batch.join(target.select(pk, *exclude_columns), pk)
+    fresh = assign_serial(batch.join(target.select(pk), pk, "left_anti"), target, exclude_columns[0], pk)
+    return changed, shape(matched).unionByName(shape(fresh))
+
+
+def sync_incremental(source: DataFrame, target: DataFrame, pk: str, date_column: str,
+                     exclude_columns: tuple[str, ...] = (), table: str = "",
+                     inclusive: bool = False) -> SyncResult:
+    """The target with the rows of ``incremental_rows`` upserted on the key."""
+    changed, rows = incremental_rows(source, target, pk, date_column, exclude_columns, inclusive)
+    state = target.join(changed.select(pk), pk, "left_anti").select(*target.columns).unionByName(rows)
     n_changed, n_src = _count(changed), _count(source)
     stats = _stats(source.sparkSession, table, "incremental", 0, 0, 0).select(
         "table", "mode", n_changed.cast("long").alias("inserted"), "updated",
@@ -221,77 +225,16 @@ def verdict(comparison: DataFrame, n_configured: int) -> DataFrame:
     return comparison.agg(m.alias("tables_matched"), n.alias("tables_compared"), text.alias("sync_verdict"))
 
 
-# --- writes: new version directory per state -----------------------------------------
-
-VERSION_COL = "sm_version"   # partition column of versioned tables
-
-
-@dataclass
-class VersionedTable:
-    """A table stored as ``<base>/sm_version=<n>`` directories and a log of them.
-
-    A version is either a whole state or rows appended to the state before
-    it.  Its directory is written first and entered in ``<base>/_log`` when it
-    is complete, so a reader opens the last whole state and what was appended
-    since, and never looks into other directories.
-    """
-    base: str
-
-    def _entries(self, spark: SparkSession) -> dict[int, bool]:
-        """The logged versions: whether each is a whole state."""
-        from pyspark.errors import AnalysisException
-        try:
-            log = spark.read.parquet(f"{self.base}/_log")
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return {}
-            raise
-        return {r["version"]: r["whole"] for r in log.select("version", "whole").distinct().collect()}
-
-    def latest_version(self, spark: SparkSession) -> int | None:
-        return max(self._entries(spark), default=None)
-
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        """The latest state, or the one before version ``before``."""
-        known = {v: whole for v, whole in self._entries(spark).items() if before is None or v < before}
-        states = [v for v, whole in known.items() if whole]
-        if not states:
-            return None
-        paths = [f"{self.base}/{VERSION_COL}={v}" for v in sorted(known) if v >= max(states)]
-        return spark.read.parquet(*paths)
-
-    def write(self, df: DataFrame, version: int | None = None, replace: bool = False, whole: bool = True) -> str:
-        """Write the next version (or an explicit one; ``replace`` rewrites an
-        explicit version, which a retried streaming batch needs)."""
-        spark = df.sparkSession
-        if version is None:
-            cur = self.latest_version(spark)
-            version = 0 if cur is None else cur + 1
-        path = f"{self.base}/{VERSION_COL}={version}"
-        df.write.mode("overwrite" if replace else "errorifexists").parquet(path)
-        (spark.createDataFrame([(version, whole)], "version long, whole boolean").coalesce(1)
-         .write.mode("append").parquet(f"{self.base}/_log"))
-        return path
-
-    def append(self, rows: DataFrame) -> str:
-        """Add rows to the latest state: only these rows are written."""
-        return self.write(rows, whole=False)
-
-    def expired(self, spark: SparkSession, keep: int = 2) -> list[str]:
-        """Directories that no reader of the last ``keep`` whole states needs, for the store's own clean-up."""
-        known = self._entries(spark)
-        states = sorted(v for v, whole in known.items() if whole)
-        oldest = states[-keep] if len(states) >= keep else 0
-        return [f"{self.base}/{VERSION_COL}={v}" for v in sorted(known) if v < oldest]
-
+# --- writes -----------------------------------------------------------------------------
 
 def publish_table(spec: TableSpec, source: DataFrame | None, store: VersionedTable, spark: SparkSession,
                   force_full: bool = False) -> DataFrame:
     """Sync one table into its serving store and return its stats row.
 
     A table with nothing to do writes no files; insert-only tables append
-    just the new rows; whatever fails, while planning or running, becomes a
-    ``failed`` row, so the other tables go on.
+    just the new rows, incremental ones write just the changed rows, merged on
+    read; whatever fails, while planning or running, becomes a ``failed`` row, so
+    the other tables go on.
     """
     row = lambda mode, inserted, skipped, status="ok", reason=None: _stats(
         spark, spec.table, mode, inserted, 0, skipped, status, reason)
@@ -305,14 +248,26 @@ def publish_table(spec: TableSpec, source: DataFrame | None, store: VersionedTab
             n = source.count()
             if full and not force_full and target is not None and 0 < n == target.count():
                 return row("skip", 0, n)
-            store.write(source)
-            return row("full" if full else spec.sync_mode, n, 0)
+            if full:
+                store.write(source)
+                return row("full", n, 0)
+            one = written(one_per_key(source, [spec.pk]))
+            store.write(one)
+            inserted = one.count()
+            return row(spec.sync_mode, inserted, n - inserted)
         if spec.sync_mode == "upsert":
-            new = written(source.join(target.select(spec.pk), spec.pk, "left_anti").select(*target.columns))
+            new = written(one_per_key(source.join(target.select(spec.pk), spec.pk, "left_anti"), [spec.pk]).select(*target.columns))
             n, n_source = new.count(), source.count()
             if n:
                 store.append(new)
             return row("upsert", n, n_source - n)
+        if spec.sync_mode == "incremental" and spec.date_column and target is not None:
+            changed, rows = incremental_rows(source, target, spec.pk, spec.date_column, spec.exclude_columns)
+            n, n_source = changed.count(), source.count()
+            if n:
+                store.merge(rows, [spec.pk])
+                store.compact(spark, max_changes=50, share=0.5)
+            return row("incremental", n, n_source - n)
         result = sync_table(spec, source, target, force_full)
         if result.state is None:
             return result.stats

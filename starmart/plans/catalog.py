@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators import evaluation, features, landing, marts, measures, modeling, quality, runs, sync
+from starmart.operators.history import History
 from starmart.operators.neighbours import nearest
 from starmart.operators.ordering import global_row_number
 from starmart.operators.staging import stage_orders
 from starmart.functions.dates import DEFAULT_TS_FORMAT
 from starmart.session import scratch_path, written
-from starmart.schemas import CATEGORICAL_FEATURES, FEATURE_COLUMNS
+from starmart.streaming import cdc
+from starmart.schemas import CATEGORICAL_FEATURES, CUSTOMER_COLUMNS, FEATURE_COLUMNS, PRODUCT_COLUMNS
 from starmart.sources.files import lookup_keys, read_run, tpch_registry, write_table
 from starmart.sources.fixtures import orders_feed
 
@@ -503,6 +505,41 @@ def publish_new_rows(spark, sf_dir):
     return spark.read.parquet(f"{store.base}/{sync.VERSION_COL}=1").select("order_item_id", "order_id", "sales")
 
 
+def merged_store(spark, sf_dir) -> sync.VersionedTable:
+    """A serving store of lines before 1997 with old sales, then the lines of 1996 and 1997 merged in, then open ones of 1997 deleted."""
+    fact = written(Star(spark, sf_dir).fact.select("order_item_id", "order_id", "order_status", "sales", "order_date"))
+    year = F.year("order_date")
+    store = sync.VersionedTable(scratch_path(spark, "merged"))
+    store.write(fact.where(year < 1997).withColumn("sales", F.col("sales") + 1))
+    store.merge(fact.where((year >= 1996) & (year <= 1997)), ["order_item_id"])
+    store.merge(fact.where((year == 1997) & (F.col("order_status") == "O")).withColumn("gone", F.lit(True)), ["order_item_id"], deleted="gone")
+    return store
+
+
+@query("merge_store")
+def merge_store(spark, sf_dir):
+    """State read from a store that was changed by key: newest row of each, deleted ones left out."""
+    return merged_store(spark, sf_dir).read(spark).drop("order_date")
+
+
+@query("merge_store_writes")
+def merge_store_writes(spark, sf_dir):
+    """Rows that each version of that store has written: the batch's, not the table's."""
+    store = merged_store(spark, sf_dir)
+    entries = [(e.version, e.whole, e.rows) for e in store.entries(spark)]
+    return spark.createDataFrame(entries, "version long, whole boolean, rows long")
+
+
+@query("cdc_table")
+def cdc_table(spark, sf_dir):
+    """Each user's last event as a table kept by a change stream whose files come in an order of their own; an error deletes the user."""
+    e = _events(spark, sf_dir).select("user_id", "event_id", "event_type", "value", F.when(F.col("event_type") == "error", "D").otherwise("U").alias("op"), F.col("event_id").alias("seq"))
+    changes, table = scratch_path(spark, "changes"), scratch_path(spark, "cdc")
+    e.repartition(4, F.xxhash64("event_id")).write.parquet(changes)
+    cdc.start_cdc(spark, changes, e.schema, table, "user_id", scratch_path(spark, "cdc-log"), max_changes=2, options={"maxFilesPerTrigger": "1"}).awaitTermination()
+    return sync.VersionedTable(table).read(spark)
+
+
 # --- prediction store ------------------------------------------------------------
 
 STORE_COLUMNS = ["prediction_id", "order_id", "fraud_probability", "predicted_label", "threshold_used",
@@ -737,19 +774,44 @@ def latest_pending_run(spark, sf_dir):
 def pipeline_snapshot(spark, sf_dir):
     s = Star(spark, sf_dir, materialize_stg=True)
     verdict = sync.verdict(sync.verify(*_local_remote(s)), 4)
-    return runs.pipeline_snapshot(_event_audit(spark, sf_dir).where(F.col("run_id") <= 20), s.fact,
+    return runs.pipeline_snapshot(_event_audit(spark, sf_dir), s.fact,
                                   stored_predictions(spark, sf_dir), verdict)
 
 
 # --- planned-only items ------------------------------------------------------------
 
+def _addresses(stg: DataFrame) -> DataFrame:
+    """Addresses change with the order priority, giving customers a history."""
+    return stg.withColumn("customer_street", F.concat_ws(" ", "customer_street", "payment_type"))
+
+
+def _ntz(history: DataFrame) -> DataFrame:
+    """Dates exposed as zone-less timestamps so both engines hand over one type."""
+    return (history.withColumn("effective_from", F.col("effective_from").cast("timestamp_ntz"))
+            .withColumn("effective_to", F.col("effective_to").cast("timestamp_ntz")))
+
+
 @query("scd2_customers")
 def scd2_customers(spark, sf_dir):
-    stg = Star(spark, sf_dir).stg
-    # addresses change with the order priority, giving customers a history
-    stg = stg.withColumn("customer_street", F.concat_ws(" ", "customer_street", "payment_type"))
-    from starmart.schemas import CUSTOMER_COLUMNS
-    h = marts.scd2(stg, "customer_id", CUSTOMER_COLUMNS[1:])
-    # dates exposed as zone-less timestamps so both engines hand over one type
-    return (h.withColumn("effective_from", F.col("effective_from").cast("timestamp_ntz"))
-             .withColumn("effective_to", F.col("effective_to").cast("timestamp_ntz")))
+    return _ntz(marts.scd2(_addresses(Star(spark, sf_dir).stg), "customer_id", CUSTOMER_COLUMNS[1:]))
+
+
+def merged_history(spark, stg: DataFrame, key: str, attrs: list[str]) -> DataFrame:
+    """A history into which the lines are merged half-year by half-year."""
+    lines = written(stg.select(key, *attrs, "full_date", "order_date", "order_item_id", (F.year("full_date") * 2 + (F.month("full_date") > 6).cast("int")).alias("_half")))
+    history = History(scratch_path(spark, "history"), key, attrs)
+    for r in lines.where("_half IS NOT NULL").select("_half").distinct().orderBy("_half").collect():      # the half-years of the feed
+        history.apply(lines.where(F.col("_half") == r["_half"]), max_changes=4)
+    return history.read(spark)
+
+
+@query("scd2_customers_merge")
+def scd2_customers_merge(spark, sf_dir):
+    return _ntz(merged_history(spark, _addresses(Star(spark, sf_dir).stg), "customer_id", CUSTOMER_COLUMNS[1:]))
+
+
+@query("scd2_products_merge")
+def scd2_products_merge(spark, sf_dir):
+    # a product's status changes with the shipping mode
+    stg = Star(spark, sf_dir).stg.withColumn("product_status", F.when(F.col("shipping_mode") == "A", 1).otherwise(0))
+    return _ntz(merged_history(spark, stg, "product_card_id", PRODUCT_COLUMNS[1:]))

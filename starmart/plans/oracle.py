@@ -1017,29 +1017,66 @@ SELECT run_id AS latest_run_id, rows_loaded, validation_status,
                     WHEN count_if(local_count = remote_count) = 0 THEN 'FAILED'
                     ELSE 'PARTIAL (' || CAST(count_if(local_count = remote_count) AS VARCHAR) || '/'
                          || CAST(count(*) AS VARCHAR) || ')' END FROM cmp) AS sync_verdict
-FROM audit2 WHERE run_id <= 20 ORDER BY run_id DESC LIMIT 1""")
+FROM audit2 ORDER BY run_id DESC LIMIT 1""")
 
 
-@oracle("scd2_customers")
-def _():
-    attrs = ["customer_first_name", "customer_last_name", "customer_segment", "customer_city",
-             "customer_state", "customer_country", "customer_street", "customer_zipcode"]
+def _scd2(key: str, attrs: list[str], replace: str) -> str:
     a = ", ".join(attrs)
     return with_stg(f"""
-, v AS (SELECT * REPLACE (customer_street || ' ' || payment_type AS customer_street) FROM stg
-        WHERE customer_id IS NOT NULL AND full_date IS NOT NULL),
+, v AS (SELECT * REPLACE ({replace}) FROM stg
+        WHERE {key} IS NOT NULL AND full_date IS NOT NULL),
 daily AS (
-  SELECT customer_id, full_date, {a} FROM (
-    SELECT *, row_number() OVER (PARTITION BY customer_id, full_date
+  SELECT {key}, full_date, {a} FROM (
+    SELECT *, row_number() OVER (PARTITION BY {key}, full_date
                                  ORDER BY order_date DESC, order_item_id DESC) AS rn FROM v)
   WHERE rn = 1
 ),
 chg AS (
-  SELECT *, lag(ROW({a})) OVER (PARTITION BY customer_id ORDER BY full_date) AS prev
+  SELECT *, lag(ROW({a})) OVER (PARTITION BY {key} ORDER BY full_date) AS prev
   FROM daily
 ),
 kept AS (SELECT * FROM chg WHERE prev IS NULL OR prev IS DISTINCT FROM ROW({a}))
-SELECT customer_id, {a}, CAST(full_date AS TIMESTAMP) AS effective_from,
-       CAST(lead(full_date) OVER (PARTITION BY customer_id ORDER BY full_date) AS TIMESTAMP) AS effective_to,
-       lead(full_date) OVER (PARTITION BY customer_id ORDER BY full_date) IS NULL AS is_current
+SELECT {key}, {a}, CAST(full_date AS TIMESTAMP) AS effective_from,
+       CAST(lead(full_date) OVER (PARTITION BY {key} ORDER BY full_date) AS TIMESTAMP) AS effective_to,
+       lead(full_date) OVER (PARTITION BY {key} ORDER BY full_date) IS NULL AS is_current
 FROM kept""")
+
+
+@oracle("scd2_customers")
+def _():
+    return _scd2("customer_id", ["customer_first_name", "customer_last_name", "customer_segment", "customer_city",
+                                 "customer_state", "customer_country", "customer_street", "customer_zipcode"],
+                 "customer_street || ' ' || payment_type AS customer_street")
+
+
+ORACLE["scd2_customers_merge"] = ORACLE["scd2_customers"]
+
+
+@oracle("scd2_products_merge")
+def _():
+    from starmart.schemas import PRODUCT_COLUMNS
+
+    return _scd2("product_card_id", PRODUCT_COLUMNS[1:], "CASE WHEN shipping_mode = 'A' THEN 1 ELSE 0 END AS product_status")
+
+
+@oracle("merge_store")
+def _():
+    return with_star("""
+SELECT order_item_id, order_id, order_status, CASE WHEN year(order_date) < 1996 THEN sales + 1 ELSE sales END AS sales
+FROM fact WHERE year(order_date) <= 1997 AND NOT (year(order_date) = 1997 AND order_status IS NOT DISTINCT FROM 'O')""")
+
+
+@oracle("merge_store_writes")
+def _():
+    return with_star("""
+SELECT CAST(0 AS BIGINT) AS version, true AS whole, count(*) AS rows FROM fact WHERE year(order_date) < 1997
+UNION ALL SELECT 1, false, count(*) FROM fact WHERE year(order_date) IN (1996, 1997)
+UNION ALL SELECT 2, false, count(*) FROM fact WHERE year(order_date) = 1997 AND order_status = 'O'""")
+
+
+@oracle("cdc_table")
+def _():
+    return """
+SELECT user_id, event_id, event_type, value
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events WHERE user_id IS NOT NULL)
+WHERE n = 1 AND event_type <> 'error'"""

@@ -159,7 +159,10 @@ def predict_new(spark: SparkSession, wh: Warehouse, order_ids: DataFrame | None
         lines = feats.join(order_ids.select("order_id").distinct(), "order_id", "left_semi")
         scored = modeling.score(bundle, lines, keep=["order_id", "order_item_id"])
         batch = modeling.one_per_order(scored.drop("p"), keep="last")
-        store.write(modeling.upsert(current, batch, bundle.threshold, bundle.model_version))
+        if store.latest_version(spark) is None:
+            store.write(current)
+        store.merge(modeling.upsert_rows(current, batch, bundle.threshold, bundle.model_version), ["order_id"])
+        store.compact(spark, max_changes=50, share=0.5)
     return store.read(spark)
 
 
