@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.operators import runs
+from starmart.operators.key_index import KeyIndex
 from starmart.schemas import ORDER_ITEM_ID
 
 
@@ -45,18 +47,42 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def landed_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of the landed table, as the reader lists them (names only, no rows are read)."""
+    table = read_raw(spark, path)
+    return [] if table is None else table.inputFiles()
+
+
+def read_candidates(spark: SparkSession, raw_path: str, batch: DataFrame, index: KeyIndex) -> DataFrame | None:
+    """The landed rows that an anti join with ``batch`` must see: those of files that may hold its keys."""
+    files = landed_files(spark, raw_path)
+    opened = index.candidates(batch, files) if files else []
+    if not opened:
+        return None
+    return spark.read.option("basePath", raw_path).option("mergeSchema", True).parquet(*opened)
+
+
 def land(spark: SparkSession, batch: DataFrame, raw_path: str, run_id: int, key: str = ORDER_ITEM_ID,
-         skip_if_same_count: bool = False) -> DataFrame:
+         skip_if_same_count: bool = False, index: KeyIndex | None = None, skip_if_same_rows: bool = False) -> DataFrame:
     """Append the new rows of one run as partition ``etl_run_id=<run_id>``.
 
     Returns the landed rows (lazy, read back from the written partition).
     ``skip_if_same_count`` reproduces the reference's count short-circuit
-    (R3); by default the anti join always runs, so replaced rows are not
-    missed.
+    (R3), ``skip_if_same_rows`` skips on equal keys and contents instead; by
+    default the anti join always runs.  With an ``index`` it reads only files
+    that may hold keys of the batch, and the run's files are indexed.
     """
     landed = read_raw(spark, raw_path)
+    nothing = lambda: spark.createDataFrame([], stamp(batch, run_id).schema)
     if skip_if_same_count and landed is not None and landed.count() == batch.count():
-        return spark.createDataFrame([], stamp(batch, run_id).schema)
+        return nothing()
+    if skip_if_same_rows and landed is not None and runs.same_rows(batch, landed.select(*[f"`{c}`" for c in batch.columns if c in landed.columns])):
+        return nothing()
+    if index is not None:
+        landed = read_candidates(spark, raw_path, batch, index)
     fresh = stamp(new_rows(batch, landed, key), run_id)
     fresh.write.mode("append").partitionBy("etl_run_id").parquet(raw_path)
-    return spark.read.option("mergeSchema", True).parquet(raw_path).where(F.col("etl_run_id") == run_id)
+    added = spark.read.option("mergeSchema", True).parquet(raw_path).where(F.col("etl_run_id") == run_id)
+    if index is not None:
+        index.add(added)
+    return added

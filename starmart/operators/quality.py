@@ -230,32 +230,36 @@ def run_model_tests(tables: dict[str, DataFrame], tests: list[ModelTest] | None
     """Run a declarative suite: not_null tests of one model share one pass,
     all unique tests one keyed aggregate, all relationships one anti join.
 
-    Tests naming a model or column that is absent are skipped, so the same
-    suite runs on a feature table built without the audit column.
+    A test that names an absent model or column fails, with a null count, so
+    a renamed column never turns a failing suite green.
     """
     tests = MART_TESTS if tests is None else tests
     parts: list[DataFrame] = []
     by_model: dict[str, list[str]] = {}
     uniq: list[tuple[str, DataFrame, str]] = []
     rels: list[tuple[str, DataFrame, str, DataFrame, str]] = []
+    absent: list[tuple[str, str, str]] = []
     for t in tests:
         df = tables.get(t.model)
-        if df is None or t.column not in df.columns:
+        parent = tables.get(t.to_model) if t.to_model else None
+        if df is None or t.column not in df.columns or t.test == "relationships" and (parent is None or t.to_field not in parent.columns):
+            absent.append((t.model, t.test, t.column))
             continue
         if t.test == "not_null":
             by_model.setdefault(t.model, []).append(t.column)
         elif t.test == "unique":
             uniq.append((t.model, df, t.column))
         elif t.test == "relationships":
-            parent = tables.get(t.to_model)
-            if parent is not None:
-                rels.append((t.model, df, t.column, parent, t.to_field))
+            rels.append((t.model, df, t.column, parent, t.to_field))
     if uniq:
         parts.append(unique_many(uniq))
     if rels:
         parts.append(relationships_many(rels))
     for model, cols in by_model.items():
         parts.append(not_null(tables[model], cols, model))
+    if absent:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame([(*a, None, False) for a in absent], "model string, check string, column_name string, failing_rows long, passed boolean"))
     return reduce(DataFrame.unionByName, parts)
 
 

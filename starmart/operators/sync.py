@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.ordering import global_row_number
+from starmart.operators.runs import row_digest, same_rows
 from starmart.operators.store import VERSION_COL, VersionedTable, one_per_key  # noqa: F401
 from starmart.schemas import conform, serving_schema
 from starmart.session import written
@@ -66,11 +67,16 @@ def _stats(spark: SparkSession, table: str, mode: str, inserted, updated, skippe
                       F.lit(reason).cast("string").alias("reason"))
 
 
-def sync_full(source: DataFrame, target: DataFrame, table: str = "", force: bool = False) -> SyncResult:
+def sync_full(source: DataFrame, target: DataFrame, table: str = "", force: bool = False, by_rows: bool = False) -> SyncResult:
     """Skip when the target is non-empty and has as many rows as the source,
-    otherwise replace it.  ``force`` always replaces."""
+    otherwise replace it.  ``force`` always replaces; ``by_rows`` skips only if
+    the rows are the same (``runs.row_digest``), so replaced rows are synced."""
     n_src, n_tgt = _count(source), _count(target)
     skip = F.lit(False) if force else ((n_src == n_tgt) & (n_tgt > 0))
+    if by_rows and not force:
+        digest = lambda df: row_digest(df, source.columns).select(F.concat_ws("/", "n", "a", "b")).scalar()
+        types = {f.name: f.dataType for f in source.schema}
+        skip = skip & (digest(source) == digest(target.select(*[F.col(c).cast(types[c]).alias(c) for c in source.columns])))
     state = source.where(~skip).unionByName(target.select(*source.columns).where(skip))
     spark = source.sparkSession
     stats = _stats(spark, table, "full", 0, 0, 0).select(
@@ -228,13 +234,14 @@ def verdict(comparison: DataFrame, n_configured: int) -> DataFrame:
 # --- writes -----------------------------------------------------------------------------
 
 def publish_table(spec: TableSpec, source: DataFrame | None, store: VersionedTable, spark: SparkSession,
-                  force_full: bool = False) -> DataFrame:
+                  force_full: bool = False, by_rows: bool = False) -> DataFrame:
     """Sync one table into its serving store and return its stats row.
 
     A table with nothing to do writes no files; insert-only tables append
     just the new rows, incremental ones write just the changed rows, merged on
-    read; whatever fails, while planning or running, becomes a ``failed`` row, so
-    the other tables go on.
+    read; ``by_rows`` skips a full table only if its rows are the same, not just
+    as many; whatever fails, while planning or running, becomes a ``failed`` row,
+    so the other tables go on.
     """
     row = lambda mode, inserted, skipped, status="ok", reason=None: _stats(
         spark, spec.table, mode, inserted, 0, skipped, status, reason)
@@ -246,7 +253,7 @@ def publish_table(spec: TableSpec, source: DataFrame | None, store: VersionedTab
         full = spec.sync_mode == "full" or (force_full and spec.sync_mode in ("upsert", "incremental"))
         if target is None and spec.sync_mode == "upsert" or full:
             n = source.count()
-            if full and not force_full and target is not None and 0 < n == target.count():
+            if full and not force_full and target is not None and 0 < n == target.count() and (not by_rows or same_rows(source, target)):
                 return row("skip", 0, n)
             if full:
                 store.write(source)

@@ -1080,3 +1080,19 @@ def _():
 SELECT user_id, event_id, event_type, value
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events WHERE user_id IS NOT NULL)
 WHERE n = 1 AND event_type <> 'error'"""
+
+
+ORACLE["land_indexed"] = ORACLE["land_new_rows"]
+ORACLE["sync_full_by_rows"] = ORACLE["dim_products"]
+
+
+@oracle("same_rows")
+def _():
+    digest = "(SELECT count(*) FROM (SELECT event_id, user_id, event_type, value, props, count(*) FROM {a} GROUP BY ALL EXCEPT SELECT event_id, user_id, event_type, value, props, count(*) FROM {b} GROUP BY ALL)) = 0"
+    case = lambda name, a, b: f"SELECT '{name}' AS \"case\", (SELECT count(*) FROM {a}) = (SELECT count(*) FROM {b}) AS same_count, {digest.format(a=a, b=b)} AND {digest.format(a=b, b=a)} AS same_rows"
+    return """WITH e AS (SELECT event_id, user_id, event_type, value, props FROM events),
+r AS (SELECT * REPLACE (CASE WHEN event_id = (SELECT max(event_id) FROM e) THEN -1.0 ELSE value END AS value) FROM e),
+f AS (SELECT * FROM e WHERE event_id <> (SELECT max(event_id) FROM e)),
+x AS (SELECT * FROM e UNION ALL SELECT * FROM e WHERE event_id = (SELECT max(event_id) FROM e)),
+y AS (SELECT * FROM e UNION ALL SELECT * FROM e WHERE event_id = 0)
+""" + " UNION ALL ".join([case("same", "e", "e"), case("replaced", "e", "r"), case("fewer", "e", "f"), case("repeats", "x", "y")])
