@@ -377,8 +377,9 @@ def stratified_split(spark, sf_dir):
 
 @query("ordinal_encode")
 def ordinal_encode(spark, sf_dir):
-    # the fit and the encoding both read the split: cut once, as the pipeline writes it
-    split = written(split_features(spark, sf_dir))
+    # split, fit and encoding read the narrow feature table: cut once, as the pipeline writes it
+    narrow = written(feature_table(spark, sf_dir).select("order_item_id", "target", *CATEGORICAL_FEATURES))
+    split = written(modeling.stratified_split(narrow))
     mapping = modeling.fit_ordinal_encoder(split.where(~F.col("is_test")), CATEGORICAL_FEATURES)
     enc = modeling.apply_ordinal_encoder(split, mapping, CATEGORICAL_FEATURES)
     return enc.select("order_item_id", "is_test", *CATEGORICAL_FEATURES)
