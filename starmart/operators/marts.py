@@ -184,3 +184,27 @@ def scd2(stg: DataFrame, key: str, attrs: list[str], date_col: str = "full_date"
 def month_key(date_key_col: str = "date_key") -> Column:
     """yyyymm partition value of a yyyymmdd date key."""
     return (F.col(date_key_col) / 100).cast("int")
+
+
+def rebuild_months(fact: DataFrame, touched: DataFrame, path: str) -> None:
+    """§2.11: write anew the months of a fact partitioned by month that ``touched`` (column month_key) names.
+
+    ``fact`` is the whole fact as it should be, lazily; only the rows of those
+    months are computed and only their partitions replaced, each in one
+    commit.  A touched month without rows keeps its partition, as an overwrite by
+    partition replaces only what is written.
+    """
+    months = touched.select("month_key").where(F.col("month_key").isNotNull()).distinct()
+    rows = fact.withColumn("month_key", month_key()).join(sized_dimension(months), "month_key", "left_semi")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month_key").parquet(path))
+
+
+def sales_of_days(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """Lines and sales by month for a selection of days, from a fact partitioned by month.
+
+    The fact joins the days on month and day; the days are the small side, so
+    their months reach the fact's scan as a dynamic partition filter.
+    """
+    chosen = days.select("date_key", month_key().alias("month_key"))
+    joined = fact.join(F.broadcast(chosen), ["month_key", "date_key"])        # a row a day
+    return joined.groupBy("month_key").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("sales").cast("decimal(38,4)")).cast("double").alias("sum_sales"))

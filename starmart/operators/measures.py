@@ -8,11 +8,14 @@ average or median only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.numeric import exact_sum
 from starmart.operators.marts import sized_dimension
+from starmart.operators.ordering import grouped_running
 
 ADDITIVE = ["sales", "order_item_total", "order_item_discount", "order_item_quantity"]
 
@@ -60,27 +63,31 @@ def weighted_ratio(df: DataFrame, by: list[str], ratio: str = "order_item_discou
 def median_by_histogram(df: DataFrame, by: list[str], column: str) -> DataFrame:
     """Exact median (interpolated, as ``percentile(c, 0.5)``) per group.
 
-    Built on a (group, value) count histogram, so a group holding a third of
-    all rows is one row per distinct value after map-side partial counting —
-    durations in days have few distinct values.  Spark's exact ``median``
-    would buffer every value of that group in one task.
+    A rank search over value ranges: the (group, value) counts are range-partitioned
+    by group and value, running counts inside the ranges with the ranges' totals
+    carried over give every value its ranks, and the values that hold the
+    two middle ranks are averaged.  A group with most of the rows, even with as
+    many values as rows, spreads over all tasks; Spark's exact ``median`` would
+    buffer every value of it in one.  Nulls take no part.
     """
     hist = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*by).orderBy(column)
-    cum = (hist.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-               .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by))))
-    k1 = F.floor((F.col("_n") + 1) / 2)
-    k2 = F.floor(F.col("_n") / 2) + 1
-    lo = F.min(F.when(F.col("_cum") >= k1, F.col(column)))
-    hi = F.min(F.when(F.col("_cum") >= k2, F.col(column)))
-    return cum.groupBy(*by).agg(((lo + hi) / 2).alias(f"median_{column}"))
+    hist = hist.withColumn("_g", F.to_json(F.struct(*by), {"ignoreNullFields": "false"}))
+    cum = grouped_running(hist, "_g", [column], {"_cum": ("sum", "_c")})
+    totals = cum.groupBy("_g").agg(F.sum("_c").alias("_n"))
+    ranked = cum.join(sized_dimension(totals), "_g")
+    holds = lambda k: (F.col("_cum") >= k) & (F.col("_cum") - F.col("_c") < k)
+    lo = F.max(F.when(holds(F.floor((F.col("_n") + 1) / 2)), F.col(column)))
+    hi = F.max(F.when(holds(F.floor(F.col("_n") / 2) + 1), F.col(column)))
+    return ranked.groupBy(*by).agg(((lo + hi) / 2).alias(f"median_{column}"))
 
 
 def ship_days_avg_median(df: DataFrame, by: list[str], column: str = "days_for_shipping_real",
                          places: int | None = 4) -> DataFrame:
     """Average and median of a duration."""
     avg = df.groupBy(*by).agg(_r(F.avg(column), places).alias(f"avg_{column}"))
-    return avg.join(median_by_histogram(df, by, column), on=by, how="left")
+    median = median_by_histogram(df, by, column)
+    both = avg.alias("a").join(median.alias("m"), reduce(Column.__and__, [F.col(f"a.{c}").eqNullSafe(F.col(f"m.{c}")) for c in by]), "left")
+    return both.select(*[F.col(f"a.{c}").alias(c) for c in by], f"avg_{column}", f"median_{column}")
 
 
 def monthly_category_sales(fact: DataFrame, dim_date: DataFrame, dim_products: DataFrame,

@@ -317,6 +317,37 @@ def ship_days_avg_median(spark, sf_dir):
     return measures.ship_days_avg_median(Star(spark, sf_dir).fact, ["shipping_mode", "delivery_status"])
 
 
+@query("sales_median")
+def sales_median(spark, sf_dir):
+    """Median of a measure with nearly as many values as rows."""
+    m = measures.median_by_histogram(Star(spark, sf_dir).fact.withColumn("shipping_mode", F.when(F.col("shipping_mode") != "A", F.col("shipping_mode"))), ["shipping_mode"], "sales")
+    return m.select("shipping_mode", F.round("median_sales", 4).alias("median_sales"))
+
+
+def monthly_fact(spark, sf_dir) -> tuple[str, Star]:
+    """A fact partitioned by month whose sales are all one too high, after a rebuild of the months that urgent lines of early 1996 touch."""
+    s = Star(spark, sf_dir, materialize_stg=True)
+    path = scratch_path(spark, "months")
+    write_table(s.fact.withColumn("sales", F.col("sales") + 1).withColumn("month_key", marts.month_key()), path, partition_by=["month_key"])
+    batch = s.fact.where((F.col("payment_type") == "1-URGENT") & (F.col("order_date") >= _ts("1996-01-01")) & (F.col("order_date") < _ts("1996-04-01")))
+    marts.rebuild_months(s.fact, batch.select(marts.month_key().alias("month_key")), path)
+    return path, s
+
+
+@query("fact_month_rebuild")
+def fact_month_rebuild(spark, sf_dir):
+    path, _ = monthly_fact(spark, sf_dir)
+    return spark.read.parquet(path).select("order_item_id", "order_id", "date_key", "sales", "month_key")
+
+
+@query("fact_months_pruned")
+def fact_months_pruned(spark, sf_dir):
+    """A quarter's weekend sales from that table: the days' months prune its partitions at run time."""
+    path, s = monthly_fact(spark, sf_dir)
+    days = written(s.dim_date).where((F.col("year") == 1996) & (F.col("month") <= 3) & F.col("is_weekend"))
+    return marts.sales_of_days(spark.read.parquet(path), days)
+
+
 # --- evaluation ----------------------------------------------------------------
 
 def scored_lines(spark, sf_dir) -> DataFrame:

@@ -1096,3 +1096,27 @@ f AS (SELECT * FROM e WHERE event_id <> (SELECT max(event_id) FROM e)),
 x AS (SELECT * FROM e UNION ALL SELECT * FROM e WHERE event_id = (SELECT max(event_id) FROM e)),
 y AS (SELECT * FROM e UNION ALL SELECT * FROM e WHERE event_id = 0)
 """ + " UNION ALL ".join([case("same", "e", "e"), case("replaced", "e", "r"), case("fewer", "e", "f"), case("repeats", "x", "y")])
+
+
+@oracle("sales_median")
+def _():
+    return with_star("SELECT CASE WHEN shipping_mode <> 'A' THEN shipping_mode END AS shipping_mode, round(median(sales), 4) AS median_sales FROM fact GROUP BY 1")
+
+
+MONTHS = """,
+months AS (
+  SELECT * REPLACE (CASE WHEN date_key // 100 IN (
+           SELECT date_key // 100 FROM fact WHERE payment_type = '1-URGENT' AND order_date >= TIMESTAMP '1996-01-01' AND order_date < TIMESTAMP '1996-04-01')
+         THEN sales ELSE sales + 1 END AS sales), CAST(date_key // 100 AS INTEGER) AS month_key FROM fact)"""
+
+
+@oracle("fact_month_rebuild")
+def _():
+    return with_star(MONTHS + "\nSELECT order_item_id, order_id, date_key, sales, month_key FROM months")
+
+
+@oracle("fact_months_pruned")
+def _():
+    return with_star(MONTHS + """
+SELECT m.month_key, count(*) AS n_lines, CAST(sum(CAST(m.sales AS DECIMAL(38, 4))) AS DOUBLE) AS sum_sales
+FROM months m JOIN dim_date d ON d.date_key = m.date_key WHERE d.year = 1996 AND d.month <= 3 AND d.is_weekend GROUP BY m.month_key""")
