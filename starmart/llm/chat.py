@@ -14,7 +14,8 @@ The loss mask is a list of spans (start and length in code points) of the
 formatted text, one for each assistant text.
 
 Defined results: null and empty texts are empty turns; null roles are empty
-roles; a record that isn't a JSON object has no layout; a conversation without
+roles; a record that isn't a JSON object has no layout; one too long for a
+variant is read with the types that the layouts declare; a conversation without
 turns is formatted as an empty text; turns that share a number are ordered by
 role and text; other columns are passed on.
 """
@@ -32,6 +33,8 @@ CONTROL = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_star
 #: Levels of nesting that field paths are read to.
 DEPTH = 3
 TURNS = "array<struct<role: string, text: string>>"
+#: Bytes of a record up to which it is read as a variant, which has a limit of its own above that.
+VARIANT_BYTES = 48 << 20
 
 
 @dataclass(frozen=True)
@@ -125,17 +128,64 @@ def _steps(record: Column, layout: Layout) -> Column:
     return F.concat(*parts)
 
 
-def to_turns(records: DataFrame, record: str = "record", layouts: tuple = LAYOUTS) -> DataFrame:
-    """Add ``fingerprint``, ``layout`` and ``turns`` to records of JSON text; unknown layouts have null turns."""
+def _typed(record: Column, layouts: tuple) -> Column:
+    """What the layouts need of a record too long for a variant: its keys, its lists of messages and its texts."""
+    steps = [step for layout in layouts for step in layout.turns]
+    lists = sorted({step[1] for step in steps if step[0] == "each"})
+    texts = sorted({f for step in steps if step[0] == "text" for f in step[2]})
+    read = lambda schema: F.from_json(record, schema, {"maxStringLen": str((1 << 31) - 1)})
+    return F.struct(F.json_object_keys(record).alias("keys"), read(", ".join(f"`{f}` string" for f in texts)).alias("texts"),
+                    F.struct(*[read(f"`{name}` array<map<string, string>>")[name].alias(name) for name in lists]).alias("lists"))
+
+
+def _typed_paths(typed: Column, layouts: tuple) -> Column:
+    """Sorted field paths of a typed record: its keys, and those of the messages in its lists."""
+    none = F.expr("cast(array() as array<string>)")
+    parts = [typed["keys"]]
+    for name in sorted({step[1] for layout in layouts for step in layout.turns if step[0] == "each"}):
+        own = F.flatten(F.transform(typed["lists"][name], lambda m: F.coalesce(F.map_keys(m), none)))
+        parts.append(F.coalesce(F.transform(own, lambda k: F.concat(F.lit(f"{name}[]."), k)), none))  # noqa: B023 - called at once
+    return F.array_sort(F.array_distinct(F.concat(*parts)))
+
+
+def _typed_steps(typed: Column, layout: Layout) -> Column:
+    """The turns that a layout's steps read from a typed record."""
+    parts = []
+    for kind, *step in layout.turns:
+        if kind == "each":
+            name, role, text, roles = step
+
+            def message(m: Column) -> Column:
+                named = m[role]  # noqa: B023
+                for x, y in roles:  # noqa: B023
+                    named = F.when(m[role] == x, F.lit(y)).otherwise(named)  # noqa: B023
+                return F.struct(F.coalesce(named, F.lit("")).alias("role"), F.coalesce(m[text], F.lit("")).alias("text"))  # noqa: B023
+            parts.append(F.coalesce(F.transform(typed["lists"][name], message), F.expr(f"cast(array() as {TURNS})")))
+        else:
+            role, fields = step
+            own = [typed["texts"][f] for f in fields]
+            parts.append(F.when(F.coalesce(*own).isNotNull(), F.array(F.struct(F.lit(role).alias("role"), F.concat_ws("\n\n", *own).alias("text"))))
+                         .otherwise(F.expr(f"cast(array() as {TURNS})")))
+    return F.concat(*parts)
+
+
+def to_turns(records: DataFrame, record: str = "record", layouts: tuple = LAYOUTS, variant_bytes: int = VARIANT_BYTES) -> DataFrame:
+    """Add ``fingerprint``, ``layout`` and ``turns`` to records of JSON text; unknown layouts have null turns.
+
+    Records of more than ``variant_bytes`` don't fit a variant: they are read
+    with the types that the layouts declare, and their paths end at the fields
+    of the messages in a list.
+    """
     keys = [c for c in records.columns]
-    value = F.try_parse_json(F.col(record))
-    parsed = records.withColumn("_value", value)
-    marked = parsed.withColumn("fingerprint", F.when(F.schema_of_variant("_value").startswith("OBJECT<"), fingerprint(field_paths(F.col("_value")))))
+    long = F.octet_length(record) > variant_bytes
+    parsed = records.withColumn("_value", F.when(~long, F.try_parse_json(F.col(record)))).withColumn("_typed", F.when(long, _typed(F.col(record), layouts)))
+    marked = parsed.withColumn("fingerprint", F.when(F.col("_typed.keys").isNotNull(), fingerprint(_typed_paths(F.col("_typed"), layouts)))
+                               .when(F.schema_of_variant("_value").startswith("OBJECT<"), fingerprint(field_paths(F.col("_value")))))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for layout in reversed(layouts):
         own = F.col("fingerprint").isin(_fingerprints(layout))
         name = F.when(own, F.lit(layout.name)).otherwise(name)
-        turns = F.when(own, _steps(F.col("_value"), layout)).otherwise(turns)
+        turns = F.when(own, F.when(F.col("_typed").isNotNull(), _typed_steps(F.col("_typed"), layout)).otherwise(_steps(F.col("_value"), layout))).otherwise(turns)
     return marked.select(*keys, "fingerprint", name.alias("layout"), turns.alias("turns"))
 
 
