@@ -86,12 +86,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     disjoint id ranges, so it is the sum over earlier files (one row each)
     plus a running sum inside the file.
     """
-    rows = (open_tokens(spark, path).select("doc_id", "ids", F.input_file_name().alias("_file"))
-            .mapInArrow(_digest, READ))
-    # files are named by partition, so their names ascend as their ids do
-    sums = rows.groupBy("_file").agg(F.sum("n_tokens").alias("_sum"))
+    written = open_tokens(spark, path)
+    rows = written.select("doc_id", "ids", F.input_file_name().alias("_file")).mapInArrow(_digest, READ)
+    # the counts alone give the offsets; files are named by partition, so by length and name they ascend as their ids do
+    sums = written.select("n_tokens", F.input_file_name().alias("_file")).groupBy("_file").agg(F.sum("n_tokens").alias("_sum"))
     offsets = sums.select("_file", F.coalesce(F.sum("_sum").over(
-        Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+        Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_file").orderBy("doc_id", "_at").rowsBetween(Window.unboundedPreceding, -1)
     return (rows.withColumn("_at", F.monotonically_increasing_id())
             .join(F.broadcast(offsets), "_file")           # one row per file
