@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.common import cut, with_running_total
+from starmart.operators.ordering import grouped_running
 
 SHARDS = 40
 ROUNDS = 8
@@ -108,9 +109,12 @@ def balanced_shards(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
         return rows.withColumn("shard", F.lit(0))
     most = max(2, total // shards // 2)
     size = rows.groupBy("group").agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col("group").alias("_g"), "_n")
-    blocks = F.ceil(F.col("_n") / most)
-    state = (rows.join(size, F.col("group").eqNullSafe(F.col("_g")), "left")
-             .withColumn("_block", F.when(F.col("_n").isNotNull(), F.xxhash64("group", F.floor(F.col("rank") * blocks / total))))
+    # members are numbered inside their group, over range partitions, and cut into blocks of equal counts
+    numbered = rows.withColumn("_link", F.coalesce(F.xxhash64("group"), F.lit(0))).withColumn("_one", F.lit(1).cast("long"))
+    numbered = grouped_running(numbered, "_link", ["rank"], {"_place": ("sum", "_one")}).drop("_link", "_one")
+    block = F.expr(f"(_place - 1) div ceil(_n / ceil(_n / {most}))")
+    state = (numbered.join(size, F.col("group").eqNullSafe(F.col("_g")), "left")
+             .withColumn("_block", F.when(F.col("_n").isNotNull(), F.xxhash64("group", block))).drop("_place")
              .withColumn("shard", (F.col("rank") % shards).cast("int"))
              .withColumn("_salt", F.pmod(F.xxhash64("rank"), F.lit(SALT)).cast("int")).drop("_g", "_n"))
     state = cut(state, "shards")
