@@ -8,7 +8,7 @@ from one cumulative sum over the batch, so no Python loop runs per word.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def apart(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with the columns that aren't ``used`` renamed to their places, and what gives them their names back.
+
+    So no column that is just passed on can meet a name that an operator works with.
+    """
+    names = list(docs.columns)
+    plain = [c if c in used else f"column {i}" for i, c in enumerate(names)]
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(f"`{c}`") for c in plain]).toDF(*names)
+    return docs.toDF(*plain), back
+
+
 def with_running_total(df: DataFrame, order: list[str], value: str, total: str, name: str) -> DataFrame:
     """Add ``total``: the sum of ``value`` over all rows before this one in ``order``.
 

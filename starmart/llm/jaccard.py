@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import LOWER, by_bytes, cut, mix, span_hashes, words
+from starmart.llm.common import LOWER, apart, by_bytes, cut, mix, span_hashes, words
 
 SHINGLE = 5
 #: The threshold as a fraction: intersection / union >= OVER / UNDER.
@@ -601,6 +601,7 @@ def filter_documents(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
     Rows without an id stay.  Of rows that repeat an id, one stays.
     """
+    docs, back = apart(docs, ("doc_id", "text"))
     found = cut(join_components(docs, size), "components")
     kept = cut(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")), "kept")
     wanted = F.broadcast(kept) if kept.count() <= MAX_IDS else kept                # eight bytes an id
@@ -609,4 +610,4 @@ def filter_documents(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     if known.count() != found.filter("doc_id is not null").count():
         whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
         out = out.groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(whole, F.xxhash64("text")).alias("_row")).select("_row.*")
-    return out.unionByName(docs.filter("doc_id is null"))
+    return back(out.unionByName(docs.filter("doc_id is null")))

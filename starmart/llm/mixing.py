@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import WORD, cut
+from starmart.llm.common import WORD, apart, cut
 
 #: Weights of the sources in order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -193,6 +193,7 @@ def filter_documents(docs: DataFrame, **shape) -> DataFrame:
     joined by blanks, and ``n_chars`` (if there is one) counts them.  Rows that
     repeat an id and a size share the words taken of them evenly.
     """
+    docs, back = apart(docs, ("doc_id", "text", "source", "n_chars"))
     rows, draws = mix_documents(docs, **shape)
     per_row = draws.groupBy("_row").agg(F.sum("words").alias("_words"))
     wanted = (rows.join(per_row, "_row", "left").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
@@ -207,4 +208,4 @@ def filter_documents(docs: DataFrame, **shape) -> DataFrame:
     out = out.withColumn("text", F.when(whole, F.col("text")).otherwise(begun))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return back(out)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import LOWER, by_bytes, cut, mix, span_hashes, words
+from starmart.llm.common import LOWER, apart, by_bytes, cut, mix, span_hashes, words
 
 WORD_BINS = 1 << 14
 COMMON = 64
@@ -276,4 +276,5 @@ def quality_rules(docs: DataFrame, **limits) -> DataFrame:
 
 def filter_documents(docs: DataFrame, **limits) -> DataFrame:
     """The documents that are kept, with all their columns."""
-    return judge(docs, keep=docs.columns, **limits).filter("_q_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain, back = apart(docs, ("text", "lang"))
+    return back(judge(plain, keep=plain.columns, **limits).filter("_q_kept"))

@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import by_bytes, cut
+from starmart.llm.common import apart, by_bytes, cut
 
 #: Bound on the labelled rows that patterns and model are fitted to.
 MAX_LABELLED = 12_000
@@ -315,4 +315,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 def filter_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below the threshold, with all their columns."""
-    return judge(docs, model, docs.columns).filter(F.col("_score") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain, back = apart(docs, ("text",))
+    return back(judge(plain, model, plain.columns).filter(F.col("_score") < threshold))
