@@ -21,8 +21,9 @@ from starmart.operators.staging import stage_orders
 from starmart.functions.dates import DEFAULT_TS_FORMAT
 from starmart.session import scratch_path, written
 from starmart.streaming import cdc
-from starmart.schemas import CATEGORICAL_FEATURES, CUSTOMER_COLUMNS, FEATURE_COLUMNS, PRODUCT_COLUMNS
-from starmart.sources.files import lookup_keys, read_run, tpch_registry, write_table
+from starmart.plans import pipeline
+from starmart.schemas import CATEGORICAL_FEATURES, CUSTOMER_COLUMNS, FEATURE_COLUMNS, PRODUCT_COLUMNS, conform, serving_schema
+from starmart.sources.files import lookup_keys, read_feed_csv, read_run, read_table, register_view, tpch_registry, write_table
 from starmart.sources.fixtures import orders_feed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -512,6 +513,80 @@ def stg_orders_text(spark, sf_dir):
     return stage_orders(feed.select(*[c.alias(f.name) for c, f in zip(text, feed.schema.fields)]))
 
 
+@query("csv_feed")
+def csv_feed(spark, sf_dir):
+    """The feed written as Latin-1 CSV with padded column names, read back as text and staged."""
+    feed = orders_feed(spark, sf_dir)
+    text = [F.date_format(F.col(f"`{f.name}`"), DEFAULT_TS_FORMAT) if f.dataType.typeName().startswith("timestamp") else F.col(f"`{f.name}`").cast("string")
+            for f in feed.schema.fields]
+    path = scratch_path(spark, "csv")
+    feed.select(*text).toDF(*[f" {c} " for c in feed.columns]).write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return stage_orders(read_feed_csv(spark, path))
+
+
+@query("prepared_features")
+def prepared_features(spark, sf_dir):
+    """The written feature table scanned and prepared for training: status and audit columns dropped."""
+    path = write_table(feature_table(spark, sf_dir, audit=True), scratch_path(spark, "features"))
+    return features.prepare_features(read_table(spark, path))
+
+
+@query("view_scan")
+def view_scan(spark, sf_dir):
+    """Events by type from a registered view."""
+    register_view(_events(spark, sf_dir), "sm_events")
+    return spark.sql("SELECT event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users FROM sm_events GROUP BY event_type")
+
+
+@query("land_stamped")
+def land_stamped(spark, sf_dir):
+    """A batch with its run id and ingest time."""
+    return landing.stamp(event_batch(spark, sf_dir), 9, F.lit(FIXED_TS).cast("timestamp_ntz")).select("event_id", "ts", "value", "etl_run_id", "ingested_at")
+
+
+@query("serving_products")
+def serving_products(spark, sf_dir):
+    """Products in the types that their serving table declares."""
+    return conform(Star(spark, sf_dir).dim_products, serving_schema("dim_products"))
+
+
+def _reports(spark, sf_dir) -> pipeline.Warehouse:
+    wh = pipeline.Warehouse(scratch_path(spark, "reports"))
+    pipeline.write_reports(spark, wh, scored_lines(spark, sf_dir), "v9")
+    return wh
+
+
+@query("report_sweep_csv")
+def report_sweep_csv(spark, sf_dir):
+    """The threshold sweep as the CSV report holds it."""
+    like = evaluation.threshold_sweep(scored_lines(spark, sf_dir)).schema
+    return spark.read.schema(like).option("header", True).csv(_reports(spark, sf_dir).path("reports/threshold_sweep"))
+
+
+@query("report_metrics_json")
+def report_metrics_json(spark, sf_dir):
+    """Counts at the default threshold as the JSON report holds them."""
+    text = spark.read.text(_reports(spark, sf_dir).path("reports/metrics"))
+    counts = F.from_json("value", "model_version string, at_threshold_0_5 struct<tn: bigint, fp: bigint, fn: bigint, tp: bigint>")
+    return text.select(counts.alias("m")).select("m.model_version", "m.at_threshold_0_5.*")
+
+
+@query("score_new_orders")
+def score_new_orders(spark, sf_dir):
+    """The scoring job: a saved bundle is loaded, orders without a prediction are scored and added to a store that has the earlier ones."""
+    wh = pipeline.Warehouse(scratch_path(spark, "scoring"))
+    feats = written(rare_label_features(spark, sf_dir))
+    feats.write.parquet(wh.path("warehouse/fraud_features"))
+    mapping = modeling.fit_ordinal_encoder(feats, CATEGORICAL_FEATURES)
+    enc = modeling.apply_ordinal_encoder(feats, mapping, CATEGORICAL_FEATURES)
+    model = modeling.train_forest(enc, MODEL_FEATURES, params=modeling.ForestParams(num_trees=10, max_depth=6))
+    modeling.save_bundle(modeling.Bundle(model, mapping, MODEL_FEATURES, CATEGORICAL_FEATURES, 0.3, "v3"), wh.path("ml/bundle"))
+    sync.VersionedTable(wh.path("warehouse/predictions")).write(stored_predictions(spark, sf_dir))
+    state = pipeline.predict_new(spark, wh)
+    p = F.col("fraud_probability")
+    return state.select("prediction_id", "order_id", "threshold_used", "model_version", ((p >= 0) & (p <= 1) & (F.col("predicted_label") == ((p >= 0.3) & (F.col("model_version") == "v3")))).alias("sound"))
+
+
 @query("run_scan")
 def run_scan(spark, sf_dir):
     """One landing run read back from a table partitioned by run: other runs' files aren't opened."""

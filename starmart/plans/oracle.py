@@ -1120,3 +1120,41 @@ def _():
     return with_star(MONTHS + """
 SELECT m.month_key, count(*) AS n_lines, CAST(sum(CAST(m.sales AS DECIMAL(38, 4))) AS DOUBLE) AS sum_sales
 FROM months m JOIN dim_date d ON d.date_key = m.date_key WHERE d.year = 1996 AND d.month <= 3 AND d.is_weekend GROUP BY m.month_key""")
+
+
+ORACLE["csv_feed"] = ORACLE["stg_orders"]
+ORACLE["report_sweep_csv"] = ORACLE["threshold_sweep"]
+
+
+@oracle("prepared_features")
+def _():
+    return with_features("SELECT * EXCLUDE (order_status) FROM features")
+
+
+@oracle("view_scan")
+def _():
+    return "SELECT event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users FROM events GROUP BY event_type"
+
+
+@oracle("land_stamped")
+def _():
+    return "WITH " + EVENT_BATCH + "\nSELECT event_id, ts, value, CAST(9 AS BIGINT) AS etl_run_id, TIMESTAMP '2024-01-01' AS ingested_at FROM batch"
+
+
+@oracle("serving_products")
+def _():
+    return with_star("SELECT * REPLACE (CAST(product_status AS VARCHAR) AS product_status) FROM dim_products")
+
+
+@oracle("report_metrics_json")
+def _():
+    return "SELECT 'v9' AS model_version, * FROM (" + ORACLE["confusion_matrix"] + ")"
+
+
+@oracle("score_new_orders")
+def _():
+    return with_features(STORED + """
+SELECT prediction_id, order_id, threshold_used, model_version, true AS sound FROM existing
+UNION ALL
+SELECT CAST((SELECT coalesce(max(prediction_id), 0) FROM existing) + row_number() OVER (ORDER BY order_id) AS BIGINT), order_id, CAST(0.3 AS DOUBLE), 'v3', true
+FROM (SELECT DISTINCT order_id FROM features) f WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.order_id = f.order_id)""")

@@ -93,6 +93,27 @@ def check_models(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return spark.read.parquet(wh.path("reports/model_tests"))
 
 
+def write_reports(spark: SparkSession, wh: Warehouse, scored: DataFrame, model_version: str) -> dict:
+    """Sweep as CSV, metrics as JSON, class report and ROC curve as tables, of (label, score) rows.
+
+    The threshold is the arg-max of the unrounded F1, 0.5 kept when no F1 > 0.
+    """
+    evaluation.threshold_sweep(scored).coalesce(1).write.mode("overwrite").option("header", True).csv(wh.path("reports/threshold_sweep"))
+    best = evaluation.best_threshold(evaluation.threshold_sweep(scored, places=None), variant="train").first()
+    threshold = float(best["threshold"])
+    # metrics at the default 0.5, then at the deployed threshold (saved artefacts use the latter)
+    at_default = evaluation.with_metrics(evaluation.confusion_matrix(scored, 0.5)).first().asDict()
+    cm = evaluation.with_metrics(evaluation.confusion_matrix(scored, threshold)).first().asDict()
+    auc = evaluation.roc_auc(scored).first()["roc_auc"]
+    metrics = {**cm, "roc_auc": auc, "threshold": threshold, "model_version": model_version,
+               "at_threshold_0_5": at_default}
+    spark.createDataFrame([(json.dumps(metrics),)], "metrics string").coalesce(1) \
+        .write.mode("overwrite").text(wh.path("reports/metrics"))
+    evaluation.class_report(scored, threshold).write.mode("overwrite").parquet(wh.path("reports/class_report"))
+    evaluation.roc_curve(scored).write.mode("overwrite").parquet(wh.path("reports/roc_curve"))
+    return metrics
+
+
 def train(spark: SparkSession, wh: Warehouse, model_version: str = "1.0",
           forest: modeling.ForestParams | None = None) -> dict:
     """Split, encode, oversample, fit, evaluate, tune the threshold and save the bundle."""
@@ -115,21 +136,8 @@ def train(spark: SparkSession, wh: Warehouse, model_version: str = "1.0",
     scored = spark.read.parquet(wh.path("ml/test_scores")).select("order_item_id", "order_id",
                                                                   F.col("target").alias("label"),
                                                                   F.col("p").alias("score"))
-    sweep = evaluation.threshold_sweep(scored)
-    sweep.coalesce(1).write.mode("overwrite").option("header", True).csv(wh.path("reports/threshold_sweep"))
-    # train variant: arg-max of the unrounded F1, 0.5 kept when no F1 > 0
-    best = evaluation.best_threshold(evaluation.threshold_sweep(scored, places=None), variant="train").first()
-    threshold = float(best["threshold"])
-    # M9: metrics at the default 0.5, then at the deployed threshold (saved artefacts use the latter)
-    at_default = evaluation.with_metrics(evaluation.confusion_matrix(scored, 0.5)).first().asDict()
-    cm = evaluation.with_metrics(evaluation.confusion_matrix(scored, threshold)).first().asDict()
-    auc = evaluation.roc_auc(scored).first()["roc_auc"]
-    metrics = {**cm, "roc_auc": auc, "threshold": threshold, "model_version": model_version,
-               "at_threshold_0_5": at_default}
-    spark.createDataFrame([(json.dumps(metrics),)], "metrics string").coalesce(1) \
-        .write.mode("overwrite").text(wh.path("reports/metrics"))
-    evaluation.class_report(scored, threshold).write.mode("overwrite").parquet(wh.path("reports/class_report"))
-    evaluation.roc_curve(scored).write.mode("overwrite").parquet(wh.path("reports/roc_curve"))
+    metrics = write_reports(spark, wh, scored, model_version)
+    threshold = metrics["threshold"]
     (modeling.to_predictions(spark.read.parquet(wh.path("ml/test_scores")), threshold)
      .write.mode("overwrite").option("header", True).csv(wh.path("reports/test_predictions")))
     modeling.save_bundle(modeling.Bundle(model, mapping, FEATURE_COLUMNS, CATEGORICAL_FEATURES, threshold,
