@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators import evaluation, features, landing, marts, measures, modeling, quality, runs, sync
+from starmart.operators import evaluation, extra_trees, features, landing, marts, measures, modeling, quality, runs, sync
 from starmart.operators.history import History
 from starmart.operators.key_index import KeyIndex
 from starmart.operators.neighbours import nearest
@@ -497,6 +497,23 @@ def forest_checks(spark, sf_dir):
     return counts.select("*", n_orders.alias("n_orders"))
 
 
+@query("model_auc")
+def model_auc(spark, sf_dir):
+    """Both kinds of trees fitted to the oversampled split and scored on its test rows: rows scored, scores out of range, and whether the AUC beats chance."""
+    enc, _ = encoded_split(spark, sf_dir)
+    train, test = written(modeling.smote(enc.where(~F.col("is_test")).drop("is_test"), MODEL_FEATURES)), written(enc.where("is_test"))
+    keep = ["order_item_id", "target"]
+    forest = modeling.train_forest(train, MODEL_FEATURES, params=modeling.ForestParams(num_trees=10, max_depth=6))
+    extra = extra_trees.fit(train, MODEL_FEATURES, num_trees=10, max_depth=6)
+    rows = []
+    for name, scores in (("random forest", modeling.predict_proba(forest, test, MODEL_FEATURES, keep)), ("extra trees", extra.predict(test, keep))):
+        scores = written(scores.select(F.col("target").alias("label"), F.col("p").alias("score")))
+        bad = F.count_if((F.col("score") < 0) | (F.col("score") > 1) | F.isnan("score"))
+        rows.append(scores.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"), bad.alias("n_out_of_range"))
+                    .select("*", (evaluation.roc_auc(scores).select("roc_auc").scalar() > 0.5).alias("beats_chance")))
+    return rows[0].unionByName(rows[1])
+
+
 @query("feature_checks")
 def feature_checks(spark, sf_dir):
     feats = feature_table(spark, sf_dir).drop("latitude")

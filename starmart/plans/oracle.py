@@ -1158,3 +1158,10 @@ SELECT prediction_id, order_id, threshold_used, model_version, true AS sound FRO
 UNION ALL
 SELECT CAST((SELECT coalesce(max(prediction_id), 0) FROM existing) + row_number() OVER (ORDER BY order_id) AS BIGINT), order_id, CAST(0.3 AS DOUBLE), 'v3', true
 FROM (SELECT DISTINCT order_id FROM features) f WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.order_id = f.order_id)""")
+
+
+@oracle("model_auc")
+def _():
+    return "WITH " + STG + DIMS + RARE_FEATURES + SPLIT + """
+SELECT model, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range, true AS beats_chance
+FROM split, (VALUES ('random forest'), ('extra trees')) AS m(model) WHERE is_test GROUP BY model"""
