@@ -3,10 +3,12 @@
 The insult transducer is a weighted automaton of word beginnings and whole
 words learned from labelled documents; fixed transducers read threats,
 targets (second person), negations and reported speech.  They are composed
-clause by clause: a clause counts only where an insult or threat is accepted,
-a target anywhere in the clause raises its weight, a negation among the three
-words before the match and a report verb anywhere in the clause lower it.  A logistic model over the clause scores of a document gives
-its score.
+clause by clause: a clause counts only where an insult or threat is accepted.
+A target anywhere in the sentence raises its weight, a negation among the three
+words before the match in its clause lowers it, and so does a report verb: one in
+the clause, one in the clause before that ends in a comma or colon, and for what stands
+in quotation marks one in the sentence up to them or in the clause after them.  A
+logistic model over the clause scores of a document gives its score.
 
 Texts are read as they are learned from: lower-cased by Unicode, words are
 runs of letters (``\\p{L}``), and every other code point is a blank.
@@ -58,6 +60,11 @@ _threats, _targets, _negations, _reports = (set(s.split()) for s in (THREATS, TA
 NEGATION_WORDS = 3
 
 _STOPS = np.array([ord(c) for c in ".,;:!?\n"], dtype=np.uint32)
+_SENTENCE = np.array([ord(c) for c in ".!?\n"], dtype=np.uint32)
+_LEADS = np.array([ord(c) for c in ",:"], dtype=np.uint32)
+#: Quotation marks: those that only open, those that only close (the others do either).
+_OPEN, _CLOSE, _EITHER = "«„", "»”", "\"“"
+_QUOTES = np.array([ord(c) for c in _OPEN + _CLOSE + _EITHER], dtype=np.uint32)
 
 
 @cache
@@ -98,6 +105,23 @@ def _contractions(points: np.ndarray, low: np.ndarray) -> np.ndarray:
     return t[(low[t + 1] == 32) & np.isin(points[t - 1], [0x27, 0x2019]) & (low[t - 2] == ord("n"))]
 
 
+def _quoted(points: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the marks around every quotation; a quotation ends within its text."""
+    at = np.flatnonzero(np.isin(points, _QUOTES))
+    spans, opened = [], None
+    for p, doc, mark in zip(at.tolist(), (np.searchsorted(begin, at, side="right")).tolist(), map(chr, points[at].tolist())):
+        if opened is not None and opened[1] != doc:
+            opened = None
+        if opened is None:
+            if mark not in _CLOSE:
+                opened = (p, doc)
+        elif mark not in _OPEN:
+            spans.append((opened[0], p))
+            opened = None
+    both = np.array(spans, dtype=np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
 class Grammar:
     """The composed transducers for one set of weighted patterns (``"abc"``: beginning, ``"abc "``: whole word)."""
 
@@ -121,7 +145,9 @@ class Grammar:
             return out
         points, begin = lowered(raw, offs)
         low = np.where(_letters()[points], points, np.uint32(32))
-        stops = np.union1d(np.flatnonzero(np.isin(points, _STOPS)), np.concatenate((begin, [len(low) - 1])))
+        ends = np.concatenate((begin, [len(low) - 1]))
+        stops = np.union1d(np.flatnonzero(np.isin(points, _STOPS)), ends)
+        sentences = np.union1d(np.flatnonzero(np.isin(points, _SENTENCE)), ends)
         text = low.tobytes().decode("utf-32-le")
         best: dict[int, float] = {}                            # word start -> weight
         for end, (size, w) in self.machine.iter(text):
@@ -133,7 +159,7 @@ class Grammar:
             at = np.fromiter(sorted(best), np.int64, len(best))
             clause = np.searchsorted(stops, at, side="right") - 1
             score: dict[int, float] = {}
-            for c, w in zip(clause.tolist(), self._composed(text, points, low, starts, stops, at, clause, np.array([best[a] for a in at.tolist()])).tolist()):
+            for c, w in zip(clause.tolist(), self._composed(text, points, low, starts, stops, sentences, begin, at, clause, np.array([best[a] for a in at.tolist()])).tolist()):
                 score[c] = score.get(c, 0.0) + w
             for c, s in score.items():
                 if s > 0:
@@ -146,16 +172,32 @@ class Grammar:
         return out
 
     @staticmethod
-    def _composed(text: str, points: np.ndarray, low: np.ndarray, starts: np.ndarray, stops: np.ndarray,
-                  at: np.ndarray, clause: np.ndarray, w: np.ndarray) -> np.ndarray:
+    def _composed(text: str, points: np.ndarray, low: np.ndarray, starts: np.ndarray, stops: np.ndarray, sentences: np.ndarray,
+                  begin: np.ndarray, at: np.ndarray, clause: np.ndarray, w: np.ndarray) -> np.ndarray:
         """The weights of the accepted words in their clauses, after the other transducers."""
         found: tuple = ([], [], [])
         for end, (size, kind) in _marks().iter(text):
             found[kind].append(end - size)
         targets, negations, reports = (np.array(x, dtype=np.int64) for x in found)
         negations = np.union1d(negations, _contractions(points, low))
-        target = np.isin(clause, np.searchsorted(stops, targets, side="right") - 1)
-        reported = np.isin(clause, np.searchsorted(stops, reports, side="right") - 1)
+        target = np.isin(np.searchsorted(sentences, at, side="right"), np.searchsorted(sentences, targets, side="right"))
+        # the clause of a report verb, and the one after its comma or colon
+        told = np.unique(np.searchsorted(stops, reports, side="right") - 1)
+        led = told[np.isin(points[stops[np.minimum(told + 1, len(stops) - 1)]], _LEADS)] + 1
+        reported = np.isin(clause, np.union1d(told, led))
+        if len(reports):
+            first, last = _quoted(points, begin)
+            # report verbs in the sentence up to a quotation, or in the clause after it
+            line = sentences[np.searchsorted(sentences, first, side="right") - 1]
+            after = np.searchsorted(stops, last, side="right")
+            comma = (stops[np.minimum(after, len(stops) - 1)] == last + 1) & (points[np.minimum(last + 1, len(points) - 1)] == ord(","))
+            until = stops[np.minimum(after + comma, len(stops) - 1)]
+            count = lambda a, b: np.searchsorted(reports, b) - np.searchsorted(reports, a)
+            cited = (count(line, first) > 0) | (count(last, until) > 0)
+            first, last = first[cited], last[cited]
+            if len(first):
+                span = np.searchsorted(first, at) - 1
+                reported |= (span >= 0) & (at < last[np.maximum(span, 0)])
         # the last negation before the word, if it is near and in the same clause
         before = np.searchsorted(negations, at) - 1
         last = negations[np.maximum(before, 0)] if len(negations) else np.zeros(len(at), np.int64)

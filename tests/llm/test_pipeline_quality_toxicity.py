@@ -166,6 +166,75 @@ def test_a_clause_is_read_whole():
     assert score("he isn t an idiot") == score("not one of the idiot") == score("he isn't. an idiot") == 4.0
 
 
+def plain_score(text, weights):
+    """Total clause score of a text, word by word."""
+    import regex
+
+    low = text.lower()
+    found = [(m.start(), m.end(), m.group()) for m in regex.finditer(r"\p{L}+", low)]
+    clause = lambda i: sum(c in ".,;:!?\n" for c in low[:i + 1])
+    sentence = lambda i: sum(c in ".!?\n" for c in low[:i + 1])
+    spans, opened = [], None
+    for i, c in enumerate(low):
+        if c in "«„»”\"“":
+            if opened is None:
+                opened = i if c not in "»”" else None
+            elif c not in "«„":
+                spans.append((opened, i))
+                opened = None
+    verbs = [a for a, _, w in found if w in toxicity._reports]
+    cited = []
+    for a, b in spans:
+        begin = max([low.rfind(c, 0, a) for c in ".!?\n"])
+        rest = b + 2 if low[b + 1:b + 2] == "," else b + 1
+        end = min([i for i in range(rest, len(low)) if low[i] in ".,;:!?\n"], default=len(low))
+        if any(begin < v < a or b < v < end for v in verbs):
+            cited.append((a, b))
+    ends = {clause(i): low[i] for i in range(len(low)) if low[i] in ".,;:!?\n"}             # clause number after a stop -> the stop
+    told = {clause(v) for v in verbs}
+    told |= {c + 1 for c in told if ends.get(c + 1) in (",", ":")}
+    total = {}
+    for k, (a, b, word) in enumerate(found):
+        fits = [w for p, w in weights.items() if (word == p[:-1] if p.endswith(" ") else word.startswith(p))]
+        w = max(fits, default=0.0)
+        threat = not w and word in toxicity._threats
+        if not w and not threat:
+            continue
+        target = any(x in toxicity._targets and sentence(i) == sentence(a) for i, _, x in found)
+        if threat and not target:
+            continue
+        w = w or toxicity.THREAT_WEIGHT
+        negated = any(clause(i) == clause(a) and (x in toxicity._negations or x == "t" and low[i - 1:i] in ("'", "’") and low[i - 2:i - 1] == "n") for i, _, x in found[max(0, k - 3):k])
+        reported = clause(a) in told or any(x < a < y for x, y in cited)
+        total[clause(a)] = total.get(clause(a), 0.0) + w * (1.5 if target else 1) * (0.5 if negated else 1) * (0.6 if reported else 1)
+    return sum(total.values())
+
+
+def test_clause_scores_equal_plain_ones():
+    import random
+
+    r = random.Random(8)
+    weights = {"idiot": 4.0, "fool ": 3.0, "vequ": 2.0, "idiots ": 5.0}
+    g = toxicity.Grammar(weights)
+    bits = ["idiot", "idiots", "fool", "foolish", "vequa", "kill", "hurt", "you", "du", "not", "isn't", "don’t", "said", "wrote", "he", "word", "x", "Ünder", "İ",
+            ",", ".", ":", ";", "!", "?", "\n", '"', "“", "”", "«", "»", "„", " ", " ", " ", " ", " "]
+    texts = ["".join(r.choice(bits) + r.choice(["", " ", " "]) for _ in range(r.randint(0, 40))) for _ in range(3000)]
+    raw = [t.encode() for t in texts]
+    got = g.features(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))))[:, 0]
+    for t, x in zip(texts, got.tolist()):
+        assert x == pytest.approx(plain_score(t, weights)), repr(t)
+
+
+def test_report_verbs_cover_what_is_said():
+    g = toxicity.Grammar({"idiot": 3.0})
+    score = lambda text: pytest.approx(g.features(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))[0, 0])
+    assert score("you idiot") == 4.5
+    for text in ("he said you idiot", "he said, you idiot", 'he said: "you idiot"', "she wrote: you are an idiot", '"You idiot," he said.', "«you, you idiot. Really», she wrote", "he said, on Monday, “you idiot”"):
+        assert score(text) == 2.7, text
+    assert score("He said so. You idiot") == 4.5 and score('"Hello", he said. You idiot') == 4.5 and score('he "said", well, you idiot') == 4.5
+    assert score("I will kill, you know, you") == 4.5
+
+
 def test_toxicity_without_labels_and_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "a"), (1, "", "b"), (2, "x " * 50000, "c"), (None, "you idiot", "d")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(1, None), (None, 1), (2, 0)], "doc_id long, toxic int")
