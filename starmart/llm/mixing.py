@@ -9,7 +9,7 @@ that many times and the one at the end in part.  Passes are cut into blocks of
 halves of the output shards are drawn from the multivariate hypergeometric
 distribution, then those of their halves, and so on (``block_quotas``); every
 shard gets disjoint blocks of a source, picked in a permuted order, and holds
-its draws in a shuffled order.
+its draws in a shuffled order; ``filter_documents`` gives the mix in that order.
 
 Order is decided by MD5 of seed and id, so reruns and other engines agree.  A
 source of any size is summed by hash range first and ordered within ranges.
@@ -162,7 +162,10 @@ def mix_documents(docs: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS, w
     width = F.greatest(F.lit(1), F.ceil(F.sum("target").over(Window.partitionBy()) / blocks)).cast("long")
     # the blocks of each pass are numbered on from those of the passes before
     shape = per_source.withColumn("width", width).withColumn("a_pass", F.ceil(F.col("source_size") / F.col("width")).cast("long"))
-    shape = shape.withColumn("blocks", F.ceil(F.floor("target") / F.greatest(F.col("source_size"), F.lit(1))).cast("long") * F.col("a_pass"))
+    # a block in which no draw begins is none: the last pass ends with the target
+    full = F.expr("cast(floor(target) as long) div greatest(source_size, 1)")
+    more = F.floor("target").cast("long") - full * F.col("source_size")
+    shape = shape.withColumn("blocks", full * F.col("a_pass") + F.ceil(more / F.col("width")).cast("long"))
     shape = cut(shape.filter("source_size > 0 and target >= 1").select("source", "width", "a_pass", "blocks"), "shape")
     quotas = block_quotas(shape.select("source", "blocks"), shards)
     numbers = shape.select("source", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
@@ -186,23 +189,31 @@ def mixed_sizes(docs: DataFrame, **shape) -> DataFrame:
     return rows.join(taken, "_row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def filter_documents(docs: DataFrame, **shape) -> DataFrame:
-    """The mix as documents: a row for each draw, with the document's columns.
+def filter_documents(docs: DataFrame, shards: int = SHARDS, repeats: int = MAX_REPEATS, **shape) -> DataFrame:
+    """The mix as documents, shard after shard in the order of each: a row for each draw, with the document's columns.
 
     Where a draw doesn't take the whole document, its text is the words taken,
     joined by blanks, and ``n_chars`` (if there is one) counts them.  Rows that
-    repeat an id and a size share the words taken of them evenly.
+    repeat an id and a size share the words taken of them evenly, and go where
+    the first of their draws goes.
     """
+    spark = docs.sparkSession
     docs, back = apart(docs, ("doc_id", "text", "source", "n_chars"))
-    rows, draws = mix_documents(docs, **shape)
-    per_row = draws.groupBy("_row").agg(F.sum("words").alias("_words"))
+    rows, draws = mix_documents(docs, shards=shards, repeats=repeats, **shape)
+    place = [F.min(F.when(F.col("pass") == p, F.struct("shard", "position"))).alias(f"_at{p}") for p in range(repeats + 1)]
+    per_row = draws.groupBy("_row").agg(F.sum("words").alias("_words"), *place)
     wanted = (rows.join(per_row, "_row", "left").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
-              .agg(F.coalesce(F.sum("_words"), F.lit(0)).alias("_all"), F.count("*").alias("_copies"))
+              .agg(F.coalesce(F.sum("_words"), F.lit(0)).alias("_all"), F.count("*").alias("_copies"),
+                   F.array(*[F.min(f"_at{p}") for p in range(repeats + 1)]).alias("_places"))
               .withColumn("_each", F.expr("_all div _copies")).filter("_each > 0"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     out = (docs.withColumn("_own", size).join(wanted, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_size")))
            .withColumn("_pass", F.explode(F.expr("sequence(0L, (_each - 1) div _size)")))
-           .withColumn("_words", F.least(F.col("_size"), F.col("_each") - F.col("_pass") * F.col("_size"))))
+           .withColumn("_words", F.least(F.col("_size"), F.col("_each") - F.col("_pass") * F.col("_size")))
+           .withColumn("_place", F.coalesce(F.get("_places", F.col("_pass").cast("int")), F.get("_places", F.lit(0)))))
+    # a shard is a run of files, its draws in the shuffled order of the tree's blocks
+    n = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    out = out.repartitionByRange(n, "_place.shard", "_place.position").sortWithinPartitions("_place.shard", "_place.position")
     whole = F.col("_words") == F.col("_size")
     begun = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_words").cast("int")), " ")
     out = out.withColumn("text", F.when(whole, F.col("text")).otherwise(begun))

@@ -144,3 +144,22 @@ def test_mixed_documents_hold_the_words_taken(spark):
         got[r.doc_id] += len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
     assert got == Counter({k: v for k, v in rows.items() if v})
     assert mixing.filter_documents(df.filter("false")).count() == 0
+
+
+def test_shards_hold_their_quotas_and_the_mix_comes_in_their_order(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    rows, draws = mixing.mix_documents(df, shards=4, blocks=64)
+    draws = draws.collect()
+    per = Counter()
+    for d in draws:
+        per[d.shard] += d.words
+    total = sum(per.values())
+    # blocks of equal words: no shard is left with empty blocks of a source's last pass
+    assert set(per) == set(range(4)) and all(0.7 * total / 4 < n < 1.3 * total / 4 for n in per.values())
+    place = {(d.doc_id, d["pass"]): (d.shard, d.position) for d in draws}
+    order = [r.doc_id for r in mixing.filter_documents(df, shards=4, blocks=64).select("doc_id").collect()]
+    assert Counter(order) == Counter(d for d, _ in place)
+    want = [d for d, _ in sorted(place, key=lambda k: (*place[k], k))]
+    assert order == want
+    # neighbours in the mix aren't neighbours in the table
+    assert sum(abs(a - b) == 1 for a, b in zip(order, order[1:])) < 0.1 * len(order)
