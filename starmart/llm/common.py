@@ -7,6 +7,7 @@ from one cumulative sum over the batch, so no Python loop runs per word.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -20,7 +21,7 @@ from starmart.session import checkpoint_dir
 #: Regular expression of a word, for SQL functions.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled by one round of array operations in a task.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -93,6 +94,17 @@ def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0]:offs[-1]], offs - offs[0]
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function of a task's batches, after which the worker gives memory back: it is kept for later tasks, beside the executor's heap."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)          # glibc only
+        if trim:
+            trim(0)
+    return wrapped
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with about ``CHUNK_BYTES`` of text (one row at least), with their bytes."""
     for batch in batches:

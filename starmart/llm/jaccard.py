@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import LOWER, apart, by_bytes, cut, mix, span_hashes, words
+from starmart.llm.common import LOWER, apart, by_bytes, cut, lean, mix, span_hashes, words
 
 SHINGLE = 5
 #: The threshold as a fraction: intersection / union >= OVER / UNDER.
@@ -202,8 +202,8 @@ def _gather_counts(least: int):
 def frequent_shingles(docs: DataFrame, size: int = SHINGLE, least: int = FREQUENT, most: int = MAX_FREQUENT) -> np.ndarray:
     """Sorted buckets of the shingles of at least ``least`` documents, the ``most`` most frequent ones if there are more."""
     parts = _parts(docs)
-    packed = docs.select("text").mapInArrow(_count(size, parts), "part int, single binary, repeated binary, times binary")
-    counts = cut(packed.repartition(parts, "part").mapInArrow(_gather_counts(least), "bucket long, n long"), "frequent")
+    packed = docs.select("text").mapInArrow(lean(_count(size, parts)), "part int, single binary, repeated binary, times binary")
+    counts = cut(packed.repartition(parts, "part").mapInArrow(lean(_gather_counts(least)), "bucket long, n long"), "frequent")
     if counts.count() > most:
         counts = counts.orderBy(F.desc("n"), "bucket").limit(most)
     return np.sort(np.asarray(counts.select("bucket").toArrow().column(0)).astype(np.uint64))
@@ -393,10 +393,10 @@ def _verify(pairs: DataFrame, docs: DataFrame, size: int, name: str) -> DataFram
     ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
     wanted = F.broadcast(ids) if ids.count() <= MAX_IDS else ids      # eight bytes an id
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    sets = cut(texts.mapInArrow(_sets(size), "doc_id long, hashes binary"), f"{name}-sets")
+    sets = cut(texts.mapInArrow(lean(_sets(size)), "doc_id long, hashes binary"), f"{name}-sets")
     both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y"))
-    return cut(both.mapInArrow(_exact, "a long, b long").distinct(), f"{name}-links")
+    return cut(both.mapInArrow(lean(_exact), "a long, b long").distinct(), f"{name}-links")
 
 
 def _fold(bits: list[bytes], size: int) -> np.ndarray:
@@ -490,7 +490,7 @@ def _tiles(large: DataFrame, comp: DataFrame, own: DataFrame, depth: int) -> Dat
     columns = ["side", "doc", "n", "comp", "bits"]
     tiled = left.select(family, tile, *columns).union(right.select(family, tile, *columns))
     return (tiled.repartition(_parts(large), "family").sortWithinPartitions("family", "tile", "side").select("tile", *columns)
-            .mapInArrow(_run_tiles(depth), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
+            .mapInArrow(lean(_run_tiles(depth)), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
 
 
 # --- components -------------------------------------------------------------
@@ -528,7 +528,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame,
     """
     spark, parts = docs.sparkSession, _parts(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = cut(texts.mapInArrow(_describe(size), "doc_id long, n long, digest binary, bits binary"), "sets")
+    sets = cut(texts.mapInArrow(lean(_describe(size)), "doc_id long, n long, digest binary, bits binary"), "sets")
     known = sets.filter("doc_id is not null and n > 0")
     equal = known.groupBy("n", "digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     copied = cut(equal.filter("copies > 1").drop("copies"), "copied")
@@ -539,9 +539,9 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame,
     bridges = every.withColumnRenamed("rep", "b").join(classes, "doc_id").select(F.col("rep").alias("a"), "b").filter("a != b").distinct()
 
     frequent = spark.sparkContext.broadcast(frequent_shingles(texts, size, FREQUENT, MAX_FREQUENT))       # MAX_FREQUENT numbers at most
-    posted = cut(texts.mapInArrow(_post(size, parts, frequent), POSTED), "posted")
-    met = posted.filter("part >= 0").repartition(parts, "part").mapInArrow(_meet, "token long, a long, b long")
-    found = cut(met.union(posted.filter("part < 0").mapInArrow(_unpack, "token long, a long, b long")), "found")
+    posted = cut(texts.mapInArrow(lean(_post(size, parts, frequent)), POSTED), "posted")
+    met = posted.filter("part >= 0").repartition(parts, "part").mapInArrow(lean(_meet), "token long, a long, b long")
+    found = cut(met.union(posted.filter("part < 0").mapInArrow(lean(_unpack), "token long, a long, b long")), "found")
 
     rep = lambda x: classes.select(F.col("doc_id").alias(x), F.col("rep").alias(f"rep_{x}"))
     pairs = (found.filter("token is null").select("a", "b").distinct().join(rep("a"), "a").join(rep("b"), "b")
@@ -550,7 +550,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame,
     own = known.select("doc_id", "n", "bits").distinct()
     side = lambda x: own.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
     near = (pairs.join(side("a"), "a").join(side("b"), "b").filter(f"least(n_a, n_b) * {UNDER} >= {OVER} * greatest(n_a, n_b)")
-            .select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_by_bitmap, "a long, b long, differ long"))
+            .select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(lean(_by_bitmap), "a long, b long, differ long"))
     near = cut(near.groupBy("a", "b").agg(F.min("differ").alias("differ")), "near")
 
     # each document with the nearest one before it, then what still lies between components

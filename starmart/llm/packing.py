@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm import tokens
-from starmart.llm.common import by_bytes, cut
+from starmart.llm.common import by_bytes, cut, lean
 
 WINDOW = 4096
 #: Ids packed together; bounds a task's memory at any size of its input.
@@ -170,7 +170,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, window: int =
     written once to the shared folder, so ids and pieces belong together.
     """
     rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-               .mapInArrow(_packed(tokenizer or tokens.tokenizer_path(), window, group_tokens), SCHEMA), "packed")
+               .mapInArrow(lean(_packed(tokenizer or tokens.tokenizer_path(), window, group_tokens)), SCHEMA), "packed")
     groups = rows.groupBy("_part", "_group").agg((F.max("_seq") + 1).alias("_n"))
     before = Window.orderBy("_part", "_group").rowsBetween(Window.unboundedPreceding, -1)
     offsets = groups.select("_part", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))

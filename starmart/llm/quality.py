@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import LOWER, apart, by_bytes, cut, mix, span_hashes, words
+from starmart.llm.common import LOWER, apart, by_bytes, cut, lean, mix, span_hashes, words
 
 WORD_BINS = 1 << 14
 COMMON = 64
@@ -174,7 +174,7 @@ def references(docs: DataFrame, max_languages: int = MAX_LANGUAGES, common: int
 
     What reaches the driver is bounded: ``max_languages`` times the classes and common bins.
     """
-    counted = docs.select("lang", "text").mapInArrow(_count, REFERENCE)
+    counted = docs.select("lang", "text").mapInArrow(lean(_count), REFERENCE)
     sums = cut(counted.groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n")), "reference")
     total = Window.partitionBy("lang", "kind")
     ranked = (sums.withColumn("total", F.sum("n").over(total))
@@ -265,7 +265,7 @@ def judge(docs: DataFrame, refs: References | None = None, max_char: float = MAX
             yield pa.record_batch([rows.column(i) for i in range(len(passed))] + [pa.array(base[b].astype(np.int64)) for b in BASE]
                                   + [pa.array(x) for x in (chars, word, failed, ~failed & ~far)],
                                   [*passed, *[f"_q_{c}" for c, _ in COLUMNS]])
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(lean(run), schema)
 
 
 def quality_rules(docs: DataFrame, **limits) -> DataFrame:

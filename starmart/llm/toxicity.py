@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import apart, by_bytes, cut
+from starmart.llm.common import apart, by_bytes, cut, lean
 
 #: Bound on the labelled rows that patterns and model are fitted to.
 MAX_LABELLED = 12_000
@@ -284,7 +284,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         base = (n_toxic + 0.5) / (n_all + 20)
         return Model(Grammar({}), np.array([math.log(base / (1 - base)), 0, 0, 0, 0]))
 
-    counts = sample.mapInArrow(_patterns, "pattern string, toxic int, fold int, n long").groupBy("pattern", "toxic", "fold").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(lean(_patterns), "pattern string, toxic int, fold int, n long").groupBy("pattern", "toxic", "fold").agg(F.sum("n").alias("n"))
     wide = counts.groupBy("pattern").agg(
         *[F.sum(F.when((F.col("toxic") == t) & (F.col("fold") == f), F.col("n")).otherwise(0)).alias(f"n_{t}_{f}") for t in (0, 1) for f in range(FOLDS)])
     t_all, c_all = (sum((F.col(f"n_{t}_{f}") for f in range(FOLDS)), F.lit(0)) for t in (1, 0))
@@ -308,7 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             yield pa.record_batch([some.column(1), *(pa.array(x) for x in out.T)], ["toxic", "a", "b", "c", "d"])
 
     # four numbers for each of the about max_labelled rows
-    table = sample.mapInArrow(read, "toxic int, a double, b double, c double, d double").toArrow()
+    table = sample.mapInArrow(lean(read), "toxic int, a double, b double, c double, d double").toArrow()
     order = np.lexsort([np.asarray(table.column(i)) for i in range(5)])
     y = np.asarray(table.column(0)).astype(float)[order]
     x = _design(np.stack([np.asarray(table.column(i)) for i in range(1, 5)], axis=1)[order])
@@ -345,7 +345,7 @@ def judge(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             yield pa.record_batch([some.column(i) for i in range(len(keep))] + [pa.array(own.scores(raw, offs))], [*keep, "_score"])
 
     read = docs.select(*[F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(keep)], "text")
-    return read.mapInArrow(run, ", ".join([f"`{c}` {fields[c]}" for c in keep] + ["_score double"]))
+    return read.mapInArrow(lean(run), ", ".join([f"`{c}` {fields[c]}" for c in keep] + ["_score double"]))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
