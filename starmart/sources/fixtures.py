@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starmart.operators.marts import sized_dimension
+
 LINE_ORDER_COLUMNS = [
     "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
     "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
@@ -37,18 +39,23 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rd = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     li, o, c, p, s = rd("lineitem"), rd("orders"), rd("customer"), rd("part"), rd("supplier")
 
-    lo = li.join(o, li.l_orderkey == o.o_orderkey, "left")
-    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER_COLUMNS)
+    # Lines cross the network twice, by order and then by part: customers join
+    # the orders, of which there are fewer, suppliers are broadcast within the
+    # bound, and the names of nations and regions come last, so that no shuffle
+    # carries them.  Customers that share a key don't number a line anew.
+    nth = F.row_number().over(Window.partitionBy("c_custkey").orderBy("c_name", "c_nationkey", "c_mktsegment"))
+    cust = c.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").withColumn("c_nth", nth)
+    oc = o.join(cust, o.o_custkey == cust.c_custkey, "left")
+    lo = li.join(oc, li.l_orderkey == oc.o_orderkey, "left")
+    w = Window.partitionBy("l_orderkey", "l_linenumber", "c_nth").orderBy(*LINE_ORDER_COLUMNS)
     lo = lo.withColumn("seq", F.row_number().over(w))
 
-    cn = _nation_region(spark, sf_dir, "cn")
-    sn = _nation_region(spark, sf_dir, "sn")
-    cust = c.join(F.broadcast(cn), c.c_nationkey == cn.cn_nationkey, "left")
-    supp = s.join(F.broadcast(sn), s.s_nationkey == sn.sn_nationkey, "left")
-
-    feed = (lo.join(cust, lo.o_custkey == cust.c_custkey, "left")
-              .join(p, lo.l_partkey == p.p_partkey, "left")
-              .join(supp, lo.l_suppkey == supp.s_suppkey, "left"))
+    supp = sized_dimension(s.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal"), is_table=True)
+    cn, sn = (F.broadcast(_nation_region(spark, sf_dir, x)) for x in ("cn", "sn"))
+    feed = (lo.join(p, lo.l_partkey == p.p_partkey, "left")
+              .join(supp, lo.l_suppkey == supp.s_suppkey, "left")
+              .join(cn, F.col("c_nationkey") == F.col("cn_nationkey"), "left")
+              .join(sn, F.col("s_nationkey") == F.col("sn_nationkey"), "left"))
 
     ship_days = F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date"))
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
