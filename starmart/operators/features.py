@@ -56,29 +56,56 @@ def fraud_features(fact: DataFrame, dim_customers: DataFrame, dim_products: Data
 
 
 def fraud_features_from_silver(stg: DataFrame, dim_customers: DataFrame, dim_products: DataFrame,
-                               label_value: str = LABEL_VALUE, audit: bool = True) -> DataFrame:
+                               label_value: str = LABEL_VALUE, audit: bool = True, own_dims: bool = False) -> DataFrame:
     """M1 from silver: location and date attributes taken from the row itself.
 
     A fact row's location key is non-null exactly when all seven location
     columns are, and then it names the dimension row holding those same
     values — so the location features are the row's own values under that
-    condition.  This removes two of the four dimension joins.
+    condition.  This removes two of the four dimension joins.  ``own_dims``
+    says that the dimensions are those of this silver, written: then only keys
+    with several rows are joined (``versions``), and all others have their
+    row's own attributes, so no shuffle carries the fact where keys are unique.
     """
     from starmart.operators.marts import attach_location_key
 
     f = attach_location_key(stg).alias("f")
+    if own_dims:
+        f, customer = _own_or_versions(f, dim_customers, "customer_id", ["customer_segment"])
+        f, product = _own_or_versions(f, dim_products, "product_card_id", ["product_price", "category_name", "department_name"])
+        return _feature_projection(f, *_own_date_and_location(), label_value=label_value, audit=audit, attrs={**customer, **product})
     c = sized_dimension(dim_customers.select("customer_id", "customer_segment")).alias("c")
     p = sized_dimension(dim_products.select("product_card_id", "product_price", "category_name",
                                             "department_name")).alias("p")
     star = (f.join(c, F.col("f.customer_id") == F.col("c.customer_id"), "left")
              .join(p, F.col("f.product_card_id") == F.col("p.product_card_id"), "left"))
+    return _feature_projection(star, *_own_date_and_location(), label_value=label_value, audit=audit)
+
+
+def _own_date_and_location() -> list:
+    """Weekend, latitude, longitude, region and country from the row's own values."""
     has_loc = F.col("f.shipping_location_id").isNotNull()
     weekend = F.when(F.col("f.date_key").isNotNull(), is_weekend(F.col("f.full_date")))
-    loc = [F.when(has_loc, F.col(f"f.{x}")) for x in ("latitude", "longitude", "order_region", "order_country")]
-    return _feature_projection(star, weekend, *loc, label_value=label_value, audit=audit)
+    return [weekend, *[F.when(has_loc, F.col(f"f.{x}")) for x in ("latitude", "longitude", "order_region", "order_country")]]
+
+
+def _own_or_versions(f: DataFrame, dim: DataFrame, key: str, attrs: list[str]) -> tuple[DataFrame, dict]:
+    """Rows ``f`` fanned out as a left join with their own dimension would, and its attributes.
+
+    A key with one row in the dimension has the row's own values; the rows of
+    the other keys, which are few or none in a clean dimension, are joined.  A
+    null key matches nothing.
+    """
+    dim = dim.select(key, *attrs)
+    several = dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(key)
+    versions = sized_dimension(dim.join(several, key, "left_semi").select(F.col(key).alias(f"_v_{key}"), *[F.col(a).alias(f"_v_{a}") for a in attrs]))
+    own, other = F.col(f"f.{key}"), F.col(f"_v_{key}")
+    star = f.join(versions, own == other, "left")
+    return star, {a: F.when(other.isNotNull(), F.col(f"_v_{a}")).when(own.isNotNull(), F.col(f"f.{a}")) for a in attrs}
 
 
-def _feature_projection(star, weekend, lat, lon, region, country, label_value, audit):
+def _feature_projection(star, weekend, lat, lon, region, country, label_value, audit, attrs=None):
+    attrs = attrs or {"customer_segment": F.col("c.customer_segment"), **{a: F.col(f"p.{a}") for a in ("product_price", "category_name", "department_name")}}
     od = F.col("f.order_date")
     cols = {
         "order_item_id": F.col("f.order_item_id"), "order_id": F.col("f.order_id"),
@@ -93,9 +120,7 @@ def _feature_projection(star, weekend, lat, lon, region, country, label_value, a
         "shipping_mode": F.col("f.shipping_mode"),
         "order_month": F.month(od), "order_day": F.dayofmonth(od), "order_hour": F.hour(od),
         "order_day_of_week": day_of_week_sun0(od),
-        "customer_segment": F.col("c.customer_segment"),
-        "product_price": F.col("p.product_price"), "category_name": F.col("p.category_name"),
-        "department_name": F.col("p.department_name"),
+        **attrs,
         "is_weekend": weekend, "latitude": lat, "longitude": lon,
         "order_region": region, "order_country": country,
     }

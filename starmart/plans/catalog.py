@@ -125,13 +125,13 @@ def feature_table(spark, sf_dir, audit=False):
     """The feature table over silver, which is written first.
 
     The customer and product dimensions are derived from the written silver,
-    counted and broadcast, so the features are a narrow pass over it (no
-    shuffle): branches that reuse the table re-read silver instead of a
+    written, and only keys with several rows in them are joined, so the
+    features are a narrow pass over silver (no shuffle): branches that reuse the table re-read silver instead of a
     second copy.
     """
     s = Star(spark, sf_dir, materialize_stg=True)
-    return features.fraud_features_from_silver(s.stg, s.dim_customers, s.dim_products,
-                                               label_value=FIXTURE_LABEL, audit=audit)
+    return features.fraud_features_from_silver(s.stg, written(s.dim_customers), written(s.dim_products),
+                                               label_value=FIXTURE_LABEL, audit=audit, own_dims=True)
 
 
 @query("fraud_features")
@@ -235,10 +235,10 @@ def quality_landing(spark, sf_dir):
 def star_tables(s: Star, audit: bool = True) -> dict[str, DataFrame]:
     # The feature table feeds two full test passes (unique key, 30 not-null
     # columns); like the pipeline's written table it is computed once.
-    feats = features.fraud_features_from_silver(s.stg, s.dim_customers, s.dim_products,
-                                                label_value=FIXTURE_LABEL, audit=audit)
+    customers, products = written(s.dim_customers), written(s.dim_products)
+    feats = features.fraud_features_from_silver(s.stg, customers, products, label_value=FIXTURE_LABEL, audit=audit, own_dims=True)
     return {
-        "stg_orders": s.stg, "dim_customers": written(s.dim_customers), "dim_products": written(s.dim_products),
+        "stg_orders": s.stg, "dim_customers": customers, "dim_products": products,
         "dim_date": written(s.dim_date), "dim_shipping_location": written(s.dim_location), "fact_order_items": s.fact,
         "fraud_features": written(feats),
     }
@@ -253,12 +253,13 @@ def quality_suite(spark, sf_dir):
 def quality_dirty(spark, sf_dir):
     s = Star(spark, sf_dir, materialize_stg=True)
     two_versions = s.stg.withColumn("customer_street", F.concat_ws(" ", "customer_street", "payment_type"))
-    feats = features.fraud_features_from_silver(s.stg, s.dim_customers, s.dim_products,
-                                                label_value=FIXTURE_LABEL, audit=False)
+    products = written(s.dim_products)
+    feats = features.fraud_features_from_silver(s.stg, written(s.dim_customers), products,
+                                                label_value=FIXTURE_LABEL, audit=False, own_dims=True)
     feats = feats.withColumn("latitude", F.when(F.col("shipping_mode") != "A", F.col("latitude")))
     tables = {
         "dim_customers": marts.dim_customers(two_versions),
-        "dim_products": s.dim_products.where(F.col("product_status") == 0),
+        "dim_products": products.where(F.col("product_status") == 0),
         "fact_order_items": s.fact,
         "fraud_features": written(feats),
     }
@@ -430,7 +431,7 @@ def rare_label_features(spark, sf_dir) -> DataFrame:
     stg = s.stg.withColumn("order_status", F.when(
         (F.col("order_status") == "P") & (F.col("payment_type") == "1-URGENT"),
         F.lit("SUSPECTED_FRAUD")).otherwise(F.col("order_status")))
-    return features.fraud_features_from_silver(stg, s.dim_customers, s.dim_products, audit=False)
+    return features.fraud_features_from_silver(stg, written(s.dim_customers), written(s.dim_products), audit=False, own_dims=True)
 
 
 def encoded_split(spark, sf_dir):
