@@ -955,14 +955,19 @@ def _ntz(history: DataFrame) -> DataFrame:
 
 @query("scd2_customers")
 def scd2_customers(spark, sf_dir):
-    return _ntz(marts.scd2(_addresses(Star(spark, sf_dir).stg), "customer_id", CUSTOMER_COLUMNS[1:]))
+    # written between the feed's joins and the day's snapshots, so that a task doesn't hold the sorts of both
+    lines = written(_addresses(Star(spark, sf_dir).stg).select(*CUSTOMER_COLUMNS, "full_date", "order_date", "order_item_id"))
+    return _ntz(marts.scd2(lines, "customer_id", CUSTOMER_COLUMNS[1:]))
 
 
 def merged_history(spark, stg: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     """A history into which the lines are merged half-year by half-year."""
-    lines = written(stg.select(key, *attrs, "full_date", "order_date", "order_item_id", (F.year("full_date") * 2 + (F.month("full_date") > 6).cast("int")).alias("_half")))
+    lines = stg.select(key, *attrs, "full_date", "order_date", "order_item_id", (F.year("full_date") * 2 + (F.month("full_date") > 6).cast("int")).alias("_half"))
+    # partitioned, so that a half-year reads its own files
+    path = write_table(lines.where("_half IS NOT NULL"), scratch_path(spark, "lines"), partition_by=["_half"])
+    lines = spark.read.schema(lines.schema).parquet(path)
     history = History(scratch_path(spark, "history"), key, attrs)
-    for r in lines.where("_half IS NOT NULL").select("_half").distinct().orderBy("_half").collect():      # the half-years of the feed
+    for r in lines.select("_half").distinct().orderBy("_half").collect():      # the half-years of the feed
         history.apply(lines.where(F.col("_half") == r["_half"]), max_changes=4)
     return history.read(spark)
 

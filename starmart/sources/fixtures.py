@@ -5,9 +5,9 @@ onto the raw column names (typed, not text: staging casts either form).
 
 ``(l_orderkey, l_linenumber)`` is not unique in the tables, so the line id is
 ``l_orderkey*100000 + l_linenumber*10000 + seq`` with ``seq`` numbering the
-duplicates of one pair by all remaining lineitem columns.  The window is
-clustered by ``l_orderkey`` first, which the orders join already hashes on,
-so it adds no exchange of its own.
+duplicates of one pair by all remaining lineitem columns.  Lines are hashed
+by ``l_orderkey``, as the orders join needs them, so the window adds no
+exchange of its own.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ LINE_ORDER_COLUMNS = [
     "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
     "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 ]
+ORDER_COLUMNS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 def _nation_region(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
@@ -42,13 +43,22 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Lines cross the network twice, by order and then by part: customers join
     # the orders, of which there are fewer, suppliers are broadcast within the
     # bound, and the names of nations and regions come last, so that no shuffle
-    # carries them.  Customers that share a key don't number a line anew.
+    # carries them.  Lines are numbered before the joins, in the sort that the
+    # join by order needs anyway; the m copies of an order that shares its key
+    # take m numbers a line, and customers that share a key none.
     nth = F.row_number().over(Window.partitionBy("c_custkey").orderBy("c_name", "c_nationkey", "c_mktsegment"))
     cust = c.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").withColumn("c_nth", nth)
-    oc = o.join(cust, o.o_custkey == cust.c_custkey, "left")
-    lo = li.join(oc, li.l_orderkey == oc.o_orderkey, "left")
-    w = Window.partitionBy("l_orderkey", "l_linenumber", "c_nth").orderBy(*LINE_ORDER_COLUMNS)
-    lo = lo.withColumn("seq", F.row_number().over(w))
+    # place of an order among those of its key: equal rows by i, others by what comes before
+    same = Window.partitionBy("o_orderkey", *ORDER_COLUMNS)
+    one = (F.coalesce("c_nth", F.lit(1)) == 1).cast("int")
+    i = F.row_number().over(Window.partitionBy("o_orderkey", *ORDER_COLUMNS, "c_nth").orderBy("c_nth"))
+    oc = (o.join(cust, o.o_custkey == cust.c_custkey, "left").repartition("o_orderkey").withColumn("o_nth", i)
+          .withColumn("o_nth", F.sum(one).over(Window.partitionBy("o_orderkey").orderBy(*ORDER_COLUMNS)) - F.sum(one).over(same) + F.col("o_nth"))
+          .withColumn("o_copies", F.sum(one).over(Window.partitionBy("o_orderkey"))))
+    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER_COLUMNS)
+    numbered = li.repartition("l_orderkey").withColumn("l_nth", F.row_number().over(w))
+    lo = numbered.join(oc, numbered.l_orderkey == oc.o_orderkey, "left")
+    lo = lo.withColumn("seq", (F.col("l_nth") - 1) * F.coalesce("o_copies", F.lit(1)) + F.coalesce("o_nth", F.lit(1)))
 
     supp = sized_dimension(s.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal"), is_table=True)
     cn, sn = (F.broadcast(_nation_region(spark, sf_dir, x)) for x in ("cn", "sn"))

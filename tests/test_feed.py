@@ -4,6 +4,7 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.sources.fixtures import orders_feed
 
@@ -41,3 +42,25 @@ def test_feed_shuffles_lines_by_order_and_part_alone(spark, tables):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     keys = sorted(re.findall(r"Exchange hashpartitioning\((\w+)#", plan))
     assert keys == ["c_custkey", "l_orderkey", "l_partkey", "o_custkey", "o_orderkey", "p_partkey"]
+
+
+def test_feed_numbers_copies_of_an_order_and_sorts_lines_once(spark, tables):
+    orders = spark.read.parquet(f"{tables}/orders.parquet")
+    extra = orders.where("o_orderkey = 10")
+    extra.withColumn("o_custkey", F.lit(2).cast("long")).unionByName(extra).write.mode("append").parquet(f"{tables}/orders.parquet")
+    feed = orders_feed(spark, tables)
+    rows = feed.where("`Order Id` = 10 AND `Product Card Id` = 6").select("Order Item Id", "Customer Id").collect()
+    lone = feed.where("`Order Id` = 11").select("Order Item Id").collect()
+    # two equal lines of three orders, of which two have two customers each and one has one
+    ids = [r[0] - 1010000 for r in rows]
+    assert [r[0] for r in lone] == [1110001]
+    assert sorted(set(ids)) == [4, 5, 6, 7, 8, 9]         # 1 to 3 are the line of product 5
+    assert sorted(ids.count(i) for i in set(ids)) == [1, 1, 2, 2, 2, 2]
+    assert all(ids.count(r[0] - 1010000) == (1 if r[1] == 2 else 2) for r in rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = orders_feed(spark, tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sorts = [x for x in re.findall(r"Sort \[(\w+)#", plan) if x == "l_orderkey"]
+    assert len(sorts) == 1
