@@ -483,7 +483,7 @@ def forest_scores(spark, sf_dir):
 @query("smote_balance")
 def smote_balance(spark, sf_dir):
     """Class sizes after oversampling, and synthetic values outside the minority's range."""
-    out = written(smote_oversample(spark, sf_dir))
+    out = written(smote_oversample(spark, sf_dir).select("target", "synthetic", *RANGE_COLUMNS))
     real = out.where((F.col("target") == 1) & ~F.col("synthetic"))
     low_high = real.agg(*[F.min(c).alias(f"lo_{c}") for c in RANGE_COLUMNS], *[F.max(c).alias(f"hi_{c}") for c in RANGE_COLUMNS])
     outside = F.lit(False)
