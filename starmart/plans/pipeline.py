@@ -156,9 +156,9 @@ def predict_new(spark: SparkSession, wh: Warehouse, order_ids: DataFrame | None
     current = modeling.empty_predictions(spark) if current is None else current
     feats = features.prepare_for_prediction(spark.read.parquet(wh.path("warehouse/fraud_features")))
     if order_ids is None:
-        keys = modeling.unscored_orders(feats, current)
-        lines = feats.join(keys, "order_id", "left_semi")
-        scored = modeling.score(bundle, lines, keep=["order_id", "order_item_id"])
+        keys = written(modeling.unscored_orders(feats, current))
+        most = 3 * keys.count() >= current.count()          # a quarter of the orders or more
+        scored = modeling.score(bundle, feats, keep=["order_id", "order_item_id"], orders=keys, most=most)
         batch = modeling.one_per_order(scored.drop("p"), keep="first")
         new = written(modeling.insert_if_absent(current, batch, bundle.threshold, bundle.model_version))
         if store.latest_version(spark) is None:
@@ -166,8 +166,7 @@ def predict_new(spark: SparkSession, wh: Warehouse, order_ids: DataFrame | None
         elif not new.isEmpty():
             store.append(new)
     else:
-        lines = feats.join(order_ids.select("order_id").distinct(), "order_id", "left_semi")
-        scored = modeling.score(bundle, lines, keep=["order_id", "order_item_id"])
+        scored = modeling.score(bundle, feats, keep=["order_id", "order_item_id"], orders=order_ids.select("order_id").distinct())
         batch = modeling.one_per_order(scored.drop("p"), keep="last")
         if store.latest_version(spark) is None:
             store.write(current)
