@@ -536,12 +536,12 @@ def stg_orders_text(spark, sf_dir):
 
 @query("csv_feed")
 def csv_feed(spark, sf_dir):
-    """The feed written as Latin-1 CSV with padded column names, read back as text and staged."""
+    """The feed written as Latin-1 CSV with padded column names, gzipped, read back as text and staged."""
     feed = orders_feed(spark, sf_dir)
     text = [F.date_format(F.col(f"`{f.name}`"), DEFAULT_TS_FORMAT) if f.dataType.typeName().startswith("timestamp") else F.col(f"`{f.name}`").cast("string")
             for f in feed.schema.fields]
     path = scratch_path(spark, "csv")
-    feed.select(*text).toDF(*[f" {c} " for c in feed.columns]).write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    feed.select(*text).toDF(*[f" {c} " for c in feed.columns]).write.option("header", True).option("encoding", "ISO-8859-1").option("compression", "gzip").option("zlib.compress.level", "FOUR").csv(path)
     return stage_orders(read_feed_csv(spark, path))
 
 
